@@ -6,6 +6,7 @@ are CTEs put in front.
 
 from __future__ import annotations
 
+from tallywell.functions.text import STOP_WORDS
 from tallywell.plans.customer_view import CATEGORICAL, NUMERIC
 
 CF = """
@@ -311,5 +312,233 @@ def evaluation() -> dict[str, str]:
     }
 
 
+QUESTIONS = """q AS (SELECT conv_id || ':' || turn AS query_id, text AS question
+    FROM conversations WHERE role = 'user')"""
+
+
+def chunk_ctes(source: str = "SELECT doc_id, text FROM documents", p: str = "") -> str:
+    """Sentence walk per document: each row is the chunk state after a sentence."""
+    return f"""{p}pieces AS (SELECT doc_id, list_filter(string_split(regexp_replace(regexp_replace(text, '\\s+$', ''),
+    '([.!?])\\s+', '\\1' || chr(1), 'g'), chr(1)), lambda x: x <> '') AS ss FROM ({source})),
+{p}sent AS MATERIALIZED (SELECT doc_id, i, s, length(s) AS len, sum(length(s)) OVER (PARTITION BY doc_id ORDER BY i) AS upto
+  FROM (SELECT doc_id, unnest(ss) AS s, generate_subscripts(ss, 1) AS i FROM {p}pieces)),
+{p}walk AS (
+  SELECT doc_id, i, i AS first, len::BIGINT AS size, NULL::BIGINT AS done_first, NULL::BIGINT AS done_last
+  FROM {p}sent WHERE i = 1
+  UNION ALL
+  SELECT s.doc_id, s.i,
+    CASE WHEN w.size + s.len <= 1000 THEN w.first WHEN w.i - w.first >= 3 THEN w.i - 2 ELSE w.first END,
+    CASE WHEN w.size + s.len <= 1000 THEN w.size + s.len
+         ELSE s.upto - b.upto + b.len + s.i - b.i END::BIGINT,
+    CASE WHEN w.size + s.len > 1000 THEN w.first END, CASE WHEN w.size + s.len > 1000 THEN w.i END
+  FROM {p}walk w JOIN {p}sent s ON s.doc_id = w.doc_id AND s.i = w.i + 1
+  JOIN {p}sent b ON b.doc_id = w.doc_id AND b.i = CASE WHEN w.i - w.first >= 3 THEN w.i - 2 ELSE w.first END),
+{p}span AS (
+  SELECT doc_id, done_first AS a, done_last AS z FROM {p}walk WHERE done_last IS NOT NULL
+  UNION ALL SELECT doc_id, first, i FROM {p}walk QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY i DESC) = 1),
+{p}chunk AS MATERIALIZED (
+  SELECT doc_id || ':' || pos AS chunk_id, doc_id, pos, text, start_idx, length(text) AS end_idx FROM (
+    SELECT span.doc_id, (row_number() OVER (PARTITION BY span.doc_id ORDER BY z)) - 1 AS pos,
+           string_agg(s, ' ' ORDER BY i) AS text,
+           coalesce(sum(len) FILTER (WHERE i <= z - 200), 0)::BIGINT AS start_idx
+    FROM {p}span AS span JOIN {p}sent AS sent ON sent.doc_id = span.doc_id AND i BETWEEN a AND z
+    GROUP BY span.doc_id, a, z))"""
+
+
+CHUNKS = chunk_ctes()
+
+# Token counts, document frequencies and BM25 top five.
+BM25 = CHUNKS + "," + QUESTIONS + """,
+tok AS MATERIALIZED (SELECT doc_id, pos, unnest(regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+')) AS term FROM chunk),
+tf AS MATERIALIZED (SELECT doc_id, pos, term, count(*) AS tf FROM tok GROUP BY ALL),
+len AS (SELECT chunk.doc_id, chunk.pos, count(term) AS dl FROM chunk LEFT JOIN tok USING (doc_id, pos) GROUP BY ALL),
+corpus AS MATERIALIZED (SELECT count(*) AS n, avg(dl) AS avgdl FROM len),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY 1),
+raw AS (SELECT term, df, ln(n - df + 0.5::DOUBLE) - ln(df + 0.5::DOUBLE) AS idf FROM df, corpus),
+idf AS MATERIALIZED (SELECT term, df, CASE WHEN idf < 0 THEN 0.25::DOUBLE * (SELECT avg(idf) FROM raw) ELSE idf END AS idf FROM raw),
+qtok AS (SELECT query_id, unnest(regexp_extract_all(lower(question), '[\\p{L}\\p{N}]+')) AS term FROM q),
+qtf AS MATERIALIZED (SELECT query_id, term, count(*) AS qtf FROM qtok GROUP BY ALL),
+match AS (SELECT query_id, doc_id, pos,
+    sum(qtf * idf * tf * 2.5::DOUBLE / (tf + 1.5::DOUBLE * (0.25::DOUBLE + 0.75::DOUBLE * dl / avgdl))) AS score
+  FROM qtf JOIN idf USING (term) JOIN tf USING (term) JOIN len USING (doc_id, pos), corpus GROUP BY ALL),
+hits AS MATERIALIZED (
+  SELECT query_id, doc_id, pos, round(coalesce(score, 0), 6) AS score,
+         row_number() OVER (PARTITION BY query_id ORDER BY round(coalesce(score, 0), 6) DESC, doc_id, pos) AS rank
+  FROM q CROSS JOIN chunk LEFT JOIN match USING (query_id, doc_id, pos) QUALIFY rank <= 5)"""
+
+# TF-IDF vectors of documents and questions, cosine top five.
+TFIDF = QUESTIONS + """,
+tf AS MATERIALIZED (SELECT doc_id, term, count(*) AS tf FROM (
+  SELECT doc_id, unnest(regexp_extract_all(lower(text), '[\\p{L}\\p{N}_]{2,}')) AS term FROM documents) GROUP BY ALL),
+idf AS MATERIALIZED (SELECT term, ln((1 + (SELECT count(*) FROM documents)) / (1 + count(*))::DOUBLE) + 1 AS idf FROM tf GROUP BY 1),
+dv AS (SELECT doc_id, term, tf * idf / sqrt(sum(tf * idf * tf * idf) OVER (PARTITION BY doc_id)) AS w FROM tf JOIN idf USING (term)),
+qv AS (SELECT query_id, term, qtf * idf / sqrt(sum(qtf * idf * qtf * idf) OVER (PARTITION BY query_id)) AS w FROM (
+  SELECT query_id, term, count(*) AS qtf FROM (
+    SELECT query_id, unnest(regexp_extract_all(lower(question), '[\\p{L}\\p{N}_]{2,}')) AS term FROM q) GROUP BY ALL)
+  JOIN idf USING (term)),
+match AS (SELECT query_id, doc_id, sum(qv.w * dv.w) AS score FROM qv JOIN dv USING (term) GROUP BY ALL),
+hits AS MATERIALIZED (
+  SELECT query_id, doc_id, round(coalesce(score, 0), 6) AS score,
+         row_number() OVER (PARTITION BY query_id ORDER BY round(coalesce(score, 0), 6) DESC, doc_id) AS rank
+  FROM q CROSS JOIN documents LEFT JOIN match USING (query_id, doc_id) QUALIFY rank <= 5)"""
+
+
+def extraction(pairs: str) -> str:
+    """CTEs naming the best sentence per ``key`` of ``pairs(key, question, context)``."""
+    stop = ", ".join(f"'{w}'" for w in STOP_WORDS)
+    return f"""pairs AS MATERIALIZED ({pairs}),
+want AS MATERIALIZED (SELECT DISTINCT key, w FROM (
+    SELECT key, unnest(string_split(regexp_replace(lower(question), '\\s+', ' ', 'g'), ' ')) AS w FROM pairs)
+    WHERE w <> '' AND w NOT IN ({stop})),
+n_want AS (SELECT key, count(*) AS n FROM want GROUP BY 1),
+sentence AS MATERIALIZED (SELECT key, s, row_number() OVER (PARTITION BY key ORDER BY i) AS i FROM (
+    SELECT key, trim(unnest(ss)) AS s, generate_subscripts(ss, 1) AS i FROM (
+      SELECT key, string_split_regex(regexp_replace(lower(context), '\\s+', ' ', 'g'), '[.!?]') AS ss FROM pairs))
+    WHERE s <> ''),
+hit AS (SELECT key, i, count(DISTINCT w) AS hits FROM (
+    SELECT key, i, unnest(string_split(s, ' ')) AS w FROM sentence) JOIN want USING (key, w) GROUP BY ALL),
+chosen AS (SELECT key, i, hits FROM hit QUALIFY row_number() OVER (PARTITION BY key ORDER BY hits DESC, i) = 1),
+extracted AS MATERIALIZED (
+  SELECT pairs.key, coalesce(best.s, head.s, '') AS answer,
+         CASE WHEN chosen.hits > 0 THEN round(chosen.hits / n_want.n::DOUBLE, 6) ELSE 0.1::DOUBLE END AS confidence
+  FROM pairs LEFT JOIN chosen USING (key) LEFT JOIN n_want USING (key)
+  LEFT JOIN sentence best ON best.key = pairs.key AND best.i = chosen.i
+  LEFT JOIN sentence head ON head.key = pairs.key AND head.i = 1)"""
+
+
+TURNS = extraction("""SELECT a.conv_id || ':' || a.turn AS key, a.conv_id, a.turn, a.text AS question, b.text AS context
+  FROM conversations a JOIN conversations b ON a.conv_id = b.conv_id AND b.turn = a.turn + 1 WHERE a.role = 'user'""")
+
+ANSWERED = TFIDF + "," + extraction("""SELECT query_id || '/' || rank AS key, query_id, rank, score, question, text AS context, doc_id
+  FROM hits JOIN q USING (query_id) JOIN documents USING (doc_id)""") + """,
+answered AS MATERIALIZED (
+  SELECT query_id, CASE WHEN key IS NULL THEN 'I couldn''t find any relevant information to answer your question.'
+                        WHEN weight > 0 THEN answer ELSE '' END AS answer,
+         CASE WHEN weight > 0 THEN weight ELSE 0 END AS confidence, CASE WHEN weight > 0 THEN doc_id END AS doc_id
+  FROM q LEFT JOIN (SELECT *, round(confidence * score, 6) AS weight FROM pairs JOIN extracted USING (key)) USING (query_id)
+  QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY weight DESC, rank) = 1)"""
+
+SOURCED = BM25 + "," + extraction("""SELECT query_id AS key, any_value(question) AS question,
+  string_agg(text, chr(10) || chr(10) ORDER BY rank) AS context
+  FROM hits JOIN q USING (query_id) JOIN chunk USING (doc_id, pos) GROUP BY 1""")
+
+
+def with_(ctes: str, body: str) -> str:
+    return f"WITH RECURSIVE {ctes}\n{body}"
+
+
+def hash_vector(rows: str, key: str, column: str) -> str:
+    """CTE ``slots(key, slot, w)`` of the hashed bag of words."""
+    return f"""cnt AS (SELECT {key}, ('0x' || substr(md5(term), 1, 2))::INT AS slot, count(*) AS c FROM (
+    SELECT {key}, unnest(regexp_extract_all(lower({column}), '[\\p{{L}}\\p{{N}}]+')) AS term FROM {rows}) GROUP BY ALL),
+slots AS MATERIALIZED (SELECT {key}, slot, (c / sqrt(sum(c * c) OVER (PARTITION BY {key})::DOUBLE))::FLOAT::DOUBLE AS w FROM cnt)"""
+
+
+def slots_text(key: str, rows: str) -> str:
+    return f"""SELECT {key}, coalesce(string_agg(slot || ':' || round(w * 1000)::BIGINT, ' ' ORDER BY slot), '') AS slots
+      FROM {rows} LEFT JOIN slots USING ({key}) GROUP BY 1"""
+
+
+def cosine_top(threshold: float) -> str:
+    return f"""SELECT a.vec_id AS query_id, b.vec_id, round(list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 6) AS score,
+       row_number() OVER (PARTITION BY a.vec_id ORDER BY round(list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 6) DESC, b.vec_id) AS rank
+     FROM embeddings a, embeddings b
+     WHERE round(list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 6) >= {threshold} QUALIFY rank <= 5"""
+
+
+def text_queries() -> dict[str, str]:
+    return {
+        "scan_chunks_json": with_(CHUNKS, "SELECT chunk_id, md5(chunk.text) AS text_md5, lang, source FROM chunk JOIN documents USING (doc_id)"),
+        "corpus_store": with_(CHUNKS, """SELECT doc_id, source AS title, source, length(text) AS text_length, md5(text) AS text_md5,
+             (SELECT count(*) FROM chunk c WHERE c.doc_id = d.doc_id) AS num_chunks FROM documents d"""),
+        "embedding_store": """SELECT vec_id AS chunk_id, label::VARCHAR AS label,
+             round(sqrt(list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[])), 6) AS norm,
+             (SELECT count(*) FROM embeddings) AS num_chunks, len(embedding) AS embedding_size FROM embeddings""",
+        "similarity_threshold": cosine_top(0.5),
+        "confidence_gate": with_(TURNS, f"""SELECT conv_id, turn, CASE WHEN confidence < 0.15 THEN
+             'I could not find a confident answer to your question in the provided documents.' ELSE answer END AS answer,
+             CASE WHEN confidence < 0.15 THEN 0 ELSE confidence END AS confidence FROM pairs JOIN extracted USING (key)"""),
+        "join_chunk_document": with_(CHUNKS, "SELECT chunk_id, doc_id, lang, source, end_idx FROM chunk JOIN documents USING (doc_id)"),
+        "join_doc_embedding": """SELECT doc_id, lang, source, label, len(embedding) AS dims
+             FROM documents JOIN embeddings ON doc_id = vec_id""",
+        "join_query_corpus": """SELECT query_id, count(*) AS n_scored, count(*) FILTER (WHERE s >= 0) AS n_similar, max(s) AS best FROM (
+             SELECT a.vec_id AS query_id, round(list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 6) AS s
+             FROM embeddings a, embeddings b) GROUP BY 1""",
+        "join_query_postings": with_(BM25, """SELECT query_id, count(term) AS n_terms, count(df) AS n_matched,
+             coalesce(sum(df), 0)::BIGINT AS n_postings FROM q LEFT JOIN qtf USING (query_id) LEFT JOIN df USING (term) GROUP BY 1"""),
+        "join_positional": """SELECT page_id AS ordinal, url AS chunk_id, label,
+             round(sqrt(list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[])), 6) AS norm
+             FROM pages JOIN embeddings ON page_id = vec_id""",
+        "document_stats": with_(CHUNKS, """SELECT doc_id, length(text) AS text_length,
+             (SELECT count(*) FROM chunk c WHERE c.doc_id = d.doc_id) AS num_chunks FROM documents d"""),
+        "corpus_stats": with_(BM25, "SELECT term, df, round(idf, 6) AS idf, n AS n_rows, round(avgdl, 6) AS avg_length FROM idf, corpus"),
+        "chunk_documents": with_(CHUNKS, "SELECT * FROM chunk"),
+        "knn_l2": """SELECT query_id, vec_id, distance, round(1 / (1 + distance), 6) AS score, rank FROM (
+             SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) AS rank FROM (
+               SELECT a.vec_id AS query_id, b.vec_id, round(list_sum(list_transform(list_zip(a.embedding, b.embedding),
+                      lambda p: power(p[1]::DOUBLE - p[2]::DOUBLE, 2))), 6) AS distance
+               FROM embeddings a, embeddings b)) WHERE rank <= 5""",
+        "search_cosine": cosine_top(0.0),
+        "search_tfidf": with_(TFIDF, "SELECT query_id, doc_id, score, rank FROM hits"),
+        "search_bm25": with_(BM25, "SELECT query_id, doc_id || ':' || pos AS chunk_id, score, rank FROM hits"),
+        "retrieve_auto": with_(CHUNKS + "," + QUESTIONS + ","
+                               + hash_vector("(SELECT chunk_id AS k, text FROM chunk UNION ALL SELECT 'q' || query_id, question FROM q)", "k", "text") + """,
+            size AS (SELECT k, sum(w * w) AS ww FROM slots GROUP BY 1),
+            prod AS (SELECT a.k AS qk, b.k AS ck, sum(a.w * b.w) AS ab FROM slots a JOIN slots b USING (slot)
+                     WHERE a.k LIKE 'q%' AND b.k NOT LIKE 'q%' GROUP BY ALL),
+            dist AS (SELECT query_id, chunk_id, doc_id, pos, round(greatest(0, coalesce(x.ww, 0) + coalesce(y.ww, 0) - 2 * coalesce(ab, 0)), 6) AS d
+                     FROM q CROSS JOIN chunk LEFT JOIN size x ON x.k = 'q' || query_id LEFT JOIN size y ON y.k = chunk_id
+                     LEFT JOIN prod ON qk = 'q' || query_id AND ck = chunk_id)""",
+            """SELECT query_id, chunk_id, round(1 / (1 + d), 6) AS score,
+               row_number() OVER (PARTITION BY query_id ORDER BY d, doc_id, pos) AS rank FROM dist QUALIFY rank <= 5"""),
+        "normalized_score": with_(BM25, """SELECT query_id, doc_id || ':' || pos AS chunk_id, score, rank,
+             round(score / nullif(max(score) OVER (PARTITION BY query_id), 0), 6) AS normalized_score FROM hits"""),
+        "assemble_context": with_(BM25, """SELECT query_id, length(c) AS context_length, md5(c) AS context_md5, left(cut, 512) AS cut_context FROM (
+             SELECT query_id, string_agg(text, chr(10) || chr(10) ORDER BY rank) AS c, string_agg(text, ' ' ORDER BY rank) AS cut
+             FROM hits JOIN chunk USING (doc_id, pos) GROUP BY 1)"""),
+        "extract_answer": with_(TURNS, "SELECT conv_id, turn, answer, confidence FROM pairs JOIN extracted USING (key)"),
+        "answer_question": with_(ANSWERED, "SELECT query_id, answer, confidence, doc_id FROM answered"),
+        "answer_with_sources": with_(SOURCED, """SELECT query_id,
+             CASE WHEN confidence < 0.1 THEN 'I could not find a confident answer to your question in the provided documents.' ELSE answer END AS answer,
+             CASE WHEN confidence < 0.1 THEN 0 ELSE confidence END AS confidence, rank, doc_id, source, source AS title, score,
+             round(score / nullif(max(score) OVER (PARTITION BY query_id), 0), 6) AS normalized_score
+             FROM hits JOIN extracted ON key = query_id JOIN documents USING (doc_id)"""),
+        "source_references": with_(ANSWERED, """SELECT query_id, any_value(answer) || chr(10) || chr(10) || 'Sources:' || chr(10)
+             || string_agg('[' || rank || '] ' || source || ' (score: ' || round(score::DECIMAL(18, 6), 2)::DECIMAL(18, 2) || ')', chr(10) ORDER BY rank) AS formatted
+             FROM answered JOIN hits USING (query_id) JOIN documents ON hits.doc_id = documents.doc_id GROUP BY 1"""),
+        "embed_text": with_(QUESTIONS + "," + hash_vector("q", "query_id", "question"), slots_text("query_id", "q")),
+        "embed_chunks": with_(CHUNKS + "," + hash_vector("chunk", "chunk_id", "text"),
+                              f"SELECT chunk_id, md5(slots) AS slots_md5 FROM ({slots_text('chunk_id', 'chunk')})"),
+        "union_chunks": with_(chunk_ctes() + "," + chunk_ctes("SELECT page_id AS doc_id, html AS text FROM pages", "p_"), """
+             SELECT doc_id, md5(coalesce(html, text)) AS text_md5, count(chunk_id) AS num_chunks
+             FROM (SELECT coalesce(doc_id, page_id) AS doc_id, text, html FROM documents FULL JOIN pages ON doc_id = page_id)
+             LEFT JOIN (SELECT doc_id, chunk_id FROM chunk UNION ALL SELECT doc_id, chunk_id FROM p_chunk) USING (doc_id)
+             GROUP BY doc_id, text, html"""),
+        "word_set_ops": """SELECT conv_id, turn, len(a) AS n_left, len(b) AS n_right, len(list_intersect(a, b)) AS n_common,
+             len(a) - len(list_intersect(a, b)) AS n_only_left FROM (
+             SELECT x.conv_id, x.turn,
+               list_distinct(list_filter(string_split(regexp_replace(lower(x.text), '\\s+', ' ', 'g'), ' '), lambda w: w <> '')) AS a,
+               list_distinct(list_filter(string_split(regexp_replace(lower(y.text), '\\s+', ' ', 'g'), ' '), lambda w: w <> '')) AS b
+             FROM conversations x JOIN conversations y ON x.conv_id = y.conv_id AND y.turn = x.turn + 1 WHERE x.role = 'user')""",
+        "fn_string": """SELECT page_id, lower(url) AS lowered, regexp_extract(url, '[^/]*$') AS base,
+             length(regexp_replace(lower(html), '\\s+', ' ', 'g')) AS squashed_length, starts_with(url, 'https')::INT AS is_https,
+             (trim(html) = '')::INT AS is_blank,
+             lower(coalesce(regexp_extract(regexp_extract(regexp_extract(url, '^[^?#]*'), '[^/]*$'), '^.+(\\.[^.]*)$', 1), '')) AS extension,
+             left(html, 15) AS start,
+             array_to_string(list_filter(string_split(regexp_replace(lower(left(html, 40)), '\\s+', ' ', 'g'), ' '), lambda w: w <> ''), '|') AS start_words,
+             'CUST_' || lpad(page_id::VARCHAR, 6, '0') AS formatted FROM pages""",
+        "fn_math": cf("""SELECT customer_id, greatest(0, least(5000, c_acctbal)) AS clipped, round(c_acctbal, 0) AS rounded,
+             abs(c_acctbal - 5000) AS away, round(cost / nullif(revenue, 0) * 100, 6) AS cost_share,
+             round(1 / (1 + abs(c_acctbal)), 9) AS closeness FROM cf"""),
+        "fn_array": """SELECT vec_id, round(list_sum(list_transform(embedding, lambda x: x::DOUBLE * x::DOUBLE)), 6) AS l2_to_zero,
+             round(embedding[1]::DOUBLE / sqrt(list_sum(list_transform(embedding, lambda x: x::DOUBLE * x::DOUBLE))), 6) AS cosine_to_first,
+             round(list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[]), 6) AS self_dot,
+             round(embedding[64]::DOUBLE, 6) AS last, embedding[65]::DOUBLE AS beyond FROM embeddings""",
+        "fn_default_title": """SELECT page_id, coalesce(nullif(regexp_extract(html, '<title>([^<]*)</title>', 1), ''),
+             regexp_extract(url, '[^/]*$')) AS title FROM pages""",
+        "fn_date_coalesce": """SELECT o_orderkey, CASE WHEN o_orderstatus IN ('P', 'O') THEN strftime(o_orderdate, '%Y-%m-%d') END AS document_date FROM orders""",
+    }
+
+
 def oracle_sql() -> dict[str, str]:
-    return {**tables_and_profile(), **evaluation()}
+    return {**tables_and_profile(), **evaluation(), **text_queries()}

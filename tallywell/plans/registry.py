@@ -7,11 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywell.operators import distribution, features, metrics, profile, risk, split
+from tallywell.functions import numeric, text
+from tallywell.operators import (answers, chunking, distribution, features, lexical, metrics,
+                                 profile, risk, split, vectors)
 from tallywell.plans.customer_view import (CATEGORICAL, NUMERIC, customer_features,
                                            scored_customers)
 from tallywell.session import scratch_path, staged
-from tallywell.sources import tables
+from tallywell.plans.questions import chunk_table, documents, questions, stored_vectors
+from tallywell.sources import corpus, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -175,5 +178,291 @@ def _evaluation_queries() -> dict[str, Query]:
     }
 
 
+KEYS = ["doc_id", "pos"]
+
+
+def _big(df, *names):
+    return df.withColumns({c: F.col(c).cast("bigint") for c in names})
+
+
+def _chunk_id():
+    return F.concat_ws(":", F.col("doc_id").cast("string"), F.col("pos").cast("string")).alias("chunk_id")
+
+
+def _scan_texts(name, key, column):
+    def run(spark, base):
+        df = tables.table(spark, base, name)
+        return df.filter(F.col(column) != "").select(
+            key, F.length(column).cast("bigint").alias("text_length"), F.md5(column).alias("text_md5"))
+    return run
+
+
+def _chunks_with_metadata(spark, base):
+    docs = documents(spark, base).select("doc_id", "lang", "source")
+    meta = F.create_map(F.lit("lang"), F.col("lang"), F.lit("source"), F.col("source"))
+    return (answers.join_chunk_document(chunk_table(spark, base), docs)
+            .select("chunk_id", "text", meta.alias("metadata")))
+
+
+def _scan_chunks_json(spark, base):
+    path = corpus.write_chunks_json(_chunks_with_metadata(spark, base), scratch_path(spark, "chunks-json"))
+    return corpus.read_chunks_json(spark, path).select(
+        "chunk_id", F.md5("text").alias("text_md5"), F.col("metadata")["lang"].alias("lang"),
+        F.col("metadata")["source"].alias("source"))
+
+
+def _corpus_store(spark, base):
+    path = corpus.save_corpus(documents(spark, base), scratch_path(spark, "corpus"))
+    docs, chunks = corpus.load_corpus(spark, path)
+    counts = chunks.groupBy("doc_id").agg(F.count("*").alias("num_chunks"))
+    return (docs.join(counts, "doc_id", "left")
+            .select("doc_id", "title", "source", F.length("text").cast("bigint").alias("text_length"),
+                    F.md5("text").alias("text_md5"), F.coalesce("num_chunks", F.lit(0)).alias("num_chunks")))
+
+
+def _embedding_store(spark, base):
+    stored = stored_vectors(spark, base).select(
+        F.col("vec_id").alias("chunk_id"), "vector",
+        F.create_map(F.lit("label"), F.col("label").cast("string")).alias("metadata"))
+    path = corpus.save_embeddings(stored, scratch_path(spark, "vectors"), "stored-64")
+    vecs, info = corpus.load_embeddings(spark, path, "stored-64")
+    one = info.first()
+    return vecs.select("chunk_id", F.col("metadata")["label"].alias("label"),
+                       F.round(numeric.norm(F.col("vector")), 6).alias("norm"),
+                       F.lit(one["num_chunks"]).alias("num_chunks"),
+                       F.lit(one["embedding_size"]).cast("bigint").alias("embedding_size"))
+
+
+def _own_queries(spark, base):
+    return stored_vectors(spark, base).select(F.col("vec_id").alias("query_id"), "vector")
+
+
+def _knn_l2(spark, base):
+    return _big(vectors.knn_l2(stored_vectors(spark, base), _own_queries(spark, base), ["vec_id"]), "rank")
+
+
+def _search_cosine(threshold):
+    def run(spark, base):
+        return _big(vectors.search_cosine(stored_vectors(spark, base), _own_queries(spark, base), ["vec_id"],
+                                          threshold=threshold), "rank")
+    return run
+
+
+def _bm25_hits(spark, base, k=5):
+    chunks = staged(chunk_table(spark, base), "chunks")
+    index = lexical.lexical_index(chunks, KEYS)
+    return chunks, lexical.search_bm25(index, questions(spark, base), k)
+
+
+def _search_bm25(spark, base):
+    _, hits = _bm25_hits(spark, base)
+    return _big(hits.select("query_id", _chunk_id(), "score", "rank"), "rank")
+
+
+def _normalized_score(spark, base):
+    _, hits = _bm25_hits(spark, base)
+    return _big(lexical.normalized_scores(hits).select(
+        "query_id", _chunk_id(), "score", "normalized_score", "rank"), "rank")
+
+
+def _document_index(spark, base):
+    return lexical.lexical_index(documents(spark, base), ["doc_id"], text.VECTOR_TOKEN)
+
+
+def _tfidf_hits(spark, base, threshold=0.0):
+    return lexical.search_tfidf(_document_index(spark, base), questions(spark, base), threshold=threshold)
+
+
+def _assemble_context(spark, base):
+    chunks, hits = _bm25_hits(spark, base)
+    found = staged(hits.join(chunks.select(*KEYS, "text"), KEYS), "found")
+    whole = answers.assemble_context(found)
+    cut = answers.assemble_context(found, " ", answers.CONTEXT_CUT).withColumnRenamed("context", "cut_context")
+    return whole.join(cut, "query_id").select(
+        "query_id", F.length("context").cast("bigint").alias("context_length"),
+        F.md5("context").alias("context_md5"), "cut_context")
+
+
+def _turn_pairs(spark, base):
+    """Each user turn with the turn that follows it."""
+    conv = tables.table(spark, base, "conversations")
+    reply = conv.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("context"))
+    asked = conv.filter("role = 'user'").select("conv_id", "turn", F.col("text").alias("question"))
+    return asked.join(reply, ["conv_id", "turn"])
+
+
+def _extract_answer(spark, base):
+    return answers.with_answer(_turn_pairs(spark, base)).select("conv_id", "turn", "answer", "confidence")
+
+
+def _word_set_ops(spark, base):
+    names = ["n_left", "n_right", "n_common", "n_only_left"]
+    pairs = answers.word_sets(_turn_pairs(spark, base), "question", "context")
+    return _big(pairs.select("conv_id", "turn", *names), *names)
+
+
+def _confidence_gate(spark, base):
+    pairs = answers.with_answer(_turn_pairs(spark, base)).select("conv_id", "turn", "answer", "confidence")
+    # The fallback confidence is 0.1; a threshold just above it gates those.
+    return answers.confidence_gate(pairs, 0.15)
+
+
+def _answered(spark, base):
+    return answers.answer_questions(questions(spark, base), _tfidf_hits(spark, base), documents(spark, base))
+
+
+def _sourced(spark, base):
+    chunks, hits = _bm25_hits(spark, base)
+    return answers.answer_with_sources(questions(spark, base), hits, chunks, documents(spark, base))
+
+
+def _answer_with_sources(spark, base):
+    flat = _sourced(spark, base).select("query_id", "answer", "confidence", F.inline_outer("sources"))
+    return _big(flat, "rank")
+
+
+def _source_references(spark, base):
+    asked, docs = questions(spark, base), documents(spark, base)
+    hits = staged(_tfidf_hits(spark, base), "hits")
+    sources = hits.join(docs.select("doc_id", "source"), "doc_id")
+    return answers.source_references(answers.answer_questions(asked, hits, docs), sources)
+
+
+def _semantic(spark, base):
+    vecs = vectors.embed_chunks(chunk_table(spark, base)).select("doc_id", "pos", "vector")
+    hits = answers.retrieve_auto(questions(spark, base), vectors=vecs)
+    return _big(hits.select("query_id", _chunk_id(), "score", "rank"), "rank")
+
+
+def _slots_text(vector):
+    """Non-zero slots as ``index:weight in millionths``."""
+    pairs = F.transform(vector, lambda v, i: F.when(v > 0, F.concat_ws(
+        ":", i.cast("string"), F.round(v.cast("double") * 1000).cast("bigint").cast("string"))))
+    return F.array_join(F.array_compact(pairs), " ")
+
+
+def _embed_text(spark, base):
+    return (vectors.embed_text(questions(spark, base), "question")
+            .select("query_id", _slots_text(F.col("vector")).alias("slots")))
+
+
+def _embed_chunks(spark, base):
+    return (vectors.embed_chunks(chunk_table(spark, base))
+            .select("chunk_id", F.md5(_slots_text(F.col("vector"))).alias("slots_md5")))
+
+
+def _pages_as_documents(spark, base):
+    return tables.table(spark, base, "pages").select(F.col("page_id").alias("doc_id"), F.col("html").alias("text"))
+
+
+def _union_chunks(spark, base):
+    first = documents(spark, base).select("doc_id", "text")
+    chunks, latest = chunking.union_chunks([first, _pages_as_documents(spark, base)])
+    counts = chunks.groupBy("doc_id").agg(F.count("*").alias("num_chunks"))
+    return (latest.join(counts, "doc_id", "left")
+            .select("doc_id", F.md5("text").alias("text_md5"), F.coalesce("num_chunks", F.lit(0)).alias("num_chunks")))
+
+
+def _join_doc_embedding(spark, base):
+    vecs = stored_vectors(spark, base).select(F.col("vec_id").alias("doc_id"), "label", "vector")
+    return vectors.join_vectors(documents(spark, base).select("doc_id", "lang", "source"), vecs).select(
+        "doc_id", "lang", "source", "label", F.size("vector").cast("bigint").alias("dims"))
+
+
+def _join_positional(spark, base):
+    ids = tables.table(spark, base, "pages").select(F.col("page_id").alias("ordinal"), F.col("url").alias("chunk_id"))
+    vecs = stored_vectors(spark, base).select(F.col("vec_id").alias("ordinal"), "label", "vector")
+    return vectors.zip_by_ordinal(ids, vecs, "ordinal").select(
+        "ordinal", "chunk_id", "label", F.round(numeric.norm(F.col("vector")), 6).alias("norm"))
+
+
+def _fn_string(spark, base):
+    url, html = F.col("url"), F.col("html")
+    return tables.table(spark, base, "pages").select(
+        "page_id", F.lower(url).alias("lowered"), text.basename(url).alias("base"),
+        F.length(text.squashed(html)).cast("bigint").alias("squashed_length"),
+        F.startswith(url, F.lit("https")).cast("int").alias("is_https"),
+        text.is_blank(html).cast("int").alias("is_blank"),
+        text.extension(F.substring_index(F.substring_index(url, "?", 1), "#", 1)).alias("extension"),
+        F.left(html, F.lit(15)).alias("start"), F.array_join(text.words(F.left(html, F.lit(40))), "|").alias("start_words"),
+        F.format_string("CUST_%06d", F.col("page_id")).alias("formatted"))
+
+
+def _fn_math(spark, base):
+    df = customer_features(spark, base)
+    return df.select(
+        "customer_id", numeric.clip(F.col("c_acctbal"), 0.0, 5000.0).alias("clipped"),
+        F.round("c_acctbal", 0).alias("rounded"), F.abs(F.col("c_acctbal") - 5000).alias("away"),
+        F.round(features.ratio(F.col("cost"), F.col("revenue")) * 100, 6).alias("cost_share"),
+        F.round(numeric.similarity_from_distance(F.abs("c_acctbal")), 9).alias("closeness"))
+
+
+def _fn_array(spark, base):
+    v = F.col("vector")
+    unit = F.array(*[F.lit(1.0 if i == 0 else 0.0) for i in range(64)])
+    return stored_vectors(spark, base).select(
+        "vec_id", F.round(numeric.squared_l2(v, numeric.zero_vector(64)), 6).alias("l2_to_zero"),
+        F.round(numeric.cosine(v, unit), 6).alias("cosine_to_first"),
+        F.round(numeric.dot(v, v), 6).alias("self_dot"), F.round(F.try_element_at("vector", F.lit(64)).cast("double"), 6).alias("last"),
+        F.try_element_at("vector", F.lit(65)).cast("double").alias("beyond"))
+
+
+def _fn_default_title(spark, base):
+    title = F.regexp_extract("html", "<title>([^<]*)</title>", 1)
+    return tables.table(spark, base, "pages").select(
+        "page_id", text.default_title(title, F.col("url")).alias("title"))
+
+
+def _fn_date_coalesce(spark, base):
+    day = F.date_format("o_orderdate", "yyyy-MM-dd")
+    meta = (F.when(F.col("o_orderstatus") == "P", F.create_map(F.lit("creation_date"), day, F.lit("created"), F.lit("x")))
+            .when(F.col("o_orderstatus") == "O", F.create_map(F.lit("created"), day))
+            .otherwise(F.create_map(F.lit("other"), day)))
+    return tables.table(spark, base, "orders").select("o_orderkey", text.document_date(meta).alias("document_date"))
+
+
+def _text_queries() -> dict[str, Query]:
+    return {
+        "scan_corpus": _scan_texts("documents", "doc_id", "text"),
+        "scan_pages_raw": _scan_texts("pages", "page_id", "html"),
+        "scan_chunks_json": _scan_chunks_json,
+        "corpus_store": _corpus_store,
+        "embedding_store": _embedding_store,
+        "similarity_threshold": _search_cosine(0.5),
+        "confidence_gate": _confidence_gate,
+        "join_chunk_document": lambda s, b: answers.join_chunk_document(
+            chunk_table(s, b), documents(s, b).select("doc_id", "lang", "source")).select(
+                "chunk_id", "doc_id", "lang", "source", F.col("end_idx").cast("bigint").alias("end_idx")),
+        "join_doc_embedding": _join_doc_embedding,
+        "join_query_corpus": lambda s, b: vectors.similarity_summary(stored_vectors(s, b), _own_queries(s, b)),
+        "join_query_postings": lambda s, b: lexical.lexical_matches(
+            lexical.lexical_index(chunk_table(s, b), KEYS), questions(s, b)),
+        "join_positional": _join_positional,
+        "document_stats": lambda s, b: chunking.document_stats(documents(s, b)),
+        "corpus_stats": lambda s, b: lexical.corpus_stats(chunk_table(s, b), KEYS),
+        "chunk_documents": lambda s, b: _big(chunk_table(s, b), "pos", "start_idx", "end_idx"),
+        "knn_l2": _knn_l2,
+        "search_cosine": _search_cosine(0.0),
+        "search_tfidf": lambda s, b: _big(_tfidf_hits(s, b), "rank"),
+        "search_bm25": _search_bm25,
+        "retrieve_auto": _semantic,
+        "normalized_score": _normalized_score,
+        "assemble_context": _assemble_context,
+        "extract_answer": _extract_answer,
+        "answer_question": _answered,
+        "answer_with_sources": _answer_with_sources,
+        "source_references": _source_references,
+        "embed_text": _embed_text,
+        "embed_chunks": _embed_chunks,
+        "union_chunks": _union_chunks,
+        "word_set_ops": _word_set_ops,
+        "fn_string": _fn_string,
+        "fn_math": _fn_math,
+        "fn_array": _fn_array,
+        "fn_default_title": _fn_default_title,
+        "fn_date_coalesce": _fn_date_coalesce,
+    }
+
+
 def queries() -> dict[str, Query]:
-    return {**_table_queries(), **_evaluation_queries()}
+    return {**_table_queries(), **_evaluation_queries(), **_text_queries()}
