@@ -24,6 +24,15 @@ WORD_TOKEN = r"[\p{L}\p{N}]+"
 VECTOR_TOKEN = r"[\p{L}\p{N}_]{2,}"
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once per row.
+
+    A column used inside a lambda is put into it by the optimizer and would be
+    computed again for every element; a lambda variable is not.
+    """
+    return F.transform(F.array(value), body)[0]
+
+
 def sentences(text: Column) -> Column:
     """Sentences: cut after ``.``, ``!`` or ``?`` followed by white space.
     Trailing white space belongs to no sentence."""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallywell.functions.text import answer_sentences, basename, important_words, words
+from tallywell.functions.text import answer_sentences, basename, important_words, let, words
 from tallywell.operators.lexical import LexicalIndex, normalized_scores, search_bm25
 from tallywell.operators.vectors import embed_text, knn_l2
 
@@ -28,27 +28,33 @@ def word_sets(df: DataFrame, left: str, right: str) -> DataFrame:
 
 
 def with_answer(df: DataFrame, question: str = "question", context: str = "context") -> DataFrame:
-    """Append ``answer`` and ``confidence``: the first sentence of ``context``
-    covering most of the question's important words, and the share it covers.
-
-    With no match the first sentence, or '', has a low fixed confidence. The
-    context is read whole; everything happens inside the row.
-    """
-    wanted = F.col("_wanted")
-    best = F.array_max(F.transform(
-        F.col("_sentences"),
-        lambda s, i: F.struct(F.size(F.array_intersect(wanted, F.split(s, " "))).alias("hits"),
-                              (-i).alias("neg_position"))))
-    hit = F.coalesce(F.col("_best.hits"), F.lit(0)) > 0
-    return (df.withColumns({"_wanted": important_words(F.col(question)),
-                            "_sentences": answer_sentences(F.coalesce(F.col(context), F.lit("")))})
-            .withColumn("_best", best)
-            .withColumns({
-                "answer": F.when(hit, F.try_element_at("_sentences", 1 - F.col("_best.neg_position")))
-                .otherwise(F.coalesce(F.try_element_at("_sentences", F.lit(1)), F.lit(""))),
-                "confidence": F.when(hit, F.round(F.col("_best.hits") / F.size(wanted), 6))
-                .otherwise(F.lit(FALLBACK_CONFIDENCE))})
-            .drop("_wanted", "_sentences", "_best"))
+    """Append ``answer`` and ``confidence`` taken from the whole text in
+    ``context``, see :func:`best_sentence`."""
+    return best_sentence(df, important_words(F.col(question)),
+                         answer_sentences(F.coalesce(F.col(context), F.lit(""))))
+
+
+def best_sentence(df: DataFrame, important: Column, candidates: Column) -> DataFrame:
+    """Append ``answer``, the first of the sentences covering most of the
+    important words, and ``confidence``, the share it covers. With no match
+    the first sentence, or '', has a low fixed confidence."""
+    def best(wanted, sents):
+        return F.array_max(F.transform(sents, lambda s, i: F.struct(
+            F.size(F.array_intersect(wanted, F.split(s, " "))).alias("hits"), (-i).alias("neg_position"))))
+
+    def reply(wanted, sents, top):
+        hit = F.coalesce(top["hits"], F.lit(0)) > 0
+        return F.struct(
+            F.when(hit, F.try_element_at(sents, 1 - top["neg_position"]))
+            .otherwise(F.coalesce(F.try_element_at(sents, F.lit(1)), F.lit(""))).alias("answer"),
+            F.when(hit, F.round(top["hits"] / F.size(wanted), 6))
+            .otherwise(F.lit(FALLBACK_CONFIDENCE)).alias("confidence"))
+
+    made = let(important, lambda wanted: let(candidates, lambda sents: let(
+        best(wanted, sents), lambda top: reply(wanted, sents, top))))
+    return (df.withColumn("_made", made)
+            .withColumns({"answer": F.col("_made.answer"), "confidence": F.col("_made.confidence")})
+            .drop("_made"))
 
 
 def confidence_gate(df: DataFrame, threshold: float = CONFIDENCE_THRESHOLD) -> DataFrame:
@@ -63,12 +69,13 @@ def answer_questions(questions: DataFrame, hits: DataFrame, documents: DataFrame
     ``(query_id, answer, confidence, doc_id)``.
 
     Each document proposes its best sentence, weighted by the retrieval score;
-    the largest weight above 0 wins, ties go to the better rank. Document text
-    is dropped in the row that reads it, before anything is grouped.
+    the largest weight above 0 wins, ties go to the better rank. Questions join
+    first, so a document row is read where it lies and its text goes no further.
     """
-    proposals = (hits.join(documents.select("doc_id", F.col("text").alias("context")), "doc_id")
-                 .join(questions.select("query_id", "question"), "query_id"))
-    proposals = (with_answer(proposals)
+    asked = questions.select("query_id", important_words(F.col("question")).alias("important"))
+    proposals = (documents.select("doc_id", F.col("text").alias("context"))
+                 .join(hits.join(asked, "query_id"), "doc_id"))
+    proposals = (best_sentence(proposals, F.col("important"), answer_sentences(F.col("context")))
                  .select("query_id", "rank", "doc_id", "answer",
                          F.round(F.col("confidence") * F.col("score"), 6).alias("weight")))
     best = (proposals.groupBy("query_id")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallywell.functions.text import sentences
+from tallywell.functions.text import let, sentences
 
 # Target size in characters, sentences carried into the next
 # chunk, and the overlap number that enters ``start_idx``.
@@ -47,39 +47,40 @@ def chunk_spans(lengths: Column, max_size: int = MAX_CHUNK_SIZE) -> Column:
     return F.aggregate(lengths, start, step, closed)
 
 
-def with_chunks(df: DataFrame, text: str = "text", max_size: int = MAX_CHUNK_SIZE) -> DataFrame:
-    """Append ``chunks``: an array of ``(text, start_idx, end_idx)`` in order."""
-    sents = F.col("_sentences")
-
-    def build(span):
+def chunk_array(text: Column, max_size: int = MAX_CHUNK_SIZE) -> Column:
+    """Array of ``(text, start_idx, end_idx)`` chunks of one text, in order."""
+    def build(sents, span):
         body = F.slice(sents, span["first"] + 1, span["n"])
-        joined = F.array_join(body, " ")
         head = F.greatest(F.lit(0), span["n"] - OVERLAP)
-        start = F.when(head > 0, F.length(F.array_join(F.slice(body, F.lit(1), head), ""))).otherwise(0)
-        return F.struct(joined.alias("text"), start.alias("start_idx"), F.length(joined).alias("end_idx"))
+        start = F.when(head > 0, F.length(F.array_join(
+            F.slice(sents, span["first"] + 1, head), ""))).otherwise(0)
+        return let(F.array_join(body, " "), lambda t: F.struct(
+            t.alias("text"), start.alias("start_idx"), F.length(t).alias("end_idx")))
+
+    return let(sentences(text), lambda sents: F.transform(
+        chunk_spans(F.transform(sents, lambda s: F.length(s)), max_size), lambda span: build(sents, span)))
+
 
-    spans = chunk_spans(F.transform(sents, lambda s: F.length(s)), max_size)
-    return (df.withColumn("_sentences", sentences(F.col(text)))
-            .withColumn("_spans", spans)
-            .withColumn("chunks", F.transform("_spans", build))
-            .drop("_sentences", "_spans"))
+def chunk_count(text: Column, max_size: int = MAX_CHUNK_SIZE) -> Column:
+    return F.size(chunk_spans(F.transform(sentences(text), lambda s: F.length(s)), max_size))
 
 
 def chunk_documents(documents: DataFrame, doc_id: str = "doc_id", text: str = "text",
                     max_size: int = MAX_CHUNK_SIZE) -> DataFrame:
     """One row per chunk: ``(chunk_id, doc_id, pos, text, start_idx, end_idx)``.
     Narrow: every document is cut where it lies."""
-    return (with_chunks(documents.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), "text", max_size)
-            .select("doc_id", F.posexplode("chunks").alias("pos", "c"))
+    # The outer form is not given an extra filter that builds all chunks twice.
+    return (documents.select(F.col(doc_id).alias("doc_id"),
+                             F.posexplode_outer(chunk_array(F.col(text), max_size)).alias("pos", "c"))
+            .filter(F.col("pos").isNotNull())
             .select(F.concat_ws(":", F.col("doc_id").cast("string"), F.col("pos").cast("string")).alias("chunk_id"),
                     "doc_id", "pos", "c.text", "c.start_idx", "c.end_idx"))
 
 
 def document_stats(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Text length and chunk count per document, without exploding chunks."""
-    return (with_chunks(documents.select(doc_id, text), text)
-            .select(doc_id, F.length(text).cast("bigint").alias("text_length"),
-                    F.size("chunks").cast("bigint").alias("num_chunks")))
+    return documents.select(doc_id, F.length(text).cast("bigint").alias("text_length"),
+                            chunk_count(F.col(text)).cast("bigint").alias("num_chunks"))
 
 
 def union_chunks(batches: list[DataFrame]) -> tuple[DataFrame, DataFrame]:

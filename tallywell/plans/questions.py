@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tallywell.functions.text import default_title
 from tallywell.operators.chunking import chunk_documents
+from tallywell.session import spread
 from tallywell.sources.tables import table
 
 
@@ -17,8 +18,13 @@ def documents(spark: SparkSession, base: str) -> DataFrame:
         default_title(F.lit(None).cast("string"), F.col("source")).alias("title"), "lang")
 
 
+def spread_documents(spark: SparkSession, base: str) -> DataFrame:
+    """Documents for costly text work, see :func:`tallywell.session.spread`."""
+    return spread(documents(spark, base), "doc_id")
+
+
 def chunk_table(spark: SparkSession, base: str) -> DataFrame:
-    return chunk_documents(documents(spark, base))
+    return chunk_documents(spread_documents(spark, base))
 
 
 def questions(spark: SparkSession, base: str) -> DataFrame:

@@ -13,7 +13,8 @@ from tallywell.operators import (answers, chunking, distribution, features, lexi
 from tallywell.plans.customer_view import (CATEGORICAL, NUMERIC, customer_features,
                                            scored_customers)
 from tallywell.session import scratch_path, staged
-from tallywell.plans.questions import chunk_table, documents, questions, stored_vectors
+from tallywell.plans.questions import (chunk_table, documents, questions, spread_documents,
+                                       stored_vectors)
 from tallywell.sources import corpus, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -266,7 +267,7 @@ def _normalized_score(spark, base):
 
 
 def _document_index(spark, base):
-    return lexical.lexical_index(documents(spark, base), ["doc_id"], text.VECTOR_TOKEN)
+    return lexical.lexical_index(spread_documents(spark, base), ["doc_id"], text.VECTOR_TOKEN)
 
 
 def _tfidf_hits(spark, base, threshold=0.0):
@@ -308,7 +309,7 @@ def _confidence_gate(spark, base):
 
 
 def _answered(spark, base):
-    return answers.answer_questions(questions(spark, base), _tfidf_hits(spark, base), documents(spark, base))
+    return answers.answer_questions(questions(spark, base), _tfidf_hits(spark, base), spread_documents(spark, base))
 
 
 def _sourced(spark, base):
@@ -322,7 +323,7 @@ def _answer_with_sources(spark, base):
 
 
 def _source_references(spark, base):
-    asked, docs = questions(spark, base), documents(spark, base)
+    asked, docs = questions(spark, base), spread_documents(spark, base)
     hits = staged(_tfidf_hits(spark, base), "hits")
     sources = hits.join(docs.select("doc_id", "source"), "doc_id")
     return answers.source_references(answers.answer_questions(asked, hits, docs), sources)
@@ -438,7 +439,7 @@ def _text_queries() -> dict[str, Query]:
         "join_query_postings": lambda s, b: lexical.lexical_matches(
             lexical.lexical_index(chunk_table(s, b), KEYS), questions(s, b)),
         "join_positional": _join_positional,
-        "document_stats": lambda s, b: chunking.document_stats(documents(s, b)),
+        "document_stats": lambda s, b: chunking.document_stats(spread_documents(s, b)),
         "corpus_stats": lambda s, b: lexical.corpus_stats(chunk_table(s, b), KEYS),
         "chunk_documents": lambda s, b: _big(chunk_table(s, b), "pos", "start_idx", "end_idx"),
         "knn_l2": _knn_l2,
