@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tallywell.functions.text import answer_sentences, basename, important_words, let, words
 from tallywell.operators.lexical import LexicalIndex, normalized_scores, search_bm25
 from tallywell.operators.vectors import embed_text, knn_l2
+from tallywell.session import staged
 
 # Replies and limits.
 NO_DOCUMENT = "I couldn't find any relevant information to answer your question."
@@ -18,6 +19,9 @@ FALLBACK_CONFIDENCE = 0.1
 CONFIDENCE_THRESHOLD = 0.1
 CONTEXT_CUT = 512
 
+# Questions one task answers from one copy of a document.
+QUESTIONS_PER_COPY = 64
+
 
 def word_sets(df: DataFrame, left: str, right: str) -> DataFrame:
     """Append counts of distinct words: of each side, in common, only left."""
@@ -27,32 +31,37 @@ def word_sets(df: DataFrame, left: str, right: str) -> DataFrame:
                            "n_only_left": F.size(F.array_except(a, b))})
 
 
+def _best(important: Column, split_sentences: Column) -> Column:
+    """Hits and negated position of the first sentence with most important words."""
+    return F.array_max(F.transform(split_sentences, lambda w, i: F.struct(
+        F.size(F.array_intersect(important, w)).alias("hits"), (-i).alias("neg_position"))))
+
+
+def _reply(important: Column, sents: Column, top: Column) -> tuple[Column, Column]:
+    """Answer text and confidence. With no match the first sentence, or '',
+    has a low fixed confidence."""
+    hit = F.coalesce(top["hits"], F.lit(0)) > 0
+    return (F.when(hit, F.try_element_at(sents, 1 - top["neg_position"]))
+            .otherwise(F.coalesce(F.try_element_at(sents, F.lit(1)), F.lit(""))),
+            F.when(hit, F.round(top["hits"] / F.size(important), 6)).otherwise(F.lit(FALLBACK_CONFIDENCE)))
+
+
+def _split_words(sents: Column) -> Column:
+    return F.transform(sents, lambda s: F.split(s, " "))
+
+
 def with_answer(df: DataFrame, question: str = "question", context: str = "context") -> DataFrame:
-    """Append ``answer`` and ``confidence`` taken from the whole text in
-    ``context``, see :func:`best_sentence`."""
-    return best_sentence(df, important_words(F.col(question)),
-                         answer_sentences(F.coalesce(F.col(context), F.lit(""))))
-
-
-def best_sentence(df: DataFrame, important: Column, candidates: Column) -> DataFrame:
-    """Append ``answer``, the first of the sentences covering most of the
-    important words, and ``confidence``, the share it covers. With no match
-    the first sentence, or '', has a low fixed confidence."""
-    def best(wanted, sents):
-        return F.array_max(F.transform(sents, lambda s, i: F.struct(
-            F.size(F.array_intersect(wanted, F.split(s, " "))).alias("hits"), (-i).alias("neg_position"))))
-
-    def reply(wanted, sents, top):
-        hit = F.coalesce(top["hits"], F.lit(0)) > 0
-        return F.struct(
-            F.when(hit, F.try_element_at(sents, 1 - top["neg_position"]))
-            .otherwise(F.coalesce(F.try_element_at(sents, F.lit(1)), F.lit(""))).alias("answer"),
-            F.when(hit, F.round(top["hits"] / F.size(wanted), 6))
-            .otherwise(F.lit(FALLBACK_CONFIDENCE)).alias("confidence"))
-
-    made = let(important, lambda wanted: let(candidates, lambda sents: let(
-        best(wanted, sents), lambda top: reply(wanted, sents, top))))
-    return (df.withColumn("_made", made)
+    """Append ``answer``, the first sentence of ``context`` covering most of the
+    question's important words, and ``confidence``, the share it covers. The
+    context is read whole, inside its row."""
+    def made(wanted, sents, top):
+        answer, confidence = _reply(wanted, sents, top)
+        return F.struct(answer.alias("answer"), confidence.alias("confidence"))
+
+    text = F.coalesce(F.col(context), F.lit(""))
+    return (df.withColumn("_made", let(important_words(F.col(question)), lambda wanted: let(
+                answer_sentences(text), lambda sents: let(
+                    _best(wanted, _split_words(sents)), lambda top: made(wanted, sents, top)))))
             .withColumns({"answer": F.col("_made.answer"), "confidence": F.col("_made.confidence")})
             .drop("_made"))
 
@@ -64,20 +73,36 @@ def confidence_gate(df: DataFrame, threshold: float = CONFIDENCE_THRESHOLD) -> D
                            "confidence": F.when(low, 0.0).otherwise(F.col("confidence"))})
 
 
-def answer_questions(questions: DataFrame, hits: DataFrame, documents: DataFrame) -> DataFrame:
+def answer_questions(questions: DataFrame, hits: DataFrame, documents: DataFrame,
+                     per_copy: int = QUESTIONS_PER_COPY) -> DataFrame:
     """One answer per question from its retrieved documents:
     ``(query_id, answer, confidence, doc_id)``.
 
     Each document proposes its best sentence, weighted by the retrieval score;
-    the largest weight above 0 wins, ties go to the better rank. Questions join
-    first, so a document row is read where it lies and its text goes no further.
+    the largest weight above 0 wins, ties go to the better rank.
+
+    A document is cut into sentences once for about ``per_copy`` questions. One
+    retrieved by very many questions goes out in as many copies as it needs,
+    each to its own task, and its text goes no further than that task.
     """
-    asked = questions.select("query_id", important_words(F.col("question")).alias("important"))
-    proposals = (documents.select("doc_id", F.col("text").alias("context"))
-                 .join(hits.join(asked, "query_id"), "doc_id"))
-    proposals = (best_sentence(proposals, F.col("important"), answer_sentences(F.col("context")))
-                 .select("query_id", "rank", "doc_id", "answer",
-                         F.round(F.col("confidence") * F.col("score"), 6).alias("weight")))
+    hits = staged(hits.select("query_id", "doc_id", "score", "rank"), "hits")
+    copies = hits.groupBy("doc_id").agg(F.ceil(F.count("*") / per_copy).alias("copies"))
+    wanted = questions.select("query_id", important_words(F.col("question")).alias("important"))
+    asked = (hits.join(copies, "doc_id").join(wanted, "query_id")
+             .groupBy("doc_id", F.pmod(F.xxhash64("query_id"), F.col("copies")).alias("copy"))
+             .agg(F.collect_list(F.struct("query_id", "rank", "score", "important")).alias("asked")))
+
+    def proposal(a, sents, top):
+        answer, confidence = _reply(a["important"], sents, top)
+        return F.struct(a["query_id"].alias("query_id"), a["rank"].alias("rank"), answer.alias("answer"),
+                        F.round(confidence * a["score"], 6).alias("weight"))
+
+    proposed = let(answer_sentences(F.col("text")), lambda sents: let(
+        _split_words(sents), lambda split: F.transform(F.col("asked"), lambda a: let(
+            _best(a["important"], split), lambda top: proposal(a, sents, top)))))
+    proposals = (documents.select("doc_id", "text").join(asked, "doc_id")
+                 .repartition("doc_id", "copy")
+                 .select("doc_id", F.inline(proposed)))
     best = (proposals.groupBy("query_id")
             .agg(F.max_by(F.struct("answer", "weight", "doc_id"),
                           F.struct("weight", -F.col("rank"))).alias("best")))

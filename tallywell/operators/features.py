@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -39,56 +38,47 @@ def ratio(numerator: Column, denominator: Column) -> Column:
     return F.try_divide(numerator.cast("double"), denominator.cast("double"))
 
 
-def usage_per_month() -> Column:
-    return ratio(F.col("usage_frequency"), F.col("contract_duration"))
+def ratio_sql(numerator: str, denominator: str) -> str:
+    return f"try_divide(double({numerator}), double({denominator}))"
 
 
-def margin() -> Column:
-    return F.col("revenue") - F.col("cost")
-
-
-def margin_percentage() -> Column:
-    return ratio(margin(), F.col("revenue")) * 100
-
-
-def tenure_group() -> Column:
+def tenure_group_sql(tenure: str = "tenure") -> str:
     """Right-closed bin label; 0, negative and NULL tenure have none."""
-    tenure = F.col("tenure")
-    label = F.lit(None).cast("string")
-    for low, high, name in TENURE_BINS:
-        inside = tenure > low if high is None else (tenure > low) & (tenure <= high)
-        label = F.when(inside, name).otherwise(label)
-    return label
+    cases = [f"WHEN {tenure} > {low}" + (f" AND {tenure} <= {high}" if high is not None else "") + f" THEN '{name}'"
+             for low, high, name in TENURE_BINS]
+    return f"CASE {' '.join(cases)} END"
 
 
-def total_services(columns: Sequence[str]) -> Column:
+def total_services_sql(columns: Sequence[str]) -> str:
     """Row sum where NULL counts as 0."""
-    return reduce(lambda a, b: a + b, [F.coalesce(F.col(c), F.lit(0)) for c in columns])
-
+    return " + ".join(f"coalesce(`{c}`, 0)" for c in columns)
 
-def support_calls_per_month() -> Column:
-    return ratio(F.col("support_calls"), F.col("tenure"))
 
-
-def derived_features(columns: Sequence[str]) -> dict[str, Column]:
-    """Every derived feature whose inputs are among ``columns``."""
+def derived_sql(columns: Sequence[str]) -> dict[str, str]:
+    """SQL of every derived feature whose inputs are among ``columns``. The
+    same text serves a projection and a saved pipeline stage."""
     have = set(columns)
-    out: dict[str, Column] = {}
+    out: dict[str, str] = {}
     if {"usage_frequency", "contract_duration"} <= have:
-        out["usage_per_month"] = usage_per_month()
+        out["usage_per_month"] = ratio_sql("usage_frequency", "contract_duration")
     if {"revenue", "cost"} <= have:
-        out["margin"] = margin()
-        out["margin_percentage"] = margin_percentage()
+        out["margin"] = "revenue - cost"
+        out["margin_percentage"] = ratio_sql("revenue - cost", "revenue") + " * 100"
     if "tenure" in have:
-        out["tenure_group"] = tenure_group()
+        out["tenure_group"] = tenure_group_sql()
     services = [c for c in columns if c.startswith(SERVICE_PREFIX)]
     if len(services) > 1:
-        out["total_services"] = total_services(services)
+        out["total_services"] = total_services_sql(services)
     if {"support_calls", "tenure"} <= have:
-        out["support_calls_per_month"] = support_calls_per_month()
+        out["support_calls_per_month"] = ratio_sql("support_calls", "tenure")
     return out
 
 
+def derived_features(columns: Sequence[str]) -> dict[str, Column]:
+    """:func:`derived_sql` as columns."""
+    return {n: F.expr(s) for n, s in derived_sql(columns).items()}
+
+
 def engineer_features(df: DataFrame) -> DataFrame:
     """Append all derived features in one projection over the input columns."""
     return df.withColumns(derived_features(df.columns))

@@ -540,5 +540,67 @@ def text_queries() -> dict[str, str]:
     }
 
 
+RULE_TERMS = {"contract_type": "t_contract", "support_calls_per_month": "t_calls",
+              "total_services": "t_services", "late_payments": "t_late", "tenure": "t_tenure"}
+
+CONTRIB = SC + ",\ncontrib AS MATERIALIZED (" + "\nUNION ALL\n".join(
+    f"SELECT customer_id, rule_score, '{n}' AS feature, round({t} - avg({t}) OVER (), 6) AS contribution FROM sc"
+    for n, t in RULE_TERMS.items()) + ")"
+
+MEDIAN = "coalesce({c}::DOUBLE, median({c}::DOUBLE) OVER ())"
+MODE = ("coalesce({c}, (SELECT {c} FROM cf WHERE {c} IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1))")
+
+
+def prepared_sum() -> str:
+    """Sum of the scaled numeric features plus one per seen category, fitted on
+    the training rows of the stratified split."""
+    names = NUMERIC + [n for n in ENGINEERED if n != "tenure_group"]
+    cats = CATEGORICAL + ["tenure_group"]
+    fit = ", ".join(f"median({n}::DOUBLE) AS med_{n}" for n in names)
+    scale = ", ".join(f"avg(coalesce({n}::DOUBLE, med_{n})) AS mean_{n}, stddev_pop(coalesce({n}::DOUBLE, med_{n})) AS dev_{n}"
+                      for n in names)
+    total = " + ".join(f"(coalesce({n}::DOUBLE, med_{n}) - mean_{n}) / (CASE WHEN dev_{n} = 0 THEN 1 ELSE dev_{n} END)"
+                       for n in names)
+    seen = " + ".join(f"({c} IS NULL OR {c} IN (SELECT {c} FROM wide WHERE is_test = 0 AND {c} IS NOT NULL))::INT" for c in cats)
+    slots = " + ".join(f"(SELECT count(DISTINCT {c}) FROM wide WHERE is_test = 0)" for c in cats)
+    exprs = ", ".join(f"{e} AS {n}" for n, e in ENGINEERED.items())
+    return f"""WITH {CF},
+wide AS MATERIALIZED (SELECT *, {exprs}, (row_number() OVER (PARTITION BY "Churn" ORDER BY md5(customer_id::VARCHAR || '|42'))
+    <= round(0.2::DOUBLE * count(*) OVER (PARTITION BY "Churn")))::INT AS is_test FROM cf),
+fit AS MATERIALIZED (SELECT {fit} FROM wide WHERE is_test = 0),
+scale AS MATERIALIZED (SELECT {scale} FROM wide, fit WHERE is_test = 0)
+SELECT customer_id, is_test, {len(names)} + {slots} AS n_slots, round({total} + {seen}, 4) AS slot_sum FROM wide, fit, scale"""
+
+
+def models() -> dict[str, str]:
+    def columns(names, template):
+        return ", ".join(f"{template.format(c=q(c))} AS {q(c)}" for c in names)
+
+    filled = f"SELECT customer_id, {columns(NUMERIC, MEDIAN)} FROM cf"
+    scaled = "({c} - avg({c}) OVER ()) / coalesce(nullif(stddev_pop({c}) OVER (), 0), 1)"
+    categories = f"SELECT customer_id, {columns(CATEGORICAL, MODE)} FROM cf"
+    return {
+        "impute_median": cf(filled),
+        "impute_mode": cf(categories),
+        "standardize": cf(f"SELECT customer_id, {columns(NUMERIC, 'round(' + scaled + ', 6)')} FROM ({filled})"),
+        "one_hot": cf("\nUNION ALL\n".join(
+            f"SELECT customer_id, '{c}' AS column_name, {c} AS category, 1 AS value FROM ({categories})" for c in CATEGORICAL)),
+        "prep_pipeline": prepared_sum(),
+        "explain_rows": f"WITH {CONTRIB} SELECT customer_id, feature, contribution FROM contrib WHERE customer_id IN "
+                        "(SELECT customer_id FROM sc ORDER BY rule_score DESC, customer_id LIMIT 5)",
+        "topk_factors": f"""WITH {CONTRIB} SELECT customer_id, feature, abs(contribution) AS importance,
+             row_number() OVER (PARTITION BY customer_id ORDER BY abs(contribution) DESC, feature) AS rank
+             FROM contrib QUALIFY rank <= 3""",
+        "feature_importance": sc("\nUNION ALL\n".join(
+            f"SELECT '{n}' AS feature, round(avg(abs(t - m)), 6) AS importance FROM (SELECT {t} AS t, avg({t}) OVER () AS m FROM sc)"
+            for n, t in RULE_TERMS.items())),
+        "explanation_report": f"""WITH {CONTRIB} SELECT customer_id, rule_score AS risk_probability, feature,
+             abs(contribution) AS importance,
+             row_number() OVER (PARTITION BY customer_id ORDER BY abs(contribution) DESC, feature) AS rank
+             FROM contrib WHERE customer_id IN (SELECT customer_id FROM sc ORDER BY rule_score DESC, customer_id LIMIT 5)
+             QUALIFY rank <= 5""",
+    }
+
+
 def oracle_sql() -> dict[str, str]:
-    return {**tables_and_profile(), **evaluation(), **text_queries()}
+    return {**tables_and_profile(), **evaluation(), **text_queries(), **models()}

@@ -4,14 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallywell.functions import numeric, text
-from tallywell.operators import (answers, chunking, distribution, features, lexical, metrics,
-                                 profile, risk, split, vectors)
+from tallywell.operators import (answers, chunking, distribution, explain, features, lexical, metrics,
+                                 prep, profile, risk, split, training, vectors)
 from tallywell.plans.customer_view import (CATEGORICAL, NUMERIC, customer_features,
                                            scored_customers)
+from tallywell.plans.pipeline import run_risk_pipeline
 from tallywell.session import scratch_path, staged
 from tallywell.plans.questions import (chunk_table, documents, questions, spread_documents,
                                        stored_vectors)
@@ -465,5 +467,176 @@ def _text_queries() -> dict[str, Query]:
     }
 
 
+ID = "customer_id"
+LABEL = "label_sig"
+
+
+def _impute_median(spark, base):
+    df = _cf_staged(spark, base).select(ID, *NUMERIC)
+    return prep.impute_median(df, prep.medians(df, NUMERIC))
+
+
+def _impute_mode(spark, base):
+    df = _cf_staged(spark, base).select(ID, *CATEGORICAL)
+    return prep.impute_mode(df, prep.modes(df, CATEGORICAL))
+
+
+def _standardize(spark, base):
+    df = _impute_median(spark, base)
+    return prep.standardize(df, prep.scaling(df, NUMERIC)).select(ID, *[F.round(c, 6).alias(c) for c in NUMERIC])
+
+
+def _one_hot(spark, base):
+    filled = _impute_mode(spark, base)
+    df = staged(filled.select(ID, *[F.col(c).alias(f"cat_{c}") for c in CATEGORICAL]), "categories")
+    indexer, encoder = prep.one_hot_stages(CATEGORICAL)
+    index = indexer.fit(df)
+    indexed = index.transform(df)
+    coded = encoder.fit(indexed).transform(indexed)
+
+    def slots(column, names):
+        return F.transform(vector_to_array(f"onehot_{column}"), lambda v, i: F.struct(
+            F.lit(column).alias("column_name"), F.lit(list(names))[i].alias("category"),
+            v.cast("int").alias("value")))
+
+    rows = F.concat(*[slots(c, names) for c, names in zip(CATEGORICAL, index.labelsArray)])
+    return coded.select(ID, F.inline(F.filter(rows, lambda r: r["value"] > 0)))
+
+
+def _prep_pipeline(spark, base):
+    df = staged(split.stratified_split(customer_features(spark, base), "Churn", ID), "split")
+    train, _ = split.train_test(df)
+    fitted = prep.fit_preparation(train, "Churn", [ID])
+    values = vector_to_array("features")
+    return fitted.transform(df).select(
+        ID, F.col("is_test").cast("int").alias("is_test"), F.size(values).cast("bigint").alias("n_slots"),
+        F.round(F.aggregate(values, F.lit(0.0), lambda a, v: a + v), 4).alias("slot_sum"))
+
+
+def _labelled(spark, base):
+    """The feature view with the learnable label, without what it is made of."""
+    return scored_customers(spark, base).drop("rule_score", "pred", "Churn")
+
+
+def _trained(spark, base, kind, params=None):
+    train, test = training.hold_out(_labelled(spark, base), LABEL, ID)
+    prepared = training.prepare_training(train, LABEL, [ID])
+    return training.fit_model(prepared, kind, params), prepared, train, test
+
+
+def _train(kind):
+    def run(spark, base):
+        model, _, _, test = _trained(spark, base, kind)
+        row = {"model": kind, "ordinal": 0, **training.evaluate_model(model, test, LABEL)}
+        return spark.createDataFrame([tuple(row[f.name] for f in training.METRIC_SCHEMA.fields)], training.METRIC_SCHEMA)
+    return run
+
+
+def _score(spark, base):
+    model, _, train, test = _trained(spark, base, "LogisticRegression")
+    return training.score(model, train.unionByName(test)).select(
+        ID, LABEL, "churn_prediction", "churn_probability", "risk_category")
+
+
+def _compare_models(spark, base):
+    train, test = training.hold_out(_labelled(spark, base), LABEL, ID)
+    return training.compare_models(train, test, LABEL, [ID]).metrics
+
+
+def _grid_search(spark, base):
+    train, _ = training.hold_out(_labelled(spark, base), LABEL, ID)
+    return training.grid_search(train, LABEL, ID, "LogisticRegression", [ID]).results
+
+
+def _model_store(spark, base):
+    model, _, train, test = _trained(spark, base, "LogisticRegression")
+    folder = scratch_path(spark, "models")
+    training.save_model(model, folder, spark)
+    again = training.load_model(folder, spark)
+    rows = train.unionByName(test)
+    first = training.score(model, rows).select(ID, F.col("churn_probability").alias("saved"))
+    second = training.score(again, rows).select(ID, F.col("churn_probability").alias("loaded"))
+    return first.join(second, ID).select(ID, "saved", "loaded", (F.col("saved") == F.col("loaded")).cast("int").alias("same"))
+
+
+def _model_metadata(spark, base):
+    model, prepared, _, test = _trained(spark, base, "LogisticRegression")
+    performance = training.evaluate_model(model, test, LABEL)
+    path = training.save_model(model, scratch_path(spark, "models"), spark)
+    meta = training.model_metadata(spark, "LogisticRegression", LABEL, performance,
+                                   prepared.preparation.numeric + prepared.preparation.categorical, path)
+    stored = tables.load_table(spark, tables.write_json(meta, scratch_path(spark, "metadata")), meta.schema, "json")
+    return stored.select("model_type", "target_column", F.col("performance")["roc_auc"].alias("roc_auc"),
+                         F.array_join("feature_names", ",").alias("feature_names"))
+
+
+def _rule_explained(spark, base):
+    df = staged(scored_customers(spark, base), "scored")
+    return df, explain.centred_terms(df, risk.rule_terms())
+
+
+def _explain_rows(spark, base):
+    df, terms = _rule_explained(spark, base)
+    return explain.long_contributions(explain.riskiest(df, "rule_score", 5, ID), terms, ID)
+
+
+def _topk_factors(spark, base):
+    df, terms = _rule_explained(spark, base)
+    factors = explain.top_factors(explain.long_contributions(df, terms, ID), ID, 3)
+    return _big(factors.select(ID, "feature", "importance", "rank"), "rank")
+
+
+def _explanation_report(spark, base):
+    df, terms = _rule_explained(spark, base)
+    rows = staged(explain.riskiest(df, "rule_score", 5, ID), "riskiest")
+    factors = explain.top_factors(explain.long_contributions(rows, terms, ID), ID)
+    report = explain.explanation_report(rows, factors, ID, "rule_score")
+    return report.select(ID, "risk_probability", F.posexplode("top_factors").alias("pos", "f")).select(
+        ID, "risk_probability", (F.col("pos") + 1).cast("bigint").alias("rank"), "f.feature", "f.importance")
+
+
+def _explain_linear(spark, base):
+    model, prepared, train, test = _trained(spark, base, "LogisticRegression")
+    rows = training.score(model, test).orderBy(F.desc("churn_probability"), ID).limit(5).select(*test.columns)
+    return explain.linear_contributions(model, prepared.preparation, rows, train, ID)
+
+
+def _explain_shapley(spark, base):
+    model, prepared, _, test = _trained(spark, base, "RandomForest", {"n_estimators": 20})
+    rows = training.score(model, test).orderBy(F.desc("churn_probability"), ID).limit(5).select(*test.columns)
+    names = [c for c in test.columns if c in prepared.preparation.numeric + prepared.preparation.categorical]
+    return explain.sampled_shapley(model, prepared.preparation, rows, ID, names)
+
+
+def _risk_pipeline(spark, base):
+    run = run_risk_pipeline(spark, _labelled(spark, base), scratch_path(spark, "risk-run"), LABEL, ID)
+    return run.distribution
+
+
+def _model_queries() -> dict[str, Query]:
+    return {
+        "impute_median": _impute_median,
+        "impute_mode": _impute_mode,
+        "standardize": _standardize,
+        "one_hot": _one_hot,
+        "prep_pipeline": _prep_pipeline,
+        "train_lr": _train("LogisticRegression"),
+        "train_rf": _train("RandomForest"),
+        "train_gbt": _train("GradientBoosting"),
+        "score": _score,
+        "compare_models": _compare_models,
+        "grid_search": _grid_search,
+        "model_store": _model_store,
+        "model_metadata": _model_metadata,
+        "explain_rows": _explain_rows,
+        "explain_rows_linear": _explain_linear,
+        "explain_rows_shapley": _explain_shapley,
+        "topk_factors": _topk_factors,
+        "feature_importance": lambda s, b: explain.feature_importance(*_rule_explained(s, b)),
+        "explanation_report": _explanation_report,
+        "risk_pipeline": _risk_pipeline,
+    }
+
+
 def queries() -> dict[str, Query]:
-    return {**_table_queries(), **_evaluation_queries(), **_text_queries()}
+    return {**_table_queries(), **_evaluation_queries(), **_text_queries(), **_model_queries()}
