@@ -121,12 +121,12 @@ def evaluate_model(model: PipelineModel, test: DataFrame, label: str) -> dict[st
 
 
 def compare_models(train: DataFrame, test: DataFrame, label: str, exclude: Iterable[str] = (),
-                   kinds: Sequence[str] = MODEL_TYPES, params: Mapping[str, Mapping] | None = None) -> Comparison:
+                   kinds: Sequence[str] | None = None, params: Mapping[str, Mapping] | None = None) -> Comparison:
     """Train every kind on the same prepared rows and evaluate it on ``test``;
     the highest ROC area wins, the earlier kind on ties."""
     prepared = prepare_training(train, label, exclude)
     models, rows = {}, []
-    for i, kind in enumerate(kinds):
+    for i, kind in enumerate(kinds or MODEL_TYPES):
         models[kind] = fit_model(prepared, kind, (params or {}).get(kind))
         rows.append({"model": kind, "ordinal": i, **evaluate_model(models[kind], test, label)})
         log.info("%s: %s", kind, rows[-1])
