@@ -207,17 +207,51 @@ def dq_report(df: DataFrame, target: str | None = None, exclude: Sequence[str] =
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Pearson correlation of every column pair over rows where both are
     present, as the lower triangle ``(col_a, col_b, corr)``; NULL if either
-    side is constant. One pass, one row per task."""
+    side is constant.
+
+    Rows are summed per pattern of missing columns, one sum per column and
+    pair, and the pairs are put together from the few pattern rows. Values are
+    centred first so the sums do not cancel.
+    """
     columns = list(columns)
-    aggs, rows = [], []
-    for i, (b, a) in enumerate(combinations(columns, 2)):
-        y, x = F.col(a).cast("double"), F.col(b).cast("double")
-        aggs += [F.regr_sxy(y, x).alias(f"xy{i}"), F.regr_sxx(y, x).alias(f"xx{i}"),
-                 F.regr_syy(y, x).alias(f"yy{i}")]
-        r = F.try_divide(F.col(f"xy{i}"), F.sqrt(F.col(f"xx{i}")) * F.sqrt(F.col(f"yy{i}")))
-        rows.append(F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"),
-                             F.round(r, 6).alias("corr")))
-    return df.agg(*aggs).select(F.inline(F.array(*rows)))
+    shape = df.agg(*[a for i, c in enumerate(columns) for a in (
+        F.avg(F.col(c).cast("double")).alias(f"m{i}"), F.min(c).alias(f"lo{i}"), F.max(c).alias(f"hi{i}"))]).first()
+    width = range(len(columns))
+    centred = df.select(
+        F.concat(*[F.when(F.col(c).isNull(), "0").otherwise("1") for c in columns]).alias("pattern"),
+        *[F.coalesce(F.col(c).cast("double") - F.lit(shape[f"m{i}"]), F.lit(0.0)).alias(f"x{i}")
+          for i, c in enumerate(columns)])
+    sums = centred.groupBy("pattern").agg(
+        F.count("*").alias("n"), *[F.expr(f"sum(x{i}) AS s{i}") for i in width],
+        *[F.expr(f"sum(x{i} * x{j}) AS p{i}_{j}") for i in width for j in width if i <= j])
+    place = {(i, j): n for n, (i, j) in enumerate((i, j) for i in width for j in width if i <= j)}
+    pairs = F.expr("array(" + ", ".join(
+        f"named_struct('a', {j}, 'b', {i}, 'ii', {place[i, i]}, 'jj', {place[j, j]}, 'ij', {place[i, j]})"
+        for i, j in combinations(width, 2)) + ")")
+    name = F.lit(columns)
+    # Arrays, not hundreds of columns: the assembly stays small code.
+    folded = sums.select("pattern", "n", F.array(*[f"s{i}" for i in width]).alias("s"),
+                         F.array(*[f"p{i}_{j}" for i, j in place]).alias("p"), F.explode(pairs).alias("k"))
+    present = F.lit("1")
+    both = (F.substring("pattern", F.col("k.b") + 1, F.lit(1)) == present) \
+        & (F.substring("pattern", F.col("k.a") + 1, F.lit(1)) == present)
+    s_, p_, k_ = F.col("s"), F.col("p"), F.col("k")
+    parts = {"n": F.col("n"), "sx": s_[k_["b"]], "sy": s_[k_["a"]],
+             "sxx": p_[k_["ii"]], "syy": p_[k_["jj"]], "sxy": p_[k_["ij"]]}
+    pairs = (folded.groupBy(name[k_["a"]].alias("col_a"), name[k_["b"]].alias("col_b"))
+             .agg(*[F.sum(F.when(both, v)).alias(part) for part, v in parts.items()]))
+
+    def spread(total, square):
+        # Equal values can leave rounding dust; it is no variance.
+        left = F.col(square) - F.try_divide(F.col(total) * F.col(total), F.col("n"))
+        return F.when(left > 1e-12 * F.col(square), left)
+
+    constant = [c for i, c in enumerate(columns) if shape[f"lo{i}"] == shape[f"hi{i}"]]
+    r = F.try_divide(F.col("sxy") - F.try_divide(F.col("sx") * F.col("sy"), F.col("n")),
+                     F.sqrt(spread("sx", "sxx")) * F.sqrt(spread("sy", "syy")))
+    if constant:
+        r = F.when(~F.col("col_a").isin(constant) & ~F.col("col_b").isin(constant), r)
+    return pairs.select("col_a", "col_b", F.round(r, 6).alias("corr"))
 
 
 def target_correlation(df: DataFrame, columns: Sequence[str], target: str) -> DataFrame:

@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 
 from tallywell.functions.numeric import similarity_from_distance
 from tallywell.functions.text import is_blank, tokens
-from tallywell.operators.blocksearch import (QUERY_LIMIT, UNIT, DenseQueries, block_topk, received,
-                                             shipped)
+from tallywell.operators.blocksearch import (QUERY_LIMIT, SCORE_CELLS, UNIT, DenseQueries, block_topk,
+                                             received, shipped)
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -101,17 +101,18 @@ def similarity_summary(corpus: DataFrame, queries: DataFrame, threshold: float =
             n, similar = 0, np.zeros(len(scorer.ids), dtype=np.int64)
             best = np.full(len(scorer.ids), np.iinfo(np.int64).min)
             for batch in batches:
-                ranks = scorer.ranks(pa.Table.from_batches([batch]))
-                if len(ranks):
-                    n += len(ranks)
-                    similar += (ranks >= low).sum(axis=0)
-                    best = np.maximum(best, ranks.max(axis=0))
+                for at in range(0, batch.num_rows, step := max(1, SCORE_CELLS // max(1, len(scorer.ids)))):
+                    ranks = scorer.ranks(pa.Table.from_batches([batch.slice(at, step)]))
+                    n += ranks.shape[1]
+                    similar += (ranks >= low).sum(axis=1)
+                    best = np.maximum(best, ranks.max(axis=1))
             if n and scorer.ids:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(scorer.ids), pa.array(np.full(len(scorer.ids), n)), pa.array(similar), pa.array(best)],
                     names=["query_id", "n_scored", "n_similar", "best"])
 
-        one = corpus.select("vector").mapInArrow(reduce, schema)
+        one = (corpus.select("vector").coalesce(4 * spark.sparkContext.defaultParallelism)
+               .mapInArrow(reduce, schema))
         out = one if out is None else out.unionByName(one)
     return out.groupBy("query_id").agg(F.sum("n_scored").alias("n_scored"), F.sum("n_similar").alias("n_similar"),
                                        (F.max("best") / UNIT).alias("best"))

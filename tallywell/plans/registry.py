@@ -131,7 +131,7 @@ def _table_queries() -> dict[str, Query]:
         "dq_imbalanced": lambda s, b: profile.dq_imbalanced(
             _cf(s, b), CATEGORICAL + ["service_view", "service_signup"]),
         "dq_report": lambda s, b: profile.dq_report(_cf_staged(s, b), "Churn", ["customer_id"]),
-        "correlation_matrix": lambda s, b: profile.correlation_matrix(_cf(s, b), NUMERIC),
+        "correlation_matrix": lambda s, b: profile.correlation_matrix(_cf_staged(s, b), NUMERIC),
         "target_correlation": lambda s, b: profile.target_correlation(_cf(s, b), NUMERIC, "Churn"),
         "topk_numeric_by_corr": lambda s, b: profile.topk_numeric_by_corr(_cf(s, b), NUMERIC, "Churn"),
         "topk_categorical_by_cardinality": lambda s, b: profile.topk_categorical_by_cardinality(_cf(s, b), CATEGORICAL),
