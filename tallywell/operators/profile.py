@@ -202,6 +202,34 @@ def dq_report(df: DataFrame, target: str | None = None, exclude: Sequence[str] =
     return out
 
 
+def data_summary(df: DataFrame, target: str | None = None, exclude: Sequence[str] = (),
+                 limit: int = EXACT_LIMIT) -> DataFrame:
+    """Shape, types, missing values, target shares, numeric statistics and
+    leading categories in one long table ``(section, column_name, metric, value)``."""
+    numeric, categorical = feature_types(df, None, exclude)
+
+    def long(part: DataFrame, section: str, name: Column, metrics: Sequence[str]) -> DataFrame:
+        rows = F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).cast("string").alias("value"))
+                         for m in metrics])
+        return part.select(F.lit(section).alias("section"), name.alias("column_name"), F.inline(rows))
+
+    column = F.col("column_name")
+    parts = [long(profile_shape(df), "shape", column, ["n_rows", "n_columns", "position", "dtype"]),
+             long(profile_missing(df), "missing", column, ["missing", "missing_pct"])]
+    if target in df.columns:
+        parts.append(long(profile_target(df, target), "target", F.col(target).cast("string"), ["n", "pct"]))
+    if numeric:
+        parts.append(long(profile_numeric(df, numeric, limit), "numeric", column,
+                          ["n", "mean", "std", "min", "p25", "p50", "p75", "max"]))
+    if categorical:
+        parts.append(long(profile_categorical(df, categorical), "categorical", column,
+                          ["rank", "value", "n", "n_distinct"]))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 # -- correlation --------------------------------------------------------------
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -181,8 +181,9 @@ def grid_search(train: DataFrame, label: str, id_col: str, kind: str, exclude: I
 
 
 def hold_out(df: DataFrame, label: str, id_col: str, test_size: float = 0.2, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
-    """Stratified training and test rows, both written once."""
-    return train_test(staged(stratified_split(df, label, id_col, test_size, seed), "split"))
+    """Stratified training and test rows. ``df`` is computed once, and so is
+    the split, which reads its input several times."""
+    return train_test(staged(stratified_split(staged(df, "labelled"), label, id_col, test_size, seed), "split"))
 
 
 # -- store ----------------------------------------------------------------------

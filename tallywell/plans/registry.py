@@ -164,13 +164,17 @@ def _best_rule(spark, base):
     return metrics.best_model(out)
 
 
+def _ids_and_labels(spark, base):
+    return staged(_cf(spark, base).select("customer_id", "Churn"), "labels")
+
+
 def _evaluation_queries() -> dict[str, Query]:
     return {
         "stratified_split": lambda s, b: split.stratified_split(
-            _cf(s, b), "Churn", "customer_id").select("customer_id", "Churn", F.col("is_test").cast("int").alias("is_test")),
+            _ids_and_labels(s, b), "Churn", "customer_id").select("customer_id", "Churn", F.col("is_test").cast("int").alias("is_test")),
         "stratified_kfold": lambda s, b: split.stratified_kfold(
-            _cf(s, b), "Churn", "customer_id").select("customer_id", "Churn", "fold"),
-        "class_weights": lambda s, b: split.class_weight_table(_cf_staged(s, b), "Churn"),
+            _ids_and_labels(s, b), "Churn", "customer_id").select("customer_id", "Churn", "fold"),
+        "class_weights": lambda s, b: split.class_weight_table(_ids_and_labels(s, b), "Churn"),
         "confusion_matrix": lambda s, b: metrics.confusion_matrix(scored_customers(s, b), "Churn", "pred"),
         "classification_metrics": lambda s, b: metrics.classification_metrics(scored_customers(s, b), "Churn", "pred"),
         "roc_curve": _metric(metrics.roc_curve),
@@ -504,7 +508,7 @@ def _one_hot(spark, base):
 
 
 def _prep_pipeline(spark, base):
-    df = staged(split.stratified_split(customer_features(spark, base), "Churn", ID), "split")
+    df = staged(split.stratified_split(_cf_staged(spark, base), "Churn", ID), "split")
     train, _ = split.train_test(df)
     fitted = prep.fit_preparation(train, "Churn", [ID])
     values = vector_to_array("features")

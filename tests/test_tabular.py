@@ -196,3 +196,11 @@ def test_csv_round_trip(spark, tmp_path):
 def test_staged_tables_lie_in_the_shared_folder(spark):
     df = staged(spark.range(5))
     assert df.count() == 5 and shared_dir(spark) in df.inputFiles()[0]
+
+
+def test_summary_has_every_section(spark):
+    df = spark.createDataFrame([(1, 2.0, "a", 0), (2, None, None, 1)], "id int, x double, c string, y int")
+    rows = profile.data_summary(df, "y", ["id"]).collect()
+    assert {r["section"] for r in rows} == {"shape", "missing", "target", "numeric", "categorical"}
+    got = {(r["section"], r["column_name"], r["metric"]): r["value"] for r in rows}
+    assert got["missing", "x", "missing_pct"] == "50.0" and got["target", "1", "n"] == "1"

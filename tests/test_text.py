@@ -284,3 +284,21 @@ def test_vectors_of_another_model_are_refused(spark, tmp_path):
     assert corpus.load_embeddings(spark, path, "m1")[1].first()["embedding_size"] == 2
     with pytest.raises(ValueError):
         corpus.load_embeddings(spark, path, "m2")
+
+
+def test_index_and_ask(spark, tmp_path):
+    from tallywell.plans.document_run import answer_batch, index_directory
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.txt").write_text("Cats sleep all day. Dogs bark at night.")
+    (tmp_path / "in" / "b.txt").write_text("Trains leave at noon. Buses never leave.")
+    # A term in half of all chunks has a BM25 weight of 0, hence more files.
+    (tmp_path / "in" / "c.txt").write_text("Rain falls.")
+    (tmp_path / "in" / "d.md").write_text("Snow melts.")
+    asked = spark.createDataFrame([("1", "when do trains leave"), ("2", "who is it that sleep like cats")],
+                                  "query_id string, question string")
+    for with_vectors in (True, False):
+        store = index_directory(spark, str(tmp_path / "in"), str(tmp_path / f"store{with_vectors}"),
+                                with_vectors=with_vectors)
+        got = {r["query_id"]: r for r in answer_batch(spark, store, asked, k=1).collect()}
+        assert got["1"]["answer"] == "trains leave at noon" and got["1"]["sources"][0]["title"] == "b.txt"
+        assert got["2"]["answer"] == "cats sleep all day" and got["2"]["confidence"] > 0.1
