@@ -3,10 +3,7 @@
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterator
 
-import numpy as np
-import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.ml.feature import CountVectorizerModel, Normalizer
 from pyspark.ml.functions import vector_to_array
@@ -15,8 +12,8 @@ from pyspark.sql import functions as F
 
 from tallywell.functions.numeric import similarity_from_distance
 from tallywell.functions.text import is_blank, tokens
-from tallywell.operators.blocksearch import (QUERY_LIMIT, SCORE_CELLS, UNIT, DenseQueries, block_topk,
-                                             received, shipped)
+from tallywell.operators.blocksearch import (QUERY_LIMIT, UNIT, DenseQueries, block_summary,
+                                             block_topk)
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -81,38 +78,9 @@ def _search(corpus, queries, keys, measure, k, floor, query_limit):
                       lambda t: DenseQueries(t, measure), F.size("vector"), k, floor, query_limit)
 
 
-def similarity_summary(corpus: DataFrame, queries: DataFrame, threshold: float = 0.0) -> DataFrame:
+def similarity_summary(corpus: DataFrame, queries: DataFrame, keys: list[str], threshold: float = 0.0,
+                       query_limit: int = QUERY_LIMIT) -> DataFrame:
     """Every query against every corpus vector by cosine, reduced as it is
-    computed: ``(query_id, n_scored, n_similar, best)``. Tasks send one row per
-    query. The query vectors travel in pieces of at most ``QUERY_LIMIT`` numbers.
-    """
-    spark = corpus.sparkSession
-    total = queries.agg(F.coalesce(F.sum(F.size("vector")), F.lit(0))).first()[0]
-    pieces = max(1, -(-total // QUERY_LIMIT))
-    schema = f"query_id {queries.schema['query_id'].dataType.simpleString()}, n_scored long, n_similar long, best long"
-    low = int(np.ceil(threshold * UNIT))
-    out = None
-    for piece in range(pieces):
-        part = queries.filter(F.pmod(F.xxhash64("query_id"), F.lit(pieces)) == piece).select("query_id", "vector")
-        held = shipped(spark, DenseQueries(part.toArrow(), "cosine"))
-
-        def reduce(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
-            scorer = received(held)
-            n, similar = 0, np.zeros(len(scorer.ids), dtype=np.int64)
-            best = np.full(len(scorer.ids), np.iinfo(np.int64).min)
-            for batch in batches:
-                for at in range(0, batch.num_rows, step := max(1, SCORE_CELLS // max(1, len(scorer.ids)))):
-                    ranks = scorer.ranks(pa.Table.from_batches([batch.slice(at, step)]))
-                    n += ranks.shape[1]
-                    similar += (ranks >= low).sum(axis=1)
-                    best = np.maximum(best, ranks.max(axis=1))
-            if n and scorer.ids:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(scorer.ids), pa.array(np.full(len(scorer.ids), n)), pa.array(similar), pa.array(best)],
-                    names=["query_id", "n_scored", "n_similar", "best"])
-
-        one = (corpus.select("vector").coalesce(4 * spark.sparkContext.defaultParallelism)
-               .mapInArrow(reduce, schema))
-        out = one if out is None else out.unionByName(one)
-    return out.groupBy("query_id").agg(F.sum("n_scored").alias("n_scored"), F.sum("n_similar").alias("n_similar"),
-                                       (F.max("best") / UNIT).alias("best"))
+    computed: ``(query_id, n_scored, n_similar, best)``."""
+    return block_summary(corpus.select(*keys, "vector"), keys, queries.select("query_id", "vector"),
+                         lambda t: DenseQueries(t, "cosine"), F.size("vector"), threshold, query_limit)

@@ -524,8 +524,8 @@ def text_queries() -> dict[str, str]:
              length(regexp_replace(lower(html), '\\s+', ' ', 'g')) AS squashed_length, starts_with(url, 'https')::INT AS is_https,
              (trim(html) = '')::INT AS is_blank,
              lower(coalesce(regexp_extract(regexp_extract(regexp_extract(url, '^[^?#]*'), '[^/]*$'), '^.+(\\.[^.]*)$', 1), '')) AS extension,
-             left(html, 15) AS start,
-             array_to_string(list_filter(string_split(regexp_replace(lower(left(html, 40)), '\\s+', ' ', 'g'), ' '), lambda w: w <> ''), '|') AS start_words,
+             left(html, 512) AS cut,
+             md5(array_to_string(list_filter(string_split(regexp_replace(lower(html), '\\s+', ' ', 'g'), ' '), lambda w: w <> ''), '|')) AS words_md5,
              'CUST_' || lpad(page_id::VARCHAR, 6, '0') AS formatted FROM pages""",
         "fn_math": cf("""SELECT customer_id, greatest(0, least(5000, c_acctbal)) AS clipped, round(c_acctbal, 0) AS rounded,
              abs(c_acctbal - 5000) AS away, round(cost / nullif(revenue, 0) * 100, 6) AS cost_share,

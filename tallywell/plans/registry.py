@@ -391,7 +391,7 @@ def _fn_string(spark, base):
         F.startswith(url, F.lit("https")).cast("int").alias("is_https"),
         text.is_blank(html).cast("int").alias("is_blank"),
         text.extension(F.substring_index(F.substring_index(url, "?", 1), "#", 1)).alias("extension"),
-        F.left(html, F.lit(15)).alias("start"), F.array_join(text.words(F.left(html, F.lit(40))), "|").alias("start_words"),
+        F.left(html, F.lit(answers.CONTEXT_CUT)).alias("cut"), F.md5(F.array_join(text.words(html), "|")).alias("words_md5"),
         F.format_string("CUST_%06d", F.col("page_id")).alias("formatted"))
 
 
@@ -441,7 +441,7 @@ def _text_queries() -> dict[str, Query]:
             chunk_table(s, b), documents(s, b).select("doc_id", "lang", "source")).select(
                 "chunk_id", "doc_id", "lang", "source", F.col("end_idx").cast("bigint").alias("end_idx")),
         "join_doc_embedding": _join_doc_embedding,
-        "join_query_corpus": lambda s, b: vectors.similarity_summary(stored_vectors(s, b), _own_queries(s, b)),
+        "join_query_corpus": lambda s, b: vectors.similarity_summary(stored_vectors(s, b), _own_queries(s, b), ["vec_id"]),
         "join_query_postings": lambda s, b: lexical.lexical_matches(
             lexical.lexical_index(chunk_table(s, b), KEYS), questions(s, b)),
         "join_positional": _join_positional,

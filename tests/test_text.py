@@ -160,6 +160,8 @@ def test_nearest_vectors_equal_brute_force_both_ways(spark, limit):
             n = math.sqrt(sum(a * a for a in v) * sum(a * a for a in data[q][1]))
             return round(sum(a * b for a, b in zip(v, data[q][1])) / n, 6) if n else 0.0
         assert cos.filter(F.col("query_id") == q).count() == sum(cosine(v) >= 0 for _, v in data)
+    for r in vectors.similarity_summary(df, asked, ["vec_id"], 0.0, limit).collect():
+        assert r["n_scored"] == 300 and r["n_similar"] == cos.filter(F.col("query_id") == r["query_id"]).count()
 
 
 def test_more_neighbours_keep_the_first(spark):
