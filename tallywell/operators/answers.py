@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tallywell.functions.text import answer_sentences, basename, important_words, let, words
 from tallywell.operators.lexical import LexicalIndex, normalized_scores, search_bm25
+from tallywell.operators.sentencematch import best_sentences
 from tallywell.operators.vectors import embed_text, knn_l2
 from tallywell.session import staged
 
@@ -92,17 +93,14 @@ def answer_questions(questions: DataFrame, hits: DataFrame, documents: DataFrame
              .groupBy("doc_id", F.pmod(F.xxhash64("query_id"), F.col("copies")).alias("copy"))
              .agg(F.collect_list(F.struct("query_id", "rank", "score", "important")).alias("asked")))
 
-    def proposal(a, sents, top):
-        answer, confidence = _reply(a["important"], sents, top)
-        return F.struct(a["query_id"].alias("query_id"), a["rank"].alias("rank"), answer.alias("answer"),
-                        F.round(confidence * a["score"], 6).alias("weight"))
-
-    proposed = let(answer_sentences(F.col("text")), lambda sents: let(
-        _split_words(sents), lambda split: F.transform(F.col("asked"), lambda a: let(
-            _best(a["important"], split), lambda top: proposal(a, sents, top)))))
-    proposals = (documents.select("doc_id", "text").join(asked, "doc_id")
-                 .repartition("doc_id", "copy")
-                 .select("doc_id", F.inline(proposed)))
+    matched = best_sentences(
+        documents.select("doc_id", "text").join(asked, "doc_id").repartition("doc_id", "copy")
+        .select("doc_id", _split_words(answer_sentences(F.col("text"))).alias("words"), "asked"))
+    confidence = F.when(F.col("hits") > 0, F.round(F.col("hits") / F.col("n_important"), 6)) \
+        .otherwise(F.lit(FALLBACK_CONFIDENCE))
+    proposals = (matched.join(wanted.select("query_id", F.size("important").alias("n_important")), "query_id")
+                 .select("query_id", "rank", "doc_id", F.col("sentence").alias("answer"),
+                         F.round(confidence * F.col("score"), 6).alias("weight")))
     best = (proposals.groupBy("query_id")
             .agg(F.max_by(F.struct("answer", "weight", "doc_id"),
                           F.struct("weight", -F.col("rank"))).alias("best")))

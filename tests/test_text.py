@@ -14,7 +14,7 @@ from tallywell.sources import corpus
 
 
 def plain_chunks(body, limit=1000):
-    """Reference fold over sentences, one document."""
+    """The fold over sentences as a plain loop, one document."""
     sents = [s for s in re.split(r"(?<=[.!?])\s+", body.rstrip()) if s]
     out, cur, size = [], [], 0
     for s in sents:
@@ -212,6 +212,21 @@ def test_answers_from_a_document_everyone_asks(spark):
         assert got[f"q{i:03d}"]["confidence"] == pytest.approx(0.333334, abs=2e-6)
 
 
+def test_sentence_match_in_pieces_takes_the_first_best(monkeypatch):
+    import pyarrow as pa
+
+    from tallywell.operators import sentencematch
+    rng = random.Random(4)
+    sents = [rng.choices("abcdefgh", k=rng.randint(0, 5)) for _ in range(60)]
+    asked = [rng.sample("abcdefghxyz", rng.randint(0, 6)) for _ in range(25)]
+    for cells in (30, 10**6):
+        monkeypatch.setattr(sentencematch, "CELLS", cells)
+        hits, place = sentencematch.match(pa.array(sents, pa.list_(pa.string())), pa.array(asked, pa.list_(pa.string())))
+        for q, h, p in zip(asked, hits, place):
+            counts = [len(set(q) & set(s)) for s in sents]
+            assert (h, p) == (max(counts), counts.index(max(counts)))
+
+
 def test_zero_scores_give_an_empty_answer(spark):
     asked = spark.createDataFrame([("q", "cat")], "query_id string, question string")
     docs = spark.createDataFrame([(1, "cat.")], "doc_id long, text string")
