@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywell.llm import byte_bpe, chat_format, exact_topk, license_scan, line_dedup, token_counts
+from tallywell.llm import (byte_bpe, chat_format, decontamination, exact_topk, license_scan, line_dedup, near_dedup,
+                           quality_rules, token_counts, toxicity)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,6 +22,26 @@ def op1_token_counts(spark, base):
     return token_counts.count_tokens(read(spark, base, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op2_decontamination(spark, base):
+    found = decontamination.find_leaks(read(spark, base, "documents"), read(spark, base, "benchmark"))
+    return found.select(F.col("id").alias("doc_id"), F.col("item").alias("item_id"), "score",
+                        F.col("question").alias("question_overlap"), F.col("answer").alias("answer_overlap"))
+
+
+def op3_quality_rules(spark, base):
+    docs = read(spark, base, "documents").select("doc_id", "text")
+    model = quality_rules.fit(docs, read(spark, base, "labels"))
+    doc = F.col("doc_id")
+    return quality_rules.score_quality(docs, model).select(
+        "doc_id", quality_rules.held_out(doc).alias("held_out"), "score",
+        F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
+
+
+def op4_near_dedup(spark, base):
+    found = near_dedup.near_duplicates(read(spark, base, "documents"))
+    return found.select(F.col("doc").alias("doc_id"), "class_id", "class_size", "kept")
+
+
 def op5_license_scan(spark, base):
     return license_scan.scan_licenses(read(spark, base, "documents"))
 
@@ -41,6 +62,13 @@ def op7_chat_format(spark, base):
                        "formatted_chars")
 
 
+def op8_toxicity(spark, base):
+    docs = read(spark, base, "documents").select("doc_id", "text")
+    labels = read(spark, base, "labels").where(~quality_rules.held_out(F.col("doc_id")))
+    model = toxicity.fit(docs, labels, "toxic", split_top=toxicity.GRADES)
+    return toxicity.score_severity(docs, model)
+
+
 def op9_line_dedup(spark, base):
     return line_dedup.dedup_lines(read(spark, base, "documents").select("doc_id", "text"))
 
@@ -100,8 +128,9 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_token_counts, op5_license_scan, op6_byte_bpe, op7_chat_format,
-                                    op9_line_dedup, op10_exact_topk)}
+    return {f.__name__: f for f in (op1_token_counts, op2_decontamination, op3_quality_rules, op4_near_dedup,
+                                    op5_license_scan, op6_byte_bpe, op7_chat_format, op8_toxicity, op9_line_dedup,
+                                    op10_exact_topk)}
 
 
 def oracle_sql() -> dict[str, str]:
