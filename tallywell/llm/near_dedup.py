@@ -77,7 +77,7 @@ class Shingler:
         if len(self.memo) > MEMO_WORDS:
             self.memo.clear()
         memo = self.memo
-        for w in set(words) - memo.keys():
+        for w in set(words).difference(memo):
             memo[w] = xxhash.xxh3_64_intdigest(w)
         ids = np.fromiter(map(memo.__getitem__, words), np.uint64, len(words))
         span = min(self.size, len(ids))
