@@ -131,7 +131,7 @@ class TreeCodec:
         if len(self.packed) > MEMO_MATCHES:
             self.packed.clear()
         packed, once = self.packed, {}
-        for m in set().union(*split) - packed.keys():
+        for m in set().union(*split).difference(packed):
             (packed if len(m) <= MEMO_LENGTH else once)[m] = self.pack(m)
         if not once:
             return [b"".join(map(packed.__getitem__, row)) for row in split]

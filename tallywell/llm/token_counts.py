@@ -212,7 +212,7 @@ class PieceCounter:
         if len(self.memo) > MEMO_WORDS:
             self.memo.clear()
         memo, once = self.memo, {}
-        missing = set().union(*split) - memo.keys()
+        missing = set().union(*split).difference(memo)
         missing.discard("")
         short = [w for w in missing if len(w) <= MEMO_LENGTH]
         for at in range(0, len(short), BLOCK_WORDS):

@@ -75,7 +75,7 @@ class FeatureCounter:
         if len(self.memo) > MEMO_WORDS:
             self.memo.clear()
         place = self.place
-        for w in set(words) - self.memo.keys():
+        for w in set(words).difference(self.memo):
             self.memo[w] = tuple(place[f] for f in features_of(w) if f in place)
         counts: dict[int, int] = {}
         for held in filter(None, map(self.memo.__getitem__, words)):
