@@ -126,7 +126,8 @@ def labelled(docs: DataFrame, labels: DataFrame, label_col: str, sample_rows: in
     chosen = (docs.select(doc.alias("own_id"), F.col(quoted(text_col)).cast("string").alias("own_text"))
               .join(F.broadcast(usable), "own_id"))
     found = chosen.select("own_id", "own_label", *[c.alias(n) for n, c in statistics(F.col("own_text")).items()])
-    return staged(found.coalesce(1).sortWithinPartitions("own_id", *STATISTICS), "quality-sample")
+    # Rows of numbers, as many as the bound says; in one order, so the forest's draws do not depend on tasks.
+    return staged(found.repartition(1).sortWithinPartitions("own_id", *STATISTICS), "quality-sample")
 
 
 def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", sample_rows: int = SAMPLE_ROWS,
