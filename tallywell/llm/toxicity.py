@@ -6,7 +6,7 @@ features, and ordered thresholds cut the score into grades:
     P(grade >= k) = sigmoid(w . x - cut_k),  cut_1 < cut_2 < ...
 
 All thresholds share w. The expected severity is the sum of these
-probabilities over k; a text is toxic if P(grade >= 1) is at least one half.
+probabilities over k; a text is toxic if P(grade >= 1) is at least ``TOXIC``.
 
 A feature is log(1 + count) of a word or of a word's beginning. Features are chosen by how much their
 document frequency differs between graded and other texts. The fit uses at most
@@ -39,8 +39,10 @@ GRADES, SAMPLE_ROWS, FEATURES, MIN_DOCS, SEED = 3, 20_000, 2_000, 5, 11
 HASHES = 1_000_000
 #: Lengths of beginnings that are features, words a Python worker remembers.
 PREFIXES, MEMO_WORDS = (5, 6, 7, 8), 200_000
+#: Probability of a grade above 0 from which a text counts as toxic.
+TOXIC = 0.3
 #: Ridge weight, steps of the fit.
-RIDGE, STEPS = 2e-4, 400
+RIDGE, STEPS = 5e-5, 400
 
 
 def words_of(text: str) -> list[str]:
@@ -231,7 +233,8 @@ def fit_ordinal(x, grade: np.ndarray, features: int, ridge: float = RIDGE, steps
 
 
 # -- score -----------------------------------------------------------------
-def score_severity(docs: DataFrame, model: OrdinalModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def score_severity(docs: DataFrame, model: OrdinalModel, toxic_from: float = TOXIC, id_col: str = "doc_id",
+                   text_col: str = "text") -> DataFrame:
     """``id, severity, grade, toxic_probability, toxic``: expected and likeliest grade of every whole text."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     own: list[FeatureCounter] = []  # one for each task
@@ -248,7 +251,7 @@ def score_severity(docs: DataFrame, model: OrdinalModel, id_col: str = "doc_id",
                 scores[i] = model.weights[at] @ np.log1p(times)
         p = model.at_least(scores)
         mass = np.concatenate((np.ones((len(texts), 1)), p), axis=1) - np.concatenate((p, np.zeros((len(texts), 1))), axis=1)
-        return [p.sum(axis=1), mass.argmax(axis=1).astype(np.int32), p[:, 0], p[:, 0] >= 0.5]
+        return [p.sum(axis=1), mass.argmax(axis=1).astype(np.int32), p[:, 0], p[:, 0] >= toxic_from]
 
     return map_texts(docs, work, [("severity", "double"), ("grade", "int"), ("toxic_probability", "double"),
                                   ("toxic", "boolean")], id_col, text_col)
