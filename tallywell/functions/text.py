@@ -8,17 +8,14 @@ from pyspark.sql import functions as F
 SENTENCE_MARK = "\u0001"
 
 # Words that do not count when a question is matched.
-STOP_WORDS = """
-what when where which who whom whose why how
-a an the is are was were be been being
-in on at by for with about against between
-into through during before after above below
-to from up down of off over under again
-further then once here there all any both
-each few more most other some such no nor
-not only own same so than too very can
-will just should now
-""".split()
+STOP_WORDS = [
+    "what", "when", "where", "which", "who", "whom", "whose", "why", "how", "a", "an", "the", "is", "are",
+    "was", "were", "be", "been", "being", "in", "on", "at", "by", "for", "with", "about", "against",
+    "between", "into", "through", "during", "before", "after", "above", "below", "to", "from", "up", "down",
+    "of", "off", "over", "under", "again", "further", "then", "once", "here", "there", "all", "any", "both",
+    "each", "few", "more", "most", "other", "some", "such", "no", "nor", "not", "only", "own", "same", "so",
+    "than", "too", "very", "can", "will", "just", "should", "now",
+]
 
 WORD_TOKEN = r"[\p{L}\p{N}]+"
 VECTOR_TOKEN = r"[\p{L}\p{N}_]{2,}"

@@ -20,8 +20,33 @@ FALLBACK_CONFIDENCE = 0.1
 CONFIDENCE_THRESHOLD = 0.1
 CONTEXT_CUT = 512
 
-# Questions one task answers from one copy of a document.
+# Questions one task answers from one copy of a document, and hits that share one copy of a text.
 QUESTIONS_PER_COPY = 64
+HITS_PER_COPY = 1024
+
+
+def _copies(hits: DataFrame, keys: list[str], per_copy: int) -> DataFrame:
+    """``(*keys, copies)`` of what is hit; the count is combined before its shuffle."""
+    return hits.groupBy(*keys).agg(F.ceil(F.count("*") / per_copy).cast("int").alias("copies"))
+
+
+def _copied(side: DataFrame, copies: DataFrame, keys: list[str]) -> DataFrame:
+    """The hit rows of ``side`` once for each ``copy``."""
+    return (side.join(copies, keys).withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)))
+            .drop("copies"))
+
+
+def _dealt(hits: DataFrame, copies: DataFrame, keys: list[str]) -> DataFrame:
+    """``hits`` with the ``copy`` each of them goes to."""
+    return (hits.join(copies, keys).withColumn("copy", F.pmod(F.xxhash64("query_id"), F.col("copies")).cast("int"))
+            .drop("copies"))
+
+
+def join_hits(hits: DataFrame, side: DataFrame, keys: list[str], per_copy: int = HITS_PER_COPY) -> DataFrame:
+    """Hits with the row of ``side`` that they hit. A row that very many
+    questions hit goes out in copies, each to its own task."""
+    copies = _copies(hits, keys, per_copy)
+    return _dealt(hits, copies, keys).join(_copied(side, copies, keys), [*keys, "copy"]).drop("copy")
 
 
 def word_sets(df: DataFrame, left: str, right: str) -> DataFrame:
@@ -87,14 +112,13 @@ def answer_questions(questions: DataFrame, hits: DataFrame, documents: DataFrame
     each to its own task, and its text goes no further than that task.
     """
     hits = staged(hits.select("query_id", "doc_id", "score", "rank"), "hits")
-    copies = hits.groupBy("doc_id").agg(F.ceil(F.count("*") / per_copy).alias("copies"))
+    copies = _copies(hits, ["doc_id"], per_copy)
     wanted = questions.select("query_id", important_words(F.col("question")).alias("important"))
-    asked = (hits.join(copies, "doc_id").join(wanted, "query_id")
-             .groupBy("doc_id", F.pmod(F.xxhash64("query_id"), F.col("copies")).alias("copy"))
+    asked = (_dealt(hits, copies, ["doc_id"]).join(wanted, "query_id").groupBy("doc_id", "copy")
              .agg(F.collect_list(F.struct("query_id", "rank", "score", "important")).alias("asked")))
 
     matched = best_sentences(
-        documents.select("doc_id", "text").join(asked, "doc_id").repartition("doc_id", "copy")
+        _copied(documents.select("doc_id", "text"), copies, ["doc_id"]).join(asked, ["doc_id", "copy"])
         .select("doc_id", _split_words(answer_sentences(F.col("text"))).alias("words"), "asked"))
     confidence = F.when(F.col("hits") > 0, F.round(F.col("hits") / F.col("n_important"), 6)) \
         .otherwise(F.lit(FALLBACK_CONFIDENCE))
@@ -140,7 +164,7 @@ def answer_with_sources(questions: DataFrame, hits: DataFrame, chunks: DataFrame
     """
     keys = [c for c in ("doc_id", "pos") if c in hits.columns]
     detail = normalized_scores(join_chunk_document(
-        hits.join(chunks.select(*keys, "text"), keys), documents.select("doc_id", "source", "title")))
+        join_hits(hits, chunks.select(*keys, "text"), keys), documents.select("doc_id", "source", "title")))
     grouped = detail.groupBy("query_id").agg(
         _sources().alias("sources"),
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rank", "text"))),

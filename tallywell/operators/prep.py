@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from tallywell.operators.features import derived_sql, feature_types
 from tallywell.operators.profile import frequency_table
 from tallywell.operators.quantiles import EXACT_LIMIT, exact_quantiles
+from tallywell.session import staged
 
 
 def medians(df: DataFrame, columns: Sequence[str], limit: int = EXACT_LIMIT) -> dict[str, float | None]:
@@ -56,6 +57,20 @@ def standardize(df: DataFrame, fitted: dict[str, tuple[float, float]]) -> DataFr
     return df.withColumns({c: (F.col(c).cast("double") - m) / F.lit(s) for c, (m, s) in fitted.items()})
 
 
+# Most values of a column that is encoded: they are slots of the model and pass through the driver.
+MAX_CATEGORIES = 10_000
+
+
+def check_categories(df: DataFrame, columns: Sequence[str], limit: int = MAX_CATEGORIES) -> None:
+    """Raise an error that names the columns with more than about ``limit`` values."""
+    if not columns:
+        return
+    counts = df.agg(*[F.approx_count_distinct(F.col(f"`{c}`"), 0.02).alias(f"n{i}") for i, c in enumerate(columns)]).first()
+    wide = [f"{c} ({counts[f'n{i}']})" for i, c in enumerate(columns) if counts[f"n{i}"] > limit]
+    if wide:
+        raise ValueError(f"more than {limit} values, exclude or group them first: {', '.join(wide)}")
+
+
 def one_hot_stages(columns: Sequence[str]) -> list:
     """Indexers in value order and an encoder whose dropped last slot stands
     for a value not seen in training: it encodes to all zeros."""
@@ -100,8 +115,10 @@ def fit_preparation(train: DataFrame, target: str, exclude: Iterable[str] = (),
     derived = derived_sql([c for c in train.columns if c != target and c not in set(exclude)])
     engineer = SQLTransformer(statement="SELECT " + ", ".join(
         ["*"] + [f"{e} AS `{n}`" for n, e in derived.items() if n not in train.columns]) + " FROM __THIS__")
-    wide = engineer.transform(train)
+    # Several passes follow; the features are derived once.
+    wide = staged(engineer.transform(train), "engineered")
     numeric, categorical = feature_types(wide, target, exclude)
+    check_categories(wide, categorical)
     median = medians(wide, numeric, limit)
     mode = modes(wide, categorical)
     numeric = [c for c in numeric if median[c] is not None]

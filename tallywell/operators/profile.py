@@ -6,15 +6,17 @@ at the end, so no pass multiplies the table by its width.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from itertools import combinations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallywell.operators.features import bool_target_to_int, feature_types
-from tallywell.operators.quantiles import EXACT_LIMIT, exact_quantiles
+from tallywell.operators.quantiles import EXACT_LIMIT, exact_quantiles, quantiles_and
 
 QUARTILES = (0.25, 0.5, 0.75)
 
@@ -72,16 +74,16 @@ def profile_target(df: DataFrame, target: str) -> DataFrame:
 
 def profile_numeric(df: DataFrame, columns: Sequence[str], limit: int = EXACT_LIMIT) -> DataFrame:
     """count, mean, std (n - 1), min, quartiles and max per numeric column."""
-    quart = exact_quantiles(df, {c: F.col(c) for c in columns}, QUARTILES, limit)
-    stats = {}
-    for c in columns:
-        x = F.col(c).cast("double")
-        q = [F.lit(v).cast("double") for v in quart[c]]
-        stats[c] = {"n": F.count(x), "mean": F.round(F.mean(x), 4),
-                    "std": F.round(F.stddev_samp(x), 4), "min": F.min(x),
-                    "p25": F.round(F.first(q[0]), 6), "p50": F.round(F.first(q[1]), 6),
-                    "p75": F.round(F.first(q[2]), 6), "max": F.max(x)}
-    return per_column(df, stats)
+    x = {c: F.col(c).cast("double") for c in columns}
+    figures = {"n": F.count, "mean": lambda v: F.round(F.mean(v), 4), "std": lambda v: F.round(F.stddev_samp(v), 4),
+               "least": F.min, "most": F.max}
+    quart, seen = quantiles_and(df, x, QUARTILES, {f"{k}_{i}": f(v) for i, v in enumerate(x.values())
+                                                   for k, f in figures.items()}, limit)
+    rows = [(c, *[seen[f"{k}_{i}"] for k in ("n", "mean", "std", "least")], *quart[c], seen[f"most_{i}"])
+            for i, c in enumerate(columns)]
+    made = df.sparkSession.createDataFrame(rows, "column_name string, n long, mean double, std double, min double, "
+                                                 "p25 double, p50 double, p75 double, max double")
+    return made.withColumns({q: F.round(q, 6) for q in ("p25", "p50", "p75")})
 
 
 def outlier_bounds(quartiles: Sequence[float | None], factor: float = 1.5) -> tuple[float, float] | None:
@@ -163,15 +165,25 @@ def dq_constant_columns(df: DataFrame, columns: Sequence[str] | None = None,
 
 
 def dq_imbalanced(df: DataFrame, columns: Sequence[str], threshold_pct: float = 90.0) -> DataFrame:
-    """Columns where one value holds more than ``threshold_pct`` of non-NULL rows."""
-    freq = frequency_table(df, columns).filter(F.col("value").isNotNull())
+    """Columns where one value holds more than ``threshold_pct`` of non-NULL rows.
+
+    A value in more than half of the rows is named by the majority of each bit
+    of the values' hashes; a second aggregate counts it. Neither shuffles more
+    than a row per task, however many values there are.
+    """
+    if threshold_pct < 50:
+        raise ValueError("a value below half of the rows need not be the most frequent one")
+    hashes = {c: F.xxhash64(F.col(c).cast("string")) for c in columns}
+    bits = df.agg(*[F.sum(F.when(F.col(c).isNotNull(), 2 * F.getbit(h, F.lit(bit)).cast("long") - 1)).alias(f"{i}_{bit}")
+                    for i, (c, h) in enumerate(hashes.items()) for bit in range(64)]).first()
+    stats = {}
+    for i, (c, h) in enumerate(hashes.items()):
+        majority = sum(1 << bit for bit in range(64) if (bits[f"{i}_{bit}"] or 0) > 0)
+        same = h == F.lit(majority - (1 << 64) if majority >= 1 << 63 else majority).cast("long")
+        stats[c] = {"dominant_value": F.min(F.when(same, F.col(c).cast("string"))), "n_values": F.count(c),
+                    "top_n": F.count_if(same & F.col(c).isNotNull())}
     share = F.try_divide(F.col("top_n") * 100.0, F.col("n_values"))
-    return (freq.groupBy("column_name")
-            .agg(F.sum("n").alias("n_values"),
-                 F.min(F.struct((-F.col("n")).alias("neg"), "value")).alias("top"))
-            .select("column_name", F.col("top.value").alias("dominant_value"),
-                    (-F.col("top.neg")).alias("top_n"), "n_values")
-            .filter(share > threshold_pct)
+    return (per_column(df, stats).filter(share > threshold_pct)
             .select("column_name", "dominant_value", F.round(share, 6).alias("dominant_pct")))
 
 
@@ -237,37 +249,33 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     present, as the lower triangle ``(col_a, col_b, corr)``; NULL if either
     side is constant.
 
-    Rows are summed per pattern of missing columns, one sum per column and
-    pair, and the pairs are put together from the few pattern rows. Values are
+    A task multiplies its rows' values, squares and presence as matrices and
+    hands on six sums per pair, whatever columns are missing where. Values are
     centred first so the sums do not cancel.
     """
     columns = list(columns)
     shape = df.agg(*[a for i, c in enumerate(columns) for a in (
         F.avg(F.col(c).cast("double")).alias(f"m{i}"), F.min(c).alias(f"lo{i}"), F.max(c).alias(f"hi{i}"))]).first()
-    width = range(len(columns))
-    centred = df.select(
-        F.concat(*[F.when(F.col(c).isNull(), "0").otherwise("1") for c in columns]).alias("pattern"),
-        *[F.coalesce(F.col(c).cast("double") - F.lit(shape[f"m{i}"]), F.lit(0.0)).alias(f"x{i}")
-          for i, c in enumerate(columns)])
-    sums = centred.groupBy("pattern").agg(
-        F.count("*").alias("n"), *[F.expr(f"sum(x{i}) AS s{i}") for i in width],
-        *[F.expr(f"sum(x{i} * x{j}) AS p{i}_{j}") for i in width for j in width if i <= j])
-    place = {(i, j): n for n, (i, j) in enumerate((i, j) for i in width for j in width if i <= j)}
-    pairs = F.expr("array(" + ", ".join(
-        f"named_struct('a', {j}, 'b', {i}, 'ii', {place[i, i]}, 'jj', {place[j, j]}, 'ij', {place[i, j]})"
-        for i, j in combinations(width, 2)) + ")")
+    centred = df.select(*[(F.col(c).cast("double") - F.lit(shape[f"m{i}"])).alias(f"x{i}") for i, c in enumerate(columns)])
+    low, high = np.array(list(combinations(range(len(columns)), 2)), dtype=np.int32).reshape(-1, 2).T
+
+    def pair_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros((6, len(low)))
+        for batch in batches:
+            x = np.column_stack([c.to_numpy(zero_copy_only=False).astype(float) for c in batch.columns])
+            here = (~np.isnan(x)).astype(float)
+            x = np.nan_to_num(x, nan=0.0)
+            both, single, square, product = here.T @ here, x.T @ here, (x * x).T @ here, x.T @ x
+            sums += [both[low, high], single[low, high], single[high, low], square[low, high], square[high, low],
+                     product[low, high]]
+        yield pa.RecordBatch.from_arrays([pa.array(low), pa.array(high), *[pa.array(s) for s in sums]],
+                                         names=["b", "a", "n", "sx", "sy", "sxx", "syy", "sxy"])
+
+    parts = ["n", "sx", "sy", "sxx", "syy", "sxy"]
     name = F.lit(columns)
-    # Arrays, not hundreds of columns: the assembly stays small code.
-    folded = sums.select("pattern", "n", F.array(*[f"s{i}" for i in width]).alias("s"),
-                         F.array(*[f"p{i}_{j}" for i, j in place]).alias("p"), F.explode(pairs).alias("k"))
-    present = F.lit("1")
-    both = (F.substring("pattern", F.col("k.b") + 1, F.lit(1)) == present) \
-        & (F.substring("pattern", F.col("k.a") + 1, F.lit(1)) == present)
-    s_, p_, k_ = F.col("s"), F.col("p"), F.col("k")
-    parts = {"n": F.col("n"), "sx": s_[k_["b"]], "sy": s_[k_["a"]],
-             "sxx": p_[k_["ii"]], "syy": p_[k_["jj"]], "sxy": p_[k_["ij"]]}
-    pairs = (folded.groupBy(name[k_["a"]].alias("col_a"), name[k_["b"]].alias("col_b"))
-             .agg(*[F.sum(F.when(both, v)).alias(part) for part, v in parts.items()]))
+    pairs = (centred.mapInArrow(pair_sums, "b int, a int, " + ", ".join(f"{p} double" for p in parts))
+             .groupBy("a", "b").agg(*[F.sum(p).alias(p) for p in parts])
+             .select(name[F.col("a")].alias("col_a"), name[F.col("b")].alias("col_b"), *parts))
 
     def spread(total, square):
         # Equal values can leave rounding dust; it is no variance.

@@ -45,8 +45,8 @@ def hash_cuts(df: DataFrame, group: str, id_col: str, seed: int, ranks: Sequence
              .filter((F.col("w.rank") > F.col("upto") - F.col("c")) & (F.col("w.rank") <= F.col("upto")))
              .select("g", "prefix", F.col("w.cut").alias("cut"),
                      (F.col("w.rank") - F.col("upto") + F.col("c")).alias("offset")))
-    # One row per group and cut, so this broadcast is bounded.
-    inside = (keyed.withColumn("prefix", prefix).join(F.broadcast(spots), ["g", "prefix"])
+    # One row per group and cut; their number is the data's, so the join is left to Spark.
+    inside = (keyed.withColumn("prefix", prefix).join(spots, ["g", "prefix"])
               .withColumn("r", F.row_number().over(Window.partitionBy("g", "cut").orderBy("h")))
               .filter(F.col("r") == F.col("offset")))
     return (inside.groupBy(F.col("g").alias(group))
@@ -63,7 +63,7 @@ def with_cut_index(df: DataFrame, cuts: DataFrame, group: str, id_col: str, seed
         cut = F.col(f"cut_{i}")
         index = index + F.when(cut.isNull() | (h > cut), 1).otherwise(0)
     # One row per class; rows without a class have no cut and are left out.
-    return (df.join(F.broadcast(cuts), group).withColumn(name, index)
+    return (df.join(cuts, group).withColumn(name, index)
             .drop(*[f"cut_{i}" for i in range(1, n_cuts + 1)]))
 
 

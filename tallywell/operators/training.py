@@ -108,6 +108,7 @@ class Comparison:
     models: dict[str, PipelineModel]
     metrics: DataFrame
     best: str
+    preparation: Preparation
 
 
 METRIC_SCHEMA = T.StructType(
@@ -133,7 +134,7 @@ def compare_models(train: DataFrame, test: DataFrame, label: str, exclude: Itera
     best = max(rows, key=lambda r: (r["roc_auc"] or 0.0, -r["ordinal"]))["model"]
     metrics = train.sparkSession.createDataFrame(
         [tuple(r[f.name] for f in METRIC_SCHEMA.fields) for r in rows], METRIC_SCHEMA)
-    return Comparison(models, metrics, best)
+    return Comparison(models, metrics, best, prepared.preparation)
 
 
 def grid(kind: str, grids: Mapping[str, Mapping[str, list]] = GRIDS) -> list[dict]:
@@ -189,10 +190,11 @@ def hold_out(df: DataFrame, label: str, id_col: str, test_size: float = 0.2, see
 # -- store ----------------------------------------------------------------------
 
 def save_model(model: PipelineModel, directory: str, spark: SparkSession, stamp: str | None = None) -> str:
-    """Save as ``churn_model_<time>`` and point ``_LATEST`` at it."""
-    stamp = stamp or datetime.now().strftime("%Y%m%d_%H%M%S")
+    """Save as ``churn_model_<time>`` and point ``_LATEST`` at it. A model of
+    that name is not replaced."""
+    stamp = stamp or datetime.now().strftime("%Y%m%d_%H%M%S_%f")
     path = f"{directory.rstrip('/')}/churn_model_{stamp}"
-    model.write().overwrite().save(path)
+    model.write().save(path)
     spark.range(1).select(F.lit(path).alias("value")).coalesce(1).write.mode("overwrite").text(
         f"{directory.rstrip('/')}/LATEST")
     return path

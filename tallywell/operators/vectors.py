@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tallywell.functions.numeric import similarity_from_distance
 from tallywell.functions.text import is_blank, tokens
-from tallywell.operators.blocksearch import (QUERY_LIMIT, UNIT, DenseQueries, block_summary,
+from tallywell.operators.blocksearch import (DECIMALS, QUERY_LIMIT, DenseQueries, block_summary,
                                              block_topk)
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -32,7 +32,7 @@ def embed_text(df: DataFrame, text: str = "text", output: str = "vector") -> Dat
     empty = F.array().cast("array<string>")
     counted = counter.transform(df.withColumn("_slots", F.coalesce(slots, empty)))
     scaled = Normalizer(p=2.0, inputCol="_counts", outputCol="_scaled").transform(counted)
-    return scaled.withColumn(output, vector_to_array("_scaled", "float32")).drop("_slots", "_counts", "_scaled")
+    return scaled.withColumn(output, vector_to_array("_scaled")).drop("_slots", "_counts", "_scaled")
 
 
 def embed_chunks(chunks: DataFrame, id_col: str = "chunk_id", text: str = "text") -> DataFrame:
@@ -59,9 +59,9 @@ def knn_l2(corpus: DataFrame, queries: DataFrame, keys: list[str], k: int = 5,
     ``corpus`` has ``keys`` and ``vector``; ``queries`` has ``query_id`` and ``vector``.
     """
     found = _search(corpus, queries, keys, "l2", k, None, query_limit)
-    distance = -F.col("rank_score") / UNIT
-    return found.select("query_id", *keys, F.abs(distance).alias("distance"),
-                        F.round(similarity_from_distance(F.abs(distance)), 6).alias("score"), "rank")
+    distance = F.abs("rank_score")
+    return found.select("query_id", *keys, distance.alias("distance"),
+                        similarity_from_distance(distance).alias("score"), "rank")
 
 
 def search_cosine(corpus: DataFrame, queries: DataFrame, keys: list[str], k: int = 5,
@@ -69,18 +69,18 @@ def search_cosine(corpus: DataFrame, queries: DataFrame, keys: list[str], k: int
     """The ``k`` most similar corpus vectors at or above ``threshold``:
     ``(query_id, *keys, score, rank)``; ties keep corpus order."""
     found = _search(corpus, queries, keys, "cosine", k, threshold, query_limit)
-    return found.select("query_id", *keys, (F.col("rank_score") / UNIT).alias("score"), "rank")
+    return found.select("query_id", *keys, F.round("rank_score", DECIMALS).alias("score"), "rank")
 
 
 def _search(corpus, queries, keys, measure, k, floor, query_limit):
     return block_topk(corpus.filter(F.col("vector").isNotNull()).select(*keys, "vector"), keys,
                       queries.filter(F.col("vector").isNotNull()).select("query_id", "vector"),
-                      lambda t: DenseQueries(t, measure), F.size("vector"), k, floor, query_limit)
+                      lambda t: DenseQueries(t, measure, k), F.size("vector"), k, floor, query_limit)
 
 
 def similarity_summary(corpus: DataFrame, queries: DataFrame, keys: list[str], threshold: float = 0.0,
                        query_limit: int = QUERY_LIMIT) -> DataFrame:
     """Every query against every corpus vector by cosine, reduced as it is
     computed: ``(query_id, n_scored, n_similar, best)``."""
-    return block_summary(corpus.select(*keys, "vector"), keys, queries.select("query_id", "vector"),
+    return block_summary(corpus.select(*keys, "vector"), queries.select("query_id", "vector"),
                          lambda t: DenseQueries(t, "cosine"), F.size("vector"), threshold, query_limit)

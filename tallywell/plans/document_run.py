@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,6 +24,9 @@ def index_documents(documents: DataFrame, out: str, with_vectors: bool = True) -
         rows = embed_chunks(chunks).select("chunk_id", "doc_id", "pos", "vector",
                                            F.create_map().cast("map<string,string>").alias("metadata"))
         save_embeddings(rows, out, MODEL_NAME)
+    # Written last: it says which of the tables belong to this index.
+    spark.createDataFrame([(MODEL_NAME if with_vectors else None,)], "vectors string").coalesce(1) \
+        .write.mode("overwrite").json(f"{out}/manifest", ignoreNullFields=False)
     return out
 
 
@@ -39,12 +41,8 @@ def answer_batch(spark: SparkSession, store: str, questions: DataFrame, k: int =
     """``(query_id, answer, confidence, sources)`` for a table of
     ``(query_id, question)``: by vectors where the store has them, else by BM25."""
     documents, chunks = load_corpus(spark, store)
-    vectors = None
-    if use_vectors:
-        try:
-            vectors, _ = load_embeddings(spark, store, MODEL_NAME)
-        except AnalysisException:  # the store was made without vectors
-            vectors = None
+    model = spark.read.schema("vectors string").json(f"{store}/manifest").first()["vectors"]
+    vectors = load_embeddings(spark, store, model)[0] if use_vectors and model else None
     index = None if vectors is not None else lexical_index(chunks, ["doc_id", "pos"])
     hits = staged(retrieve_auto(questions, k, vectors, index).drop("reply"), "hits")
     return answer_with_sources(questions, hits, chunks, documents, threshold)

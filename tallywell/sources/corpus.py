@@ -57,11 +57,29 @@ def document_records(docs: DataFrame) -> DataFrame:
         F.coalesce(given("date"), document_date(metadata)).alias("date"), metadata.alias("metadata"))
 
 
-def read_chunks_json(spark: SparkSession, path: str) -> DataFrame:
-    """Chunk records from JSON lines or one JSON document per file. Rows
-    without text or id, and unreadable ones, are skipped."""
-    rows = spark.read.schema(CHUNK_SCHEMA).json(path, mode="PERMISSIVE")
-    return rows.filter((F.col("chunk_id") != "") & (F.col("text") != ""))
+CORRUPT = "_corrupt_record"
+
+
+def _chunk_records(spark: SparkSession, path: str, lines: bool) -> DataFrame:
+    schema = T.StructType([*CHUNK_SCHEMA.fields, T.StructField(CORRUPT, T.StringType())])
+    return spark.read.schema(schema).json(path, mode="PERMISSIVE", multiLine=not lines, columnNameOfCorruptRecord=CORRUPT)
+
+
+def read_chunks_json(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """Chunk records from JSON files. A file is one document, an object or an
+    array of objects, in any layout; with ``lines`` each line is one.
+
+    Rows without text or id are skipped, and so is what cannot be read;
+    :func:`unreadable_chunks` names that.
+    """
+    rows = _chunk_records(spark, path, lines)
+    return rows.filter(F.col(CORRUPT).isNull() & (F.col("chunk_id") != "") & (F.col("text") != "")).drop(CORRUPT)
+
+
+def unreadable_chunks(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """``(source, record)`` of what :func:`read_chunks_json` could not read."""
+    return (_chunk_records(spark, path, lines).select("chunk_id", F.col("_metadata.file_path").alias("source"), CORRUPT)
+            .filter(F.col(CORRUPT).isNotNull()).select("source", F.col(CORRUPT).alias("record")))
 
 
 def write_chunks_json(chunks: DataFrame, path: str) -> str:

@@ -190,7 +190,59 @@ def test_csv_round_trip(spark, tmp_path):
     path = tables.write_csv(df, str(tmp_path / "t.csv"))
     assert sorted(values(tables.load_table(spark, path, df.schema), "id", "t", "x")) == [(1, 'say "hi", ok', None), (2, "b", 1.5)]
     inferred = tables.load_table(spark, path)
-    assert dict(inferred.dtypes)["id"] == "int" and dict(inferred.dtypes)["x"] == "double"
+    assert dict(inferred.dtypes)["id"] == "bigint" and dict(inferred.dtypes)["x"] == "double"
+
+
+def test_csv_keeps_line_breaks_empty_texts_and_missing_values_apart(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a\nb"), (2, ""), (3, None), (4, 'q"\\')], "id bigint, t string")
+    path = tables.write_csv(df, str(tmp_path / "t.csv"))
+    for schema in (df.schema, None):
+        assert sorted(values(tables.load_table(spark, path, schema, "csv"), "id", "t"), key=lambda r: r[0]) == [
+            (1, "a\nb"), (2, ""), (3, None), (4, 'q"\\')]
+
+
+def test_csv_missing_words_and_types(spark, tmp_path):
+    (tmp_path / "m.csv").write_text('n,x,c,b,a.b\n1,NA,"two\nlines",true,1\n,2.5,NULL,False,\n3,nan,z,NA,2\n')
+    df = tables.load_table(spark, str(tmp_path / "m.csv"))
+    assert dict(df.dtypes) == {"n": "bigint", "x": "double", "c": "string", "b": "boolean", "a.b": "bigint"}
+    assert [tuple(r) for r in df.orderBy(F.col("n").asc_nulls_last()).collect()] == [
+        (1, None, "two\nlines", True, 1), (3, None, "z", None, 2), (None, 2.5, None, False, None)]
+    kept = tables.load_table(spark, str(tmp_path / "m.csv"), missing=())
+    assert dict(kept.dtypes)["x"] == "string"
+
+
+def test_correlation_with_many_patterns_of_missing_values(spark):
+    import numpy as np
+    x = np.random.default_rng(1).normal(size=(300, 4))
+    gone = np.random.default_rng(2).random(x.shape) < 0.4
+    rows = [tuple(None if g else float(v) for v, g in zip(r, m)) for r, m in zip(x, gone)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double").repartition(3)
+    got = {(r["col_a"], r["col_b"]): r["corr"] for r in profile.correlation_matrix(df, ["a", "b", "c", "d"]).collect()}
+    for i in range(4):
+        for j in range(i + 1, 4):
+            both = ~gone[:, i] & ~gone[:, j]
+            assert got["abcd"[j], "abcd"[i]] == pytest.approx(np.corrcoef(x[both, i], x[both, j])[0, 1], abs=1e-6)
+
+
+def test_dominant_value_by_bit_majority(spark):
+    df = spark.createDataFrame([("x", "p", None)] * 19 + [("y", "q", None), ("z", "p", "v")], "a string, b string, c string")
+    got = {r["column_name"]: (r["dominant_value"], r["dominant_pct"]) for r in profile.dq_imbalanced(df, ["a", "b", "c"]).collect()}
+    assert got == {"a": ("x", pytest.approx(1900 / 21, abs=1e-6)), "b": ("p", pytest.approx(2000 / 21, abs=1e-6)), "c": ("v", 100.0)}
+
+
+def test_factors_of_a_row_need_no_shuffle(spark):
+    df = spark.createDataFrame([(1, 3.0, -5.0, None), (2, 1.0, 1.0, 0.0)], "id long, x double, y double, z double")
+    found = explain.top_factors(df, {c: F.col(c) for c in "xyz"}, "id", k=2)
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+    assert sorted(tuple(r) for r in found.select("id", "rank", "feature").collect()) == [
+        (1, 1, "y"), (1, 2, "x"), (2, 1, "x"), (2, 2, "y")]
+
+
+def test_too_many_categories_are_named(spark):
+    df = spark.range(300).select(F.col("id").cast("string").alias("text"), F.lit("a").alias("c"))
+    prep.check_categories(df, ["c"], 100)
+    with pytest.raises(ValueError, match="text"):
+        prep.check_categories(df, ["c", "text"], 100)
 
 
 def test_staged_tables_lie_in_the_shared_folder(spark):

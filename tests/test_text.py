@@ -291,8 +291,46 @@ def test_corpus_files(spark, tmp_path):
 def test_chunk_json_skips_bad_rows(spark, tmp_path):
     (tmp_path / "c.json").write_text('{"chunk_id": "1", "text": "t", "metadata": {"k": "v"}}\n'
                                      '{"chunk_id": "", "text": "t"}\n{"chunk_id": "2"}\nnot json\n')
-    rows = corpus.read_chunks_json(spark, str(tmp_path)).collect()
+    rows = corpus.read_chunks_json(spark, str(tmp_path), lines=True).collect()
     assert [(r["chunk_id"], r["metadata"]) for r in rows] == [("1", {"k": "v"})]
+    assert corpus.unreadable_chunks(spark, str(tmp_path), lines=True).first()["record"] == "not json"
+
+
+def test_chunk_json_in_every_layout(spark, tmp_path):
+    (tmp_path / "a.json").write_text('{\n  "chunk_id": "1",\n  "text": "one"\n}\n')
+    (tmp_path / "b.json").write_text('{"chunk_id": "2", "text": "two", "metadata": {"k": "v"}}')
+    (tmp_path / "c.json").write_text('[\n  {"chunk_id": "3", "text": "three"},\n  {"chunk_id": "4", "text": "four"}\n]')
+    (tmp_path / "d.json").write_text('{"chunk_id": "5", "text": ')
+    rows = corpus.read_chunks_json(spark, str(tmp_path)).collect()
+    assert sorted((r["chunk_id"], r["text"]) for r in rows) == [("1", "one"), ("2", "two"), ("3", "three"), ("4", "four")]
+    assert [r["source"][-6:] for r in corpus.unreadable_chunks(spark, str(tmp_path)).collect()] == ["d.json"]
+
+
+def test_an_index_without_vectors_does_not_answer_by_old_ones(spark, tmp_path):
+    from tallywell.plans.document_run import answer_batch, index_documents
+    schema, store = "doc_id string, text string, source string", str(tmp_path / "store")
+    asked = spark.createDataFrame([("1", "when do trains leave")], "query_id string, question string")
+    index_documents(spark.createDataFrame([("a", "Cats sleep all day.", "a")], schema), store)
+    new = [(f"d{i}", t, f"d{i}") for i, t in enumerate(["Trains leave at noon.", "Rain falls.", "Snow melts.", "Cats run."])]
+    index_documents(spark.createDataFrame(new, schema), store, with_vectors=False)
+    assert answer_batch(spark, store, asked, k=1).first()["answer"] == "trains leave at noon"
+
+
+@pytest.mark.parametrize("scale", [1e-4, 1.0, 1e4, 1e7])
+@pytest.mark.parametrize("limit", [4_000_000, 20])
+def test_nearest_vectors_at_any_scale(spark, scale, limit):
+    import numpy as np
+    x = np.random.default_rng(3).normal(size=(400, 8)) * scale + 1000 * scale
+    df = spark.createDataFrame([(i, [float(v) for v in row]) for i, row in enumerate(x)],
+                               "vec_id long, vector array<double>").repartition(5)
+    asked = df.where("vec_id < 4").withColumnRenamed("vec_id", "query_id")
+    rows = vectors.knn_l2(df, asked, ["vec_id"], 5, query_limit=limit).collect()
+    for q in range(4):
+        d = ((x - x[q]) ** 2).sum(axis=1)
+        want = sorted(range(400), key=lambda i: (d[i], i))[:5]
+        mine = sorted((r["rank"], r["vec_id"], r["distance"]) for r in rows if r["query_id"] == q)
+        assert [v for _, v, _ in mine] == want
+        assert [v for _, _, v in mine] == pytest.approx(d[want], rel=1e-9)
 
 
 def test_vectors_of_another_model_are_refused(spark, tmp_path):
