@@ -77,9 +77,9 @@ def read_chunks_json(spark: SparkSession, path: str, lines: bool = False) -> Dat
 
 
 def unreadable_chunks(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
-    """``(source, record)`` of what :func:`read_chunks_json` could not read."""
-    return (_chunk_records(spark, path, lines).select("chunk_id", F.col("_metadata.file_path").alias("source"), CORRUPT)
-            .filter(F.col(CORRUPT).isNotNull()).select("source", F.col(CORRUPT).alias("record")))
+    """``(source, chunk_id, record)`` of what :func:`read_chunks_json` could not read."""
+    return (_chunk_records(spark, path, lines).filter(F.col(CORRUPT).isNotNull())
+            .select(F.col("_metadata.file_path").alias("source"), "chunk_id", F.col(CORRUPT).alias("record")))
 
 
 def write_chunks_json(chunks: DataFrame, path: str) -> str:
