@@ -13,6 +13,7 @@ from tallywell.operators import (answers, chunking, distribution, explain, featu
                                  prep, profile, risk, split, training, vectors)
 from tallywell.plans.customer_view import (CATEGORICAL, NUMERIC, customer_features,
                                            scored_customers)
+from tallywell.plans.document_run import answer_batch, index_documents
 from tallywell.plans.pipeline import run_risk_pipeline
 from tallywell.session import scratch_path, spread, staged
 from tallywell.plans.questions import (chunk_table, documents, questions, spread_documents,
@@ -150,6 +151,7 @@ def _table_queries() -> dict[str, Query]:
             _cf_staged(s, b), NUMERIC),
         "boxplot_stats": lambda s, b: distribution.boxplot_stats(_cf_staged(s, b), NUMERIC, "Churn", [0, 1]),
         "risk_distribution": lambda s, b: risk.risk_distribution(_banded(s, b)),
+        "data_summary": lambda s, b: profile.data_summary(_cf_staged(s, b), "Churn", ["customer_id"]),
         "topk_risk": lambda s, b: risk.top_risk(_banded(s, b), "rule_score"),
     }
 
@@ -356,6 +358,13 @@ def _semantic(spark, base):
     return _big(hits.select("query_id", _chunk_id(), F.round("score", 6).alias("score"), "rank"), "rank")
 
 
+def _answer_batch(spark, base):
+    """From documents to a stored index, and from it to answers with sources."""
+    store = index_documents(documents(spark, base), scratch_path(spark, "index"))
+    return answer_batch(spark, store, questions(spark, base)).select(
+        "query_id", "answer", "confidence", F.size("sources").cast("bigint").alias("n_sources"))
+
+
 def _slots_text(vector):
     """Non-zero slots as ``index:weight in millionths``."""
     pairs = F.transform(vector, lambda v, i: F.when(v > 0, F.concat_ws(
@@ -474,6 +483,7 @@ def _text_queries() -> dict[str, Query]:
         "answer_question": _answered,
         "answer_with_sources": _answer_with_sources,
         "source_references": _source_references,
+        "answer_batch": _answer_batch,
         "embed_text": _embed_text,
         "embed_chunks": _embed_chunks,
         "union_chunks": _union_chunks,
