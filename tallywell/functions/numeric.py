@@ -6,6 +6,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def named(name: str) -> Column:
+    """The column of exactly this name, whatever characters it holds."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def clip(x: Column, low, high) -> Column:
     """``x`` limited to ``[low, high]``; NULL stays NULL."""
     return F.when(x.isNotNull(), F.greatest(F.lit(low), F.least(F.lit(high), x)))

@@ -8,12 +8,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallywell.operators.profile import outlier_bounds
+from tallywell.functions.numeric import named
 from tallywell.operators.quantiles import EXACT_LIMIT, exact_quantiles
 
 
 def _ranges(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[float, float]]:
     row = df.agg(*[a for i, c in enumerate(columns) for a in (
-        F.min(F.col(c).cast("double")).alias(f"lo{i}"), F.max(F.col(c).cast("double")).alias(f"hi{i}"))]).first()
+        F.min(named(c).cast("double")).alias(f"lo{i}"), F.max(named(c).cast("double")).alias(f"hi{i}"))]).first()
     return {c: (row[f"lo{i}"], row[f"hi{i}"]) for i, c in enumerate(columns) if row[f"lo{i}"] is not None}
 
 
@@ -25,13 +26,13 @@ def histogram_by_class(df: DataFrame, columns: Sequence[str], target: str | None
     cells = []
     for c, (lo, hi) in ranges.items():
         width = (hi - lo) / bins
-        x = F.col(c).cast("double")
+        x = named(c).cast("double")
         b = (F.lit(0) if width == 0 else
              F.least(F.lit(bins - 1), F.floor((x - lo) / F.lit(width))))
         cells.append(F.when(x.isNotNull(), F.struct(
             F.lit(c).alias("column_name"), b.cast("bigint").alias("bin"),
             F.lit(lo).alias("lo"), F.lit(width).alias("width"))))
-    label = F.col(target) if target else F.lit(None).cast("int")
+    label = named(target) if target else F.lit(None).cast("int")
     return (df.select(label.alias("target"), F.explode(F.array_compact(F.array(*cells))).alias("c"))
             .groupBy("c.column_name", "c.bin", "c.lo", "c.width", "target")
             .agg(F.count("*").alias("n"))
@@ -48,15 +49,15 @@ def density_curve(df: DataFrame, columns: Sequence[str], bins: int = 100, points
     sample deviation times ``n ** (-1/5)``.
     """
     first = df.agg(*[a for i, c in enumerate(columns) for a in (
-        F.min(F.col(c).cast("double")).alias(f"lo{i}"), F.max(F.col(c).cast("double")).alias(f"hi{i}"),
-        F.count(c).alias(f"n{i}"), F.stddev_samp(F.col(c).cast("double")).alias(f"sd{i}"))]).first()
+        F.min(named(c).cast("double")).alias(f"lo{i}"), F.max(named(c).cast("double")).alias(f"hi{i}"),
+        F.count(named(c)).alias(f"n{i}"), F.stddev_samp(named(c).cast("double")).alias(f"sd{i}"))]).first()
     cells = []
     for i, c in enumerate(columns):
         lo, hi, n, sd = (first[f"{k}{i}"] for k in ("lo", "hi", "n", "sd"))
         if not n or not sd or lo == hi:
             continue
         width = (hi - lo) / bins
-        x = F.col(c).cast("double")
+        x = named(c).cast("double")
         cells.append(F.when(x.isNotNull(), F.struct(
             F.lit(c).alias("column_name"),
             F.least(F.lit(bins - 1), F.floor((x - lo) / F.lit(width))).cast("bigint").alias("bin"),
@@ -78,7 +79,7 @@ def boxplot_stats(df: DataFrame, columns: Sequence[str], target: str, classes: S
                   limit: int = EXACT_LIMIT) -> DataFrame:
     """Quartiles, whiskers (extreme values inside the fences) and outlier count
     per column and target class."""
-    cells = {f"{c}|{v}": (c, v, F.when(F.col(target) == v, F.col(c).cast("double")))
+    cells = {f"{c}|{v}": (c, v, F.when(named(target) == v, named(c).cast("double")))
              for c in columns for v in classes}
     quart = exact_quantiles(df, {k: x for k, (_, _, x) in cells.items()}, (0.25, 0.5, 0.75), limit)
     aggs, rows = [], []

@@ -14,6 +14,7 @@ from pyspark.ml.feature import (OneHotEncoder, SQLTransformer, StringIndexer, Ve
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallywell.functions.numeric import named
 from tallywell.operators.features import derived_sql, feature_types
 from tallywell.operators.profile import frequency_table
 from tallywell.operators.quantiles import EXACT_LIMIT, exact_quantiles
@@ -22,7 +23,7 @@ from tallywell.session import staged
 
 def medians(df: DataFrame, columns: Sequence[str], limit: int = EXACT_LIMIT) -> dict[str, float | None]:
     """Exact, interpolated medians; NULLs ignored."""
-    return {c: v[0] for c, v in exact_quantiles(df, {c: F.col(c) for c in columns}, [0.5], limit).items()}
+    return {c: v[0] for c, v in exact_quantiles(df, {c: named(c) for c in columns}, [0.5], limit).items()}
 
 
 def modes(df: DataFrame, columns: Sequence[str]) -> dict[str, str | None]:
@@ -36,12 +37,12 @@ def modes(df: DataFrame, columns: Sequence[str]) -> dict[str, str | None]:
 
 
 def impute_median(df: DataFrame, fitted: dict[str, float | None]) -> DataFrame:
-    return df.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(v).cast("double"))
+    return df.withColumns({c: F.coalesce(named(c).cast("double"), F.lit(v).cast("double"))
                            for c, v in fitted.items()})
 
 
 def impute_mode(df: DataFrame, fitted: dict[str, str | None]) -> DataFrame:
-    return df.withColumns({c: F.coalesce(F.col(c), F.lit(v).cast("string")) for c, v in fitted.items()})
+    return df.withColumns({c: F.coalesce(named(c), F.lit(v).cast("string")) for c, v in fitted.items()})
 
 
 def scaling(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[float, float]]:
@@ -49,12 +50,12 @@ def scaling(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[float, flo
     if not columns:
         return {}
     row = df.agg(*[a for i, c in enumerate(columns) for a in (
-        F.avg(F.col(c).cast("double")).alias(f"m{i}"), F.stddev_pop(F.col(c).cast("double")).alias(f"s{i}"))]).first()
+        F.avg(named(c).cast("double")).alias(f"m{i}"), F.stddev_pop(named(c).cast("double")).alias(f"s{i}"))]).first()
     return {c: (row[f"m{i}"] or 0.0, row[f"s{i}"] or 1.0) for i, c in enumerate(columns)}
 
 
 def standardize(df: DataFrame, fitted: dict[str, tuple[float, float]]) -> DataFrame:
-    return df.withColumns({c: (F.col(c).cast("double") - m) / F.lit(s) for c, (m, s) in fitted.items()})
+    return df.withColumns({c: (named(c).cast("double") - m) / F.lit(s) for c, (m, s) in fitted.items()})
 
 
 # Most values of a column that is encoded: they are slots of the model and pass through the driver.
@@ -65,7 +66,7 @@ def check_categories(df: DataFrame, columns: Sequence[str], limit: int = MAX_CAT
     """Raise an error that names the columns with more than about ``limit`` values."""
     if not columns:
         return
-    counts = df.agg(*[F.approx_count_distinct(F.col(f"`{c}`"), 0.02).alias(f"n{i}") for i, c in enumerate(columns)]).first()
+    counts = df.agg(*[F.approx_count_distinct(named(c), 0.02).alias(f"n{i}") for i, c in enumerate(columns)]).first()
     wide = [f"{c} ({counts[f'n{i}']})" for i, c in enumerate(columns) if counts[f"n{i}"] > limit]
     if wide:
         raise ValueError(f"more than {limit} values, exclude or group them first: {', '.join(wide)}")

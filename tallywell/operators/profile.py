@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallywell.functions.numeric import named
 from tallywell.operators.features import bool_target_to_int, feature_types
 from tallywell.operators.quantiles import EXACT_LIMIT, exact_quantiles, quantiles_and
 
@@ -52,8 +53,8 @@ def profile_shape(df: DataFrame) -> DataFrame:
 def profile_missing(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """NULL count and share of rows per column."""
     n = F.count("*")
-    return per_column(df, {c: {"missing": F.count_if(F.col(c).isNull()),
-                               "missing_pct": pct(F.count_if(F.col(c).isNull()), n)}
+    return per_column(df, {c: {"missing": F.count_if(named(c).isNull()),
+                               "missing_pct": pct(F.count_if(named(c).isNull()), n)}
                            for c in columns or df.columns})
 
 
@@ -64,7 +65,7 @@ def missing_only(profile: DataFrame) -> DataFrame:
 
 def profile_target(df: DataFrame, target: str) -> DataFrame:
     """Class counts and shares; NULL labels are left out."""
-    counts = (df.filter(F.col(target).isNotNull()).groupBy(target)
+    counts = (df.filter(named(target).isNotNull()).groupBy(named(target))
               .agg(F.count("*").alias("n")))
     # The window spans classes, not rows.
     return counts.withColumn("pct", pct(F.col("n"), F.sum("n").over(Window.partitionBy())))
@@ -74,7 +75,7 @@ def profile_target(df: DataFrame, target: str) -> DataFrame:
 
 def profile_numeric(df: DataFrame, columns: Sequence[str], limit: int = EXACT_LIMIT) -> DataFrame:
     """count, mean, std (n - 1), min, quartiles and max per numeric column."""
-    x = {c: F.col(c).cast("double") for c in columns}
+    x = {c: named(c).cast("double") for c in columns}
     figures = {"n": F.count, "mean": lambda v: F.round(F.mean(v), 4), "std": lambda v: F.round(F.stddev_samp(v), 4),
                "least": F.min, "most": F.max}
     quart, seen = quantiles_and(df, x, QUARTILES, {f"{k}_{i}": f(v) for i, v in enumerate(x.values())
@@ -96,14 +97,14 @@ def outlier_bounds(quartiles: Sequence[float | None], factor: float = 1.5) -> tu
 
 def dq_outliers_iqr(df: DataFrame, columns: Sequence[str], limit: int = EXACT_LIMIT) -> DataFrame:
     """Values strictly outside the fences, for columns that have any."""
-    quart = exact_quantiles(df, {c: F.col(c) for c in columns}, (0.25, 0.75), limit)
+    quart = exact_quantiles(df, {c: named(c) for c in columns}, (0.25, 0.75), limit)
     stats = {}
     for c in columns:
         bounds = outlier_bounds(quart[c])
         if bounds is None:
             continue
         low, high = bounds
-        out = F.count_if((F.col(c) < low) | (F.col(c) > high))
+        out = F.count_if((named(c) < low) | (named(c) > high))
         stats[c] = {"outliers": out, "outlier_pct": pct(out, F.count("*")),
                     "lower_bound": F.round(F.first(F.lit(low)), 6),
                     "upper_bound": F.round(F.first(F.lit(high)), 6)}
@@ -112,7 +113,7 @@ def dq_outliers_iqr(df: DataFrame, columns: Sequence[str], limit: int = EXACT_LI
 
 def dq_skewness(df: DataFrame, columns: Sequence[str], threshold: float = 1.0) -> DataFrame:
     """Columns whose population skewness exceeds ``threshold`` in size."""
-    return (per_column(df, {c: {"skewness": F.round(F.skewness(F.col(c).cast("double")), 6)}
+    return (per_column(df, {c: {"skewness": F.round(F.skewness(named(c).cast("double")), 6)}
                             for c in columns})
             .filter(F.abs("skewness") > threshold))
 
@@ -122,7 +123,7 @@ def dq_skewness(df: DataFrame, columns: Sequence[str], threshold: float = 1.0) -
 def frequency_table(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``(column_name, value, n)`` of all columns in one shuffle; hot values
     are combined before it. NULL is kept as a value."""
-    pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value"))
+    pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), named(c).cast("string").alias("value"))
                       for c in columns])
     return (df.select(F.inline(pairs)).groupBy("column_name", "value")
             .agg(F.count("*").alias("n")))
@@ -150,7 +151,7 @@ def dq_constant_columns(df: DataFrame, columns: Sequence[str] | None = None,
     """
     columns = list(columns or df.columns)
     first = df.agg(F.count("*").alias("n"),
-                   *[F.approx_count_distinct(c, 0.05).alias(f"d{i}") for i, c in enumerate(columns)]).first()
+                   *[F.approx_count_distinct(named(c), 0.05).alias(f"d{i}") for i, c in enumerate(columns)]).first()
     n = first["n"]
     # 0.05 is the relative standard deviation; a factor of 2 is 20 of them.
     near = [c for i, c in enumerate(columns) if first[f"d{i}"] * 100.0 <= 2 * threshold_pct * n + 2]
@@ -173,15 +174,15 @@ def dq_imbalanced(df: DataFrame, columns: Sequence[str], threshold_pct: float =
     """
     if threshold_pct < 50:
         raise ValueError("a value below half of the rows need not be the most frequent one")
-    hashes = {c: F.xxhash64(F.col(c).cast("string")) for c in columns}
-    bits = df.agg(*[F.sum(F.when(F.col(c).isNotNull(), 2 * F.getbit(h, F.lit(bit)).cast("long") - 1)).alias(f"{i}_{bit}")
+    hashes = {c: F.xxhash64(named(c).cast("string")) for c in columns}
+    bits = df.agg(*[F.sum(F.when(named(c).isNotNull(), 2 * F.getbit(h, F.lit(bit)).cast("long") - 1)).alias(f"{i}_{bit}")
                     for i, (c, h) in enumerate(hashes.items()) for bit in range(64)]).first()
     stats = {}
     for i, (c, h) in enumerate(hashes.items()):
         majority = sum(1 << bit for bit in range(64) if (bits[f"{i}_{bit}"] or 0) > 0)
         same = h == F.lit(majority - (1 << 64) if majority >= 1 << 63 else majority).cast("long")
-        stats[c] = {"dominant_value": F.min(F.when(same, F.col(c).cast("string"))), "n_values": F.count(c),
-                    "top_n": F.count_if(same & F.col(c).isNotNull())}
+        stats[c] = {"dominant_value": F.min(F.when(same, named(c).cast("string"))), "n_values": F.count(named(c)),
+                    "top_n": F.count_if(same & named(c).isNotNull())}
     share = F.try_divide(F.col("top_n") * 100.0, F.col("n_values"))
     return (per_column(df, stats).filter(share > threshold_pct)
             .select("column_name", "dominant_value", F.round(share, 6).alias("dominant_pct")))
@@ -229,7 +230,7 @@ def data_summary(df: DataFrame, target: str | None = None, exclude: Sequence[str
     parts = [long(profile_shape(df), "shape", column, ["n_rows", "n_columns", "position", "dtype"]),
              long(profile_missing(df), "missing", column, ["missing", "missing_pct"])]
     if target in df.columns:
-        parts.append(long(profile_target(df, target), "target", F.col(target).cast("string"), ["n", "pct"]))
+        parts.append(long(profile_target(df, target), "target", named(target).cast("string"), ["n", "pct"]))
     if numeric:
         parts.append(long(profile_numeric(df, numeric, limit), "numeric", column,
                           ["n", "mean", "std", "min", "p25", "p50", "p75", "max"]))
@@ -255,8 +256,8 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """
     columns = list(columns)
     shape = df.agg(*[a for i, c in enumerate(columns) for a in (
-        F.avg(F.col(c).cast("double")).alias(f"m{i}"), F.min(c).alias(f"lo{i}"), F.max(c).alias(f"hi{i}"))]).first()
-    centred = df.select(*[(F.col(c).cast("double") - F.lit(shape[f"m{i}"])).alias(f"x{i}") for i, c in enumerate(columns)])
+        F.avg(named(c).cast("double")).alias(f"m{i}"), F.min(named(c)).alias(f"lo{i}"), F.max(named(c)).alias(f"hi{i}"))]).first()
+    centred = df.select(*[(named(c).cast("double") - F.lit(shape[f"m{i}"])).alias(f"x{i}") for i, c in enumerate(columns)])
     low, high = np.array(list(combinations(range(len(columns)), 2)), dtype=np.int32).reshape(-1, 2).T
 
     def pair_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -294,12 +295,12 @@ def target_correlation(df: DataFrame, columns: Sequence[str], target: str) -> Da
     """Correlation of each column with the target, highest first. A boolean
     target counts as 0/1."""
     df = bool_target_to_int(df, target)
-    y = F.col(target).cast("double")
+    y = named(target).cast("double")
     stats = {}
     for c in columns:
         if c == target:
             continue
-        x = F.col(c).cast("double")
+        x = named(c).cast("double")
         stats[c] = {"corr": F.round(F.try_divide(
             F.regr_sxy(y, x), F.sqrt(F.regr_sxx(y, x)) * F.sqrt(F.regr_syy(y, x))), 6)}
     return per_column(df, stats).orderBy(F.desc_nulls_last("corr"), "column_name")
@@ -334,12 +335,12 @@ def category_counts(df: DataFrame, column: str) -> DataFrame:
 
 def crosstab_pct(df: DataFrame, category: str, target: str, classes: Sequence) -> DataFrame:
     """Share of each target class within a category, in percent of its rows."""
-    kept = df.filter(F.col(category).isNotNull() & F.col(target).isNotNull())
+    kept = df.filter(named(category).isNotNull() & named(target).isNotNull())
     n = F.count("*")
     return (kept.groupBy(category)
-            .agg(*[pct(F.count_if(F.col(target) == v), n).alias(f"pct_{v}") for v in classes]))
+            .agg(*[pct(F.count_if(named(target) == v), n).alias(f"pct_{v}") for v in classes]))
 
 
 def label_rate(df: DataFrame, target: str) -> DataFrame:
     """Mean of the target in percent."""
-    return df.agg(F.round(F.avg(F.col(target).cast("double")) * 100, 6).alias("rate_pct"))
+    return df.agg(F.round(F.avg(named(target).cast("double")) * 100, 6).alias("rate_pct"))

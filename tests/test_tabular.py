@@ -256,3 +256,14 @@ def test_summary_has_every_section(spark):
     assert {r["section"] for r in rows} == {"shape", "missing", "target", "numeric", "categorical"}
     got = {(r["section"], r["column_name"], r["metric"]): r["value"] for r in rows}
     assert got["missing", "x", "missing_pct"] == "50.0" and got["target", "1", "n"] == "1"
+
+
+def test_column_names_with_dots(spark):
+    df = spark.createDataFrame([(1.0, "x", 0), (2.0, None, 1), (None, "x", 1), (9.0, "y", 0)], "`a.b` double, `c.d` string, `y.z` int")
+    assert {r["column_name"] for r in profile.profile_missing(df).collect()} == {"a.b", "c.d", "y.z"}
+    assert profile.profile_numeric(df, ["a.b"]).first()["p50"] == 2.0
+    assert profile.profile_categorical(df, ["c.d"]).count() == 2
+    assert {r["column_name"] for r in profile.data_summary(df, "y.z").collect()} >= {"a.b", "c.d"}
+    assert profile.dq_report(df, "y.z").count() > 0
+    assert profile.correlation_matrix(df, ["a.b", "y.z"]).count() == 1
+    assert prep.medians(df, ["a.b"]) == {"a.b": 2.0}
