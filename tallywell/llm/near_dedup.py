@@ -15,10 +15,17 @@ Texts with the same words are one node from the start, so thousands of copies
 cost one signature each and no pair. Within a band's bucket every node meets
 the bucket's smallest node and, in a bucket that still holds several classes,
 the smallest and largest node of each part that shares a second band; pairs
-already in one class are not compared. So the number of pairs is a small
+already in one class are not compared. So the number of these pairs is a small
 multiple of the nodes, whatever the size of a bucket, and no bucket is held in
-memory. Nodes of a class share a chain of verified pairs; the class id is its
-smallest document id.
+memory.
+
+Nodes of buckets that then still hold several classes meet by their rarest
+shingles. Two texts of weights A and B reach similarity t only if they share a
+weight of t / (1 + t) (A + B), so they share a shingle among the first of each,
+rarest first, before less than that is left. This loses no pair, and a core
+that a whole family shares is not among those shingles while the family is
+below t. Pairs of one class are never made. Nodes of a class share a chain of
+verified pairs; the class id is its smallest document id.
 
 Cases: a text without a word is alone in its class; a text of fewer than five
 words has one shingle; rows with a null id can be in classes and never name
@@ -48,6 +55,8 @@ BUCKET_BITS, RARE = 18, 0.01
 #: Share of equal samples below which a pair is not verified: six deviations under the threshold.
 LEAST_EQUAL = 0.5
 POOL_BITS = 14
+#: Ratio of neighbouring weight steps in the join by rarest shingles, rows of a key that meet in one place, rounding.
+STEP, CROWD, SLACK = 1.04, 256, 1e-5
 MEMO_WORDS = 200_000
 
 WORD = re.compile(r"[^\W_]+")
@@ -230,11 +239,9 @@ def weighted_jaccard(a: np.ndarray, wa: np.ndarray, b: np.ndarray, wb: np.ndarra
     return float(low / (wa.sum(dtype=np.float64) + wb.sum(dtype=np.float64) - low))
 
 
-def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, idf, id_col: str, text_col: str, size: int,
-              similarity: float) -> DataFrame:
-    """Pairs of nodes whose weighted Jaccard similarity reaches the threshold."""
+def _features(wanted: DataFrame, nodes: DataFrame, docs: DataFrame, idf, id_col: str, text_col: str, size: int) -> DataFrame:
+    """``node, h, w``: sorted shingle hashes of the wanted nodes and their weights, packed."""
     doc, text = F.col(quoted(id_col)), F.col(quoted(text_col)).cast("string")
-    wanted = pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node"))).distinct()
     rows = nodes.select("node", "row_a", "row_b").join(wanted, "node")
     texts = docs.select(*row_key(doc, text), text.alias("text")).join(rows, ["row_a", "row_b"]).select("node", "text")
 
@@ -252,7 +259,14 @@ def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, idf, id_col:
                      pa.array([weights[a:b].tobytes() for a, b in cut], pa.binary())], names=["node", "h", "w"])
 
     # Rows of the same id and text were one node row; texts repeated in the table are not.
-    held = staged(texts.mapInArrow(shingle, "node binary, h binary, w binary").dropDuplicates(["node"]), "shingles")
+    return staged(texts.mapInArrow(shingle, "node binary, h binary, w binary").dropDuplicates(["node"]), "shingles")
+
+
+def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, idf, id_col: str, text_col: str, size: int,
+              similarity: float) -> DataFrame:
+    """Pairs of nodes whose weighted Jaccard similarity reaches the threshold."""
+    wanted = pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node"))).distinct()
+    held = _features(wanted, nodes, docs, idf, id_col, text_col, size)
     met = (pairs.join(held.select(F.col("node").alias("u"), F.col("h").alias("hu"), F.col("w").alias("wu")), "u")
            .join(held.select(F.col("node").alias("v"), F.col("h").alias("hv"), F.col("w").alias("wv")), "v"))
 
@@ -296,16 +310,25 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     stars = staged(_alike(_stars(buckets).distinct(), nodes, LEAST_EQUAL), "stars")
     # First each node with its smallest centre, then the other centres of nodes still apart from them.
     first = stars.groupBy("v").agg(F.min("u").alias("u")).select("u", "v")
-    labels = None
+    labels, tried = None, None
     for name, pairs in (("first", lambda _: first), ("other", lambda _: stars),
-                        ("second", lambda known: _second_level(nodes, buckets, known))):
-        apart = _apart(pairs(labels), labels)
-        if name == "second":
-            apart = _alike(apart.select("u", "v").distinct(), nodes, LEAST_EQUAL)
-            apart = _apart(apart, labels)
+                        ("second", lambda known: _second_level(nodes, buckets, known)),
+                        ("rarest", lambda known: _rarest_shared(nodes, buckets, known, docs, idf, id_col, text_col,
+                                                                size, similarity))):
+        met = pairs(labels)
+        if met is None:
+            continue
+        apart = _apart(met, labels)
+        if name in ("second", "rarest"):
+            fresh = apart.select("u", "v").distinct()
+            if tried is not None:
+                fresh = fresh.join(tried, ["u", "v"], "left_anti")
+            apart = _apart(_alike(fresh, nodes, LEAST_EQUAL), labels)
         open_pairs = staged(apart.select("u", "v", "label_u", "label_v"), f"pairs-{name}")
         if open_pairs.isEmpty():
             continue
+        own = open_pairs.select("u", "v")
+        tried = own if tried is None else tried.unionByName(own)
         found = _verified(open_pairs.select("u", "v"), nodes, docs, idf, id_col, text_col, size, similarity)
         edges = staged(found.join(open_pairs, ["u", "v"]).select(F.col("label_u").alias("u"), F.col("label_v").alias("v"))
                        .distinct(), f"edges-{name}")
@@ -322,11 +345,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return _classes(signed, labels)
 
 
+def _mixed(known: DataFrame) -> DataFrame:
+    """Buckets of more than two nodes that hold several classes; of two nodes, the star is the only pair."""
+    return known.groupBy("bucket").agg(F.min("label_node").alias("low"), F.max("label_node").alias("high"),
+                                       F.count("*").alias("n")).where("low != high AND n > 2").select("bucket")
+
+
 def _second_level(nodes: DataFrame, buckets: DataFrame, labels: DataFrame | None) -> DataFrame:
     """Candidate pairs in buckets that hold several classes, by agreement in a second band."""
-    known = _labelled(buckets, labels, "node")
-    mixed = known.groupBy("bucket").agg(F.min("label_node").alias("low"), F.max("label_node").alias("high"),
-                                        F.count("*").alias("n")).where("low != high AND n > 2").select("bucket")
+    mixed = _mixed(_labelled(buckets, labels, "node"))
     members = buckets.join(mixed, "bucket").join(nodes.select("node", "bands"), "node")
     parts = members.select("node", F.col("bucket").alias("own"), F.explode("bands").alias("more")).where("more != own")
     parts = parts.select("node", F.xxhash64(F.least("own", "more"), F.greatest("own", "more")).alias("bucket")).distinct()
@@ -336,6 +363,93 @@ def _second_level(nodes: DataFrame, buckets: DataFrame, labels: DataFrame | None
             .unionByName(met.where("node != high").select(F.col("node").alias("u"), F.col("high").alias("v")))).distinct()
 
 
+# -- rarest shingles -------------------------------------------------------
+def _shingle_counts(held: DataFrame) -> np.ndarray:
+    """In how many of the nodes the shingles of each hash bucket occur; any one order of shingles serves the join."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(1 << BUCKET_BITS, np.int64)
+        for batch in batches:
+            for h in batch.column(0):
+                np.add.at(counts, (np.frombuffer(h.as_buffer(), np.uint64) >> np.uint64(64 - BUCKET_BITS)).astype(np.int64), 1)
+        some = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(counts[some])], names=["bucket", "n"])
+
+    # As many rows as the table has buckets at most.
+    found = held.select("h").mapInArrow(run, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
+    table = np.zeros(1 << BUCKET_BITS, np.int64)
+    table[found.column("bucket").to_numpy()] = found.column("n").to_numpy()
+    return table
+
+
+def rarest_keys(h: np.ndarray, w: np.ndarray, counts: np.ndarray, similarity: float) -> tuple[np.ndarray, ...]:
+    """``key, left, right, rest, shingle`` of one text, ``rest`` being the weight from the shingle on, rarest first.
+
+    A key names a shingle and two weight steps, one of them the text's own. For
+    each step that a similar text may have, the text is found under the shingles
+    that it may share first with a text of at least that step's weight.
+    """
+    order = np.lexsort((h, counts[(h >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)]))
+    h, w = h[order], w[order].astype(np.float64)
+    rest = np.cumsum(w[::-1])[::-1]
+    step = lambda x: int(np.floor(np.log(x) / np.log(STEP)))
+    own, parts = step(rest[0]), []
+    for other in range(step(rest[0] * similarity * (1 - SLACK)), step(rest[0] / similarity * (1 + SLACK)) + 1):
+        need = similarity / (1 + similarity) * (rest[0] + STEP ** other) * (1 - SLACK)
+        n = int(np.searchsorted(-rest, -need, side="right"))
+        low, high = min(own, other), max(own, other)
+        with np.errstate(over="ignore"):
+            name = np.uint64((low % (1 << 16)) << 16 | high % (1 << 16)) * np.uint64(0x9E3779B97F4A7C15)
+            parts.append((_mix(h[:n] ^ name), np.full(n, own == low), np.full(n, own == high), rest[:n], h[:n]))
+    return tuple(np.concatenate(c) for c in zip(*parts))
+
+
+def _rarest_shared(nodes: DataFrame, buckets: DataFrame, labels: DataFrame | None, docs: DataFrame, idf, id_col: str,
+                   text_col: str, size: int, similarity: float) -> DataFrame | None:
+    """All pairs of different classes that may reach the threshold, among nodes of buckets that hold several classes."""
+    known = _labelled(buckets, labels, "node")
+    members = staged(known.join(_mixed(known), "bucket").select("node", F.col("label_node").alias("label")).distinct(), "mixed")
+    if members.isEmpty():
+        return None
+    held = _features(members.select("node"), nodes, docs, idf, id_col, text_col, size)
+    shared = docs.sparkSession.sparkContext.broadcast(_shingle_counts(held))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = shared.value
+        usual = 2 * int(counts.mean())
+        for batch in batches:
+            for i in range(batch.num_rows):
+                h, w = (np.frombuffer(batch.column(c)[i].as_buffer(), kind) for c, kind in ((2, np.uint64), (3, np.float32)))
+                key, left, right, rest, shingle = rarest_keys(h, w, counts, similarity)
+                often = counts[(shingle >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)]
+                kept = often > 1
+                n, total = int(kept.sum()), w.sum(dtype=np.float64)
+                same = lambda c: pa.array([batch.column(c)[i].as_py()], pa.binary()).take(pa.array(np.zeros(n, np.int32)))  # noqa: E731, B023
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(key[kept].view(np.int64)), pa.array(left[kept]), pa.array(right[kept]), same(0), same(1),
+                     pa.array(np.full(n, total)), pa.array(rest[kept]),
+                     pa.array((1 + np.maximum(0, often[kept] - usual) // CROWD).astype(np.int32))],
+                    names=["key", "left", "right", "node", "label", "total", "rest", "parts"])
+
+    rows = held.join(members, "node").select("node", "label", "h", "w").mapInArrow(
+        run, "key long, left boolean, right boolean, node binary, label binary, total double, rest double, parts int")
+    # Most keys are held by one class only.
+    several = rows.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low != high").select("key")
+    rows = staged(rows.join(several, "key", "left_semi"), "rarest")
+    # A class meets another in lists of bounded length; a key of many classes is dealt out over pairs of parts.
+    lists = (rows.groupBy("key", "left", "right", "label", "parts", F.expr("pmod(xxhash64(node), parts)").alias("part"))
+             .agg(F.collect_list(F.struct("node", "total", "rest")).alias("held"))
+             .withColumn("cell", F.expr("cast(pmod(xxhash64(label), parts) AS int)")))
+    every = F.explode(F.expr("sequence(0, parts - 1)"))
+    us = lists.where("left").select("key", F.col("cell").alias("p"), every.alias("q"), F.col("right").alias("both"),
+                                    F.col("label").alias("label_u"), F.col("held").alias("us"))
+    vs = lists.where("right").select("key", every.alias("p"), F.col("cell").alias("q"), F.col("label").alias("label_v"),
+                                     F.col("held").alias("vs"))
+    met = us.join(vs, ["key", "p", "q"]).where("label_u < label_v OR (NOT both AND label_u != label_v)")
+    met = met.select(F.explode("us").alias("x"), "vs").select("x", F.explode("vs").alias("y"))
+    enough = F.least("x.rest", "y.rest") >= (F.col("x.total") + F.col("y.total")) * (similarity / (1 + similarity) * (1 - SLACK))
+    return met.where(enough).select(F.least("x.node", "y.node").alias("u"), F.greatest("x.node", "y.node").alias("v")).distinct()
+
+
 def _classes(signed: DataFrame, labels: DataFrame | None) -> DataFrame:
     rows = signed.select("doc", "row_a", "row_b", "node")
     named = _labelled(rows, labels, "node").withColumnRenamed("label_node", "label")

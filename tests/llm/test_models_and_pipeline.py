@@ -175,6 +175,37 @@ def test_near_duplicate_classes_equal_brute_force(spark):
     assert kept.columns == df.columns and sorted(r.doc_id for r in kept.collect()) == sorted(set(want.values()))
 
 
+def test_pairs_inside_a_family_below_the_threshold(spark):
+    rnd = random.Random(8)
+    own = lambda n: " ".join(f"w{rnd.getrandbits(48):x}" for _ in range(n))
+    core = own(480)
+    twins = [own(14) for _ in range(150)]
+    docs = [(i, f"{core} {twins[i // 2]} {own(26)}") for i in range(300)]
+    links = brute_links(spark, docs)
+    assert {(2 * k, 2 * k + 1) for k in range(150)} == set(links)
+    found = near_dedup.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string").repartition(5))
+    assert {r.doc: r.class_id for r in found.collect()} == classes_of([i for i, _ in docs], links)
+
+
+def test_rarest_keys_meet_for_every_similar_pair():
+    rnd = np.random.default_rng(9)
+    pool, weights = np.sort(rnd.integers(0, 2**63, 60, dtype=np.uint64) * np.uint64(2)), rnd.choice([1.0, 1.4, 2.0, 4.0], 60).astype(np.float32)
+    counts = rnd.integers(1, 9, 1 << near_dedup.BUCKET_BITS)
+    sets = [np.sort(rnd.choice(60, rnd.integers(35, 61), replace=False)) for _ in range(150)]
+    keys = [near_dedup.rarest_keys(pool[s], weights[s], counts, 0.8) for s in sets]
+    sides = [(set(k[left].tolist()), set(k[right].tolist())) for k, left, right, _, _ in keys]
+    close = met = 0
+    for i, a in enumerate(sets):
+        for j in range(i):
+            b = sets[j]
+            meets = bool(sides[i][0] & sides[j][1] or sides[i][1] & sides[j][0])
+            met += meets
+            if near_dedup.weighted_jaccard(pool[a], weights[a], pool[b], weights[b]) >= 0.8:
+                close += 1
+                assert meets
+    assert 50 < close <= met
+
+
 def test_near_duplicates_with_repeated_and_null_ids(spark):
     text = prose(random.Random(5), 50)
     df = spark.createDataFrame([(1, text), (1, text), (None, text), (1, "another text of its own words here"), (None, None)], "doc_id long, text string")
