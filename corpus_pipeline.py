@@ -36,7 +36,7 @@ def drop_leaked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Byte-level BPE: ids of every document, packed, with their number and digests of ids and decoded bytes."""
-    return byte_bpe.encode_texts(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return byte_bpe.encode_and_check(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
 STAGES = [("quality classifier", keep_good), ("line dedup", drop_repeated_lines), ("near-dedup", drop_near_copies),

@@ -174,3 +174,16 @@ def round_trip(df: DataFrame, ranks_path: str, pattern: str = KNOWN_PATTERN, id_
 
     return map_texts(df, work, [("n_tokens", "long"), ("ids_sha256", "string"), ("decoded_sha256", "string")],
                      id_col, text_col)
+
+
+def encode_and_check(df: DataFrame, ranks_path: str, pattern: str = KNOWN_PATTERN, id_col: str = "doc_id",
+                     text_col: str = "text") -> DataFrame:
+    """Encode whole texts, decode the ids: ``id, n_tokens, ids, ids_sha256, decoded_sha256``."""
+    def work(texts):
+        own = codec(ranks_path, pattern)
+        rows = own.encode(texts)
+        return [[len(r) // 4 for r in rows], rows, [hashlib.sha256(r).hexdigest() for r in rows],
+                [hashlib.sha256(own.decode(r)).hexdigest() for r in rows]]
+
+    return map_texts(df, work, [("n_tokens", "long"), ("ids", "binary"), ("ids_sha256", "string"),
+                                ("decoded_sha256", "string")], id_col, text_col)

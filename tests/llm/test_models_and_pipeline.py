@@ -1,6 +1,7 @@
 """Quality rules, toxicity, near-duplicates and the pipeline on planted and brute-force cases."""
 
 import collections
+import hashlib
 import random
 import zlib
 
@@ -288,6 +289,15 @@ def test_pipeline_stage_by_stage(spark, corpus):
     assert 400 not in final and 402 not in final
 
 
+def test_last_stage_decodes_every_text(spark):
+    texts = {1: "Plain words, 12 of them.\n\n  And   spaces", 2: "na\u00efve \u6f22\u5b57 \U0001f600 <|endoftext|>", 3: "", 4: None, 5: "x" * 5000}
+    rows = corpus_pipeline.encode(spark, spark.createDataFrame(list(texts.items()), "doc_id long, text string"), "").collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        assert r.n_tokens * 4 == len(r.ids) and r.ids_sha256 == hashlib.sha256(r.ids).hexdigest()
+        assert r.decoded_sha256 == hashlib.sha256((texts[r.doc_id] or "").encode()).hexdigest()
+
+
 def test_every_stage_takes_an_empty_table(spark, corpus):
     folder, _ = corpus
     empty = spark.read.parquet(f"{folder}/documents.parquet").limit(0)
