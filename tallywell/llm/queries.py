@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywell.llm import (byte_bpe, chat_format, decontamination, exact_topk, license_scan, line_dedup, near_dedup,
-                           quality_rules, token_counts, toxicity)
+from tallywell.llm import (byte_bpe, centroid_clusters, chat_format, decontamination, exact_topk, license_scan, line_dedup,
+                           near_dedup, phrases, quality_rules, token_counts, toxicity)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -79,6 +79,15 @@ def op10_exact_topk(spark, base):
     return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
 
 
+def op11_centroid_clusters(spark, base):
+    found = centroid_clusters.cluster_vectors(read(spark, base, "embeddings"))
+    return found.select(F.col("id").alias("vec_id"), "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+
+
+def op13_phrases(spark, base):
+    return phrases.mine_phrases(read(spark, base, "documents"))
+
+
 OP7_SQL = r"""
 WITH told AS (
     SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -127,11 +136,76 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE
 """
 
 
+OP11_ROUND = """
+near{n} AS MATERIALIZED (
+    SELECT row, vec_id, v, arg_min(struct_pack(c, d), struct_pack(d, c)) AS hit FROM (
+        SELECT row, vec_id, v, c, list_sum([(v[i] - w[i]) * (v[i] - w[i]) FOR i IN range(1, 65)]) AS d
+        FROM kept, centroids{n}) GROUP BY row, vec_id, v),
+sums{n} AS (
+    SELECT c, i, sum(x) AS s, count(*) AS n
+    FROM (SELECT hit.c AS c, unnest(range(1, 65)) AS i, unnest(v) AS x FROM near{n}) GROUP BY c, i),
+moved{n} AS (
+    SELECT c, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS w FROM sums{n} GROUP BY c),
+centroids{m} AS MATERIALIZED (SELECT o.c, coalesce(m.w, o.w) AS w FROM centroids{n} o LEFT JOIN moved{n} m USING (c)),"""
+
+OP11_SQL = """
+WITH kept AS MATERIALIZED (
+    SELECT row_number() OVER () AS row, vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v
+    FROM embeddings WHERE len(embedding) = 64 AND len([1 FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+centroids0 AS MATERIALIZED (
+    SELECT CAST(row_number() OVER (ORDER BY h, v) - 1 AS INTEGER) AS c, v AS w
+    FROM (SELECT sha256('2:' || vec_id) AS h, v FROM kept WHERE vec_id IS NOT NULL) QUALIFY c < 40),""" + "".join(
+    OP11_ROUND.format(n=n, m=n + 1) for n in range(5)) + """
+last AS MATERIALIZED (
+    SELECT row, vec_id, arg_min(struct_pack(c, d), struct_pack(d, c)) AS hit FROM (
+        SELECT row, vec_id, c, list_sum([(v[i] - w[i]) * (v[i] - w[i]) FOR i IN range(1, 65)]) AS d
+        FROM kept, centroids5) GROUP BY row, vec_id)
+SELECT vec_id, hit.c AS cluster, CAST(hit.d AS BIGINT) AS distance,
+    CAST(sum(hit.d) OVER (PARTITION BY hit.c) AS BIGINT) AS cluster_inertia, CAST(sum(hit.d) OVER () AS BIGINT) AS inertia,
+    sha256(array_to_string(w, ',')) AS centroid_sha256
+FROM last JOIN centroids5 ON hit.c = centroids5.c
+"""
+
+OP13_SQL = r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, row_number() OVER () AS piece, words FROM (
+        SELECT lang, [w FOR w IN regexp_split_to_array(piece, '[ \t]+') IF w <> ''] AS words FROM (
+            SELECT lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\n-\r]')) AS piece FROM documents))
+    WHERE len(words) > 0),
+totals AS (SELECT lang, CAST(sum(len(words)) AS BIGINT) AS n FROM pieces GROUP BY lang),
+runs AS (
+    SELECT lang, array_to_string(words[p:p + size - 1], ' ') AS phrase, size FROM (
+        SELECT lang, words, size, unnest(range(1, len(words) - size + 2)) AS p
+        FROM (SELECT lang, words, unnest(range(1, 5)) AS size FROM pieces))),
+counts AS MATERIALIZED (SELECT lang, phrase, size, count(*) AS f FROM runs GROUP BY lang, phrase, size HAVING count(*) >= 30),
+cuts AS (
+    SELECT lang, phrase, f AS a, k, string_split(phrase, ' ') AS w
+    FROM (SELECT *, unnest(range(1, size)) AS k FROM counts WHERE size >= 2)),
+told AS (
+    SELECT c.lang, c.phrase, c.a, c.k, x.f AS l, y.f AS r, CAST(CAST(2000000 AS HUGEINT) * c.a // (x.f + y.f) AS BIGINT) AS score
+    FROM cuts c JOIN counts x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:c.k], ' ')
+    JOIN counts y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[c.k + 1:len(c.w)], ' ')),
+worst AS (SELECT * FROM told QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inner_runs AS (
+    SELECT lang, array_to_string(w[p:p + n - 1], ' ') AS phrase, f FROM (
+        SELECT lang, f, w, n, unnest(range(1, len(w) - n + 2)) AS p FROM (
+            SELECT lang, f, string_split(phrase, ' ') AS w, unnest(range(2, size)) AS n FROM counts WHERE size >= 3))),
+longer AS (SELECT lang, phrase, max(f) AS longer FROM inner_runs GROUP BY lang, phrase),
+ranked AS (
+    SELECT w.*, row_number() OVER (PARTITION BY w.lang ORDER BY score DESC, a DESC, w.phrase) AS rank
+    FROM worst w LEFT JOIN longer g ON g.lang = w.lang AND g.phrase = w.phrase
+    WHERE longer IS NULL OR CAST(100 AS HUGEINT) * longer < CAST(80 AS HUGEINT) * a)
+SELECT ranked.lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (op1_token_counts, op2_decontamination, op3_quality_rules, op4_near_dedup,
                                     op5_license_scan, op6_byte_bpe, op7_chat_format, op8_toxicity, op9_line_dedup,
-                                    op10_exact_topk)}
+                                    op10_exact_topk, op11_centroid_clusters, op13_phrases)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_chat_format": OP7_SQL, "op9_line_dedup": OP9_SQL, "op10_exact_topk": OP10_SQL}
+    return {"op7_chat_format": OP7_SQL, "op9_line_dedup": OP9_SQL, "op10_exact_topk": OP10_SQL,
+            "op11_centroid_clusters": OP11_SQL, "op13_phrases": OP13_SQL}
