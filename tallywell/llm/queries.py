@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallywell.llm import (byte_bpe, centroid_clusters, chat_format, decontamination, exact_topk, license_scan, line_dedup,
-                           near_dedup, phrases, quality_rules, token_counts, toxicity)
+                           maxent_lm, near_dedup, phrases, quality_rules, token_counts, toxicity)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -84,6 +84,11 @@ def op11_centroid_clusters(spark, base):
     return found.select(F.col("id").alias("vec_id"), "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
 
 
+def op12_maxent_lm(spark, base):
+    docs = read(spark, base, "documents").select("doc_id", "text")
+    return maxent_lm.score_texts(docs, maxent_lm.fit(docs)).withColumnRenamed("id", "doc_id")
+
+
 def op13_phrases(spark, base):
     return phrases.mine_phrases(read(spark, base, "documents"))
 
@@ -203,7 +208,8 @@ SELECT ranked.lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USIN
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (op1_token_counts, op2_decontamination, op3_quality_rules, op4_near_dedup,
                                     op5_license_scan, op6_byte_bpe, op7_chat_format, op8_toxicity, op9_line_dedup,
-                                    op10_exact_topk, op11_centroid_clusters, op13_phrases)}
+                                    op10_exact_topk, op11_centroid_clusters, op12_maxent_lm,
+                                    op13_phrases)}
 
 
 def oracle_sql() -> dict[str, str]:
