@@ -38,8 +38,8 @@ from tallywell.llm.rows import quoted
 from tallywell.session import staged
 
 LEAST, LONGEST, TOP, INSIDE = 30, 4, 2000, 80
-#: Bits of a table of survivors; bytes of text for each hash partition; characters of text in a slice.
-TABLE_BITS, PART_BYTES, SLICE_CHARS = 26, 1 << 24, 4_000_000
+#: Bits of a table of survivors; bytes of text for each hash partition; characters of text in a slice; keys merged at once.
+TABLE_BITS, PART_BYTES, SLICE_CHARS, MERGE = 26, 1 << 27, 4_000_000, 1 << 18
 PIECE = re.compile(rb"[.,;:!?\x0a-\x0d]")
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -122,11 +122,11 @@ def _map_slices(docs: DataFrame, work: Callable[[Slice], Iterator[pa.RecordBatch
 
 
 # -- bit tables ------------------------------------------------------------
-def bit_table(hashes: DataFrame) -> np.ndarray:
-    """The table of the column ``h``; as many words as it has bits over 64 at most come to the driver."""
-    place = F.shiftrightunsigned("h", 64 - TABLE_BITS)
-    rows = hashes.select(F.shiftrightunsigned(place, 6).alias("word"), F.expr(
-        f"shiftleft(1L, cast(shiftrightunsigned(h, {64 - TABLE_BITS}) & 63 AS int))").alias("bit"))
+def bit_table(keys: DataFrame) -> np.ndarray:
+    """The table of the column ``key``; as many words as it has bits over 64 at most come to the driver."""
+    place = F.shiftrightunsigned("key", 32 - TABLE_BITS)
+    rows = keys.select(F.shiftrightunsigned(place, 6).alias("word"), F.expr(
+        f"shiftleft(1L, cast(shiftrightunsigned(key, {32 - TABLE_BITS}) & 63 AS int))").alias("bit"))
     found = rows.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
     table = np.zeros(1 << (TABLE_BITS - 6), np.int64)
     table[found.column("word").to_numpy()] = found.column("bits").to_numpy()
@@ -145,12 +145,21 @@ class Summary:
     def __init__(self, capacity: int):
         self.capacity, self.taken = capacity, 0
         self.keys, self.counts = np.empty(0, np.int64), np.empty(0, np.int64)
+        self.waiting: list[tuple[np.ndarray, np.ndarray]] = []
+        self.held = 0
 
     def add(self, keys: np.ndarray, counts: np.ndarray) -> None:
-        """Merge counters, of another summary or of a slice."""
-        keys, place = np.unique(np.concatenate((self.keys, keys)), return_inverse=True)
+        """Take in counters, of another summary or of a slice; many are merged at once."""
+        self.waiting.append((keys, counts))
+        self.held += len(keys)
+        if self.held > max(self.capacity, MERGE):
+            self.merge()
+
+    def merge(self) -> None:
+        keys, place = np.unique(np.concatenate([self.keys, *[k for k, _ in self.waiting]]), return_inverse=True)
         sums = np.zeros(len(keys), np.int64)
-        np.add.at(sums, place, np.concatenate((self.counts, counts)))
+        np.add.at(sums, place, np.concatenate([self.counts, *[n for _, n in self.waiting]]))
+        self.waiting, self.held = [], 0
         if len(keys) > self.capacity:
             at = len(keys) - self.capacity - 1
             cut = int(np.partition(sums, at)[at])
@@ -160,49 +169,51 @@ class Summary:
         self.keys, self.counts = keys, sums
 
 
+COUNTS = "part int, mass long, once binary, more binary, times binary"
+
+
+def packed_counts(found: list[np.ndarray], parts: int) -> pa.RecordBatch:
+    """Per hash partition the keys of a slice that occur once, the others, and how often those do.
+
+    A key is the upper half of a hash and the partition is drawn from the lower
+    one, so the counts of a key are those of a run or more.
+    """
+    hashes, counts = np.unique(np.concatenate(found), return_counts=True)
+    part = ((hashes & np.uint64(0xFFFFFFFF)) % np.uint64(parts)).astype(np.int32)
+    order = np.argsort(part, kind="stable")
+    part, keys, counts = part[order], (hashes[order] >> np.uint64(32)).astype(np.uint32), counts[order].astype(np.uint32)
+    held, first = np.unique(part, return_index=True)
+    rows = []
+    for a, b in zip(first.tolist(), [*first[1:].tolist(), len(part)]):
+        own, n = keys[a:b], counts[a:b]
+        rows.append((int(n.sum()), own[n == 1].tobytes(), own[n > 1].tobytes(), n[n > 1].tobytes()))
+    mass, once, more, times = zip(*rows)
+    return pa.RecordBatch.from_arrays([pa.array(held), pa.array(mass, pa.int64()), *[pa.array(c, pa.binary()) for c in (once, more, times)]],
+                                      names=["part", "mass", "once", "more", "times"])
+
+
 def survivors(partial: DataFrame, least: int, parts: int) -> DataFrame:
-    """``h``: every hash whose counts in ``partial(h, n)`` reach ``least``, and few others."""
-    part = F.pmod(F.col("h"), F.lit(parts))
-    kept = staged(partial.withColumn("part", part.cast("int")), "run-counts")
+    """``key``: every key whose counts in ``partial`` (``COUNTS``) reach ``least``, and few others."""
+    kept = staged(partial, "run-counts")
     # One number per hash partition.
-    mass = {r.part: r.mass for r in kept.groupBy("part").agg(F.sum("n").alias("mass")).collect()}
+    mass = {r.part: r.mass for r in kept.groupBy("part").agg(F.sum("mass").alias("mass")).collect()}
     shared = partial.sparkSession.sparkContext.broadcast(mass)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         summaries: dict[int, Summary] = {}
         for batch in batches:
-            h, n, own = (batch.column(c).to_numpy() for c in range(3))
-            for p in np.unique(own).tolist():
+            for i, p in enumerate(batch.column(0).to_pylist()):
                 if p not in summaries:
                     summaries[p] = Summary(shared.value[p] // least + 1)
-                summaries[p].add(h[own == p], n[own == p])
+                once, more, times = (np.frombuffer(batch.column(c)[i].as_buffer(), np.uint32).astype(np.int64) for c in (1, 2, 3))
+                summaries[p].add(once, np.ones(len(once), np.int64))
+                summaries[p].add(more, times)
         for s in summaries.values():
-            fine = s.counts + s.taken >= least
-            yield pa.RecordBatch.from_arrays([pa.array(s.keys[fine])], names=["h"])
-
-    merged = _larger_batches(kept.repartition(parts, "part").select("h", "n", "part"), run)
-    return staged(merged, "survivors")
-
-
-def _larger_batches(df: DataFrame, run) -> DataFrame:
-    """A merge costs its summary's size, so rows come in batches of about that size."""
-    def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, rows = [], 0
-        for batch in batches:
-            held.append(batch)
-            rows += batch.num_rows
-            if rows >= 1 << 20:
-                yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-                held, rows = [], 0
-        if rows:
-            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-
-    return df.mapInArrow(lambda batches: run(gathered(batches)), "h long")
-
+            s.merge()
+            yield pa.RecordBatch.from_arrays([pa.array(s.keys[s.counts + s.taken >= least])], names=["key"])
 
-def _hash_counts(found: list[np.ndarray]) -> pa.RecordBatch:
-    keys, counts = np.unique(np.concatenate(found), return_counts=True)
-    return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(counts)], names=["h", "n"])
+    dealt = kept.select("part", "once", "more", "times").repartition(parts, "part")
+    return staged(dealt.mapInArrow(run, "key long"), "survivors")
 
 
 # -- mining ----------------------------------------------------------------
@@ -212,7 +223,7 @@ def frequent_runs(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, l
     spread = spark_texts(docs, lang_col, text_col)
     sc = docs.sparkSession.sparkContext
     size = spread.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = 1 + size // PART_BYTES
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1 + size // PART_BYTES)
 
     def count_words(own: Slice) -> Iterator[pa.RecordBatch]:
         count = np.bincount(own.ids[own.ids >= 0], minlength=len(own.words))
@@ -227,17 +238,17 @@ def frequent_runs(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, l
     def pairs(own: Slice) -> Iterator[pa.RecordBatch]:
         _, h = own.runs(2, _both(own, one.value))
         if len(h):
-            yield _hash_counts([h])
+            yield packed_counts([h], parts)
 
-    two = sc.broadcast(bit_table(survivors(_map_slices(spread, pairs, "h long, n long"), least, parts)))
+    two = sc.broadcast(bit_table(survivors(_map_slices(spread, pairs, COUNTS), least, parts)))
 
     def longer(own: Slice) -> Iterator[pa.RecordBatch]:
         pair = _surviving(own, 2, _both(own, one.value), two.value)
         found = [own.runs(k, _all(pair, k - 1) & own.inside(k))[1] for k in range(3, longest + 1)]
         if any(map(len, found)):
-            yield _hash_counts(found)
+            yield packed_counts(found, parts)
 
-    more = sc.broadcast(bit_table(survivors(_map_slices(spread, longer, "h long, n long"), least, parts)))
+    more = sc.broadcast(bit_table(survivors(_map_slices(spread, longer, COUNTS), least, parts)))
 
     def exact(own: Slice) -> Iterator[pa.RecordBatch]:
         pair = _surviving(own, 2, _both(own, one.value), two.value)
@@ -287,15 +298,15 @@ def _all(fits: np.ndarray, times: int) -> np.ndarray:
 
 
 def _word_hashes(words: DataFrame) -> DataFrame:
-    """``h`` of the words' runs of one word, as the slices hash them."""
+    """``key`` of the words' runs of one word, as the slices hash them."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             seeds: dict[str, int] = {}
             plain = np.array([xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass"), seeds.setdefault(
                 lang, xxhash.xxh3_64_intdigest(lang))) for lang, w in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())], np.uint64)
-            yield pa.RecordBatch.from_arrays([pa.array(_mix(np.uint64(1) * MIX + plain).view(np.int64))], names=["h"])
+            yield pa.RecordBatch.from_arrays([pa.array((_mix(MIX + plain) >> np.uint64(32)).astype(np.int64))], names=["key"])
 
-    return words.select("lang", "phrase").mapInArrow(run, "h long")
+    return words.select("lang", "phrase").mapInArrow(run, "key long")
 
 
 def spark_texts(docs: DataFrame, lang_col: str, text_col: str) -> DataFrame:
