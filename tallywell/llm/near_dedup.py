@@ -2,8 +2,8 @@
 
 A text's features are its runs of five words. A shingle weighs its count times
 an idf from 1 (in every document) to 2 (in at most a hundredth of them).
-Document counts are kept by hash bucket, over all documents, in a table of
-fixed width, so what is broadcast never grows.
+Documents are counted by hash bucket, over all documents, in a table of fixed
+width; the shingles of buckets that many documents have are counted exactly.
 
 Consistent weighted sampling draws from each text samples that two texts share
 with a probability equal to their weighted Jaccard similarity. Four samples
@@ -24,7 +24,9 @@ shingles. Two texts of weights A and B reach similarity t only if they share a
 weight of t / (1 + t) (A + B), so they share a shingle among the first of each,
 rarest first, before less than that is left. This loses no pair, and a core
 that a whole family shares is not among those shingles while the family is
-below t. Pairs of one class are never made. Nodes of a class share a chain of
+below t. Each key is met first through the text that has least beside it, which
+joins a family before its classes meet pair by pair. Pairs of one class, and
+pairs that cannot reach t by what is left from the key on, are never made. Nodes of a class share a chain of
 verified pairs; the class id is its smallest document id.
 
 Cases: a text without a word is alone in its class; a text of fewer than five
@@ -57,6 +59,8 @@ LEAST_EQUAL = 0.5
 POOL_BITS = 14
 #: Ratio of neighbouring weight steps in the join by rarest shingles, rows of a key that meet in one place, rounding.
 STEP, CROWD, SLACK = 1.04, 256, 1e-5
+#: Times that keys are met through one text of theirs first; bits of a table of row hashes.
+CENTRES, TABLE_BITS = 3, 26
 MEMO_WORDS = 200_000
 
 WORD = re.compile(r"[^\W_]+")
@@ -103,35 +107,101 @@ class Shingler:
                 np.concatenate([n for _, n in parts] or [np.empty(0, np.int64)]), sizes)
 
 
-def document_counts(docs: DataFrame, text_col: str = "text", size: int = SHINGLE) -> DataFrame:
-    """``bucket, n``: in how many documents the shingles of a hash bucket occur; bucket -1 counts the documents."""
+def _bucket(hashes: np.ndarray) -> np.ndarray:
+    return (hashes >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
+
+
+def _shingled(docs: DataFrame, text_col: str, size: int, work, schema: str) -> DataFrame:
+    """``work(hashes, sizes)`` of slices of texts; it yields while it goes and once more at the end, with None."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler, counts, texts = Shingler(size), np.zeros(1 << BUCKET_BITS, np.int64), 0
+        shingler, own = Shingler(size), work()
         for batch in batches:
             for at in range(0, batch.num_rows, SLICE):
-                split = [words_of(t or "") for t in batch.column(0).slice(at, SLICE).to_pylist()]
-                texts += sum(map(bool, split))
-                hashes, _, _ = shingler.rows(split)
-                counts += np.bincount((hashes >> np.uint64(64 - BUCKET_BITS)).astype(np.int64), minlength=1 << BUCKET_BITS)
-        held = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(np.append(held, -1).astype(np.int32)),
-                                          pa.array(np.append(counts[held], texts))], names=["bucket", "n"])
-
-    return (docs.select(F.col(quoted(text_col)).cast("string")).mapInArrow(run, "bucket int, n long")
-            .groupBy("bucket").agg(F.sum("n").alias("n")))
-
-
-def idf_table(docs: DataFrame, text_col: str = "text", size: int = SHINGLE, rare: float = RARE) -> np.ndarray:
-    """Idf of every bucket: 1 + ln(1 / share) / ln(1 / rare), the share of documents taken as ``rare`` at least."""
-    counts = document_counts(docs, text_col, size)
-    kept = staged(counts, "shingle-counts")
+                hashes, _, sizes = shingler.rows([words_of(t or "") for t in batch.column(0).slice(at, SLICE).to_pylist()])
+                yield from own(hashes, sizes)
+        yield from own(None, None)
+
+    return docs.select(F.col(quoted(text_col)).cast("string")).mapInArrow(run, schema)
+
+
+def document_counts(docs: DataFrame, text_col: str = "text", size: int = SHINGLE) -> DataFrame:
+    """``bucket, n``: how many documents have a shingle of a hash bucket; bucket -1 counts the documents."""
+    def work():
+        counts, texts = np.zeros(1 << BUCKET_BITS, np.int64), [0]
+
+        def count(hashes, sizes):
+            if hashes is not None:
+                texts[0] += int((sizes > 0).sum())
+                # The hashes of a text are in order, so its buckets are too and each counts once.
+                own = np.repeat(np.arange(len(sizes)), sizes) << BUCKET_BITS | _bucket(hashes)
+                new = np.append(True, own[1:] != own[:-1])[:len(own)]
+                np.add(counts, np.bincount(own[new] & ((1 << BUCKET_BITS) - 1), minlength=1 << BUCKET_BITS), out=counts)
+                return
+            held = np.flatnonzero(counts)
+            yield pa.RecordBatch.from_arrays([pa.array(np.append(held, -1).astype(np.int32)),
+                                              pa.array(np.append(counts[held], texts[0]))], names=["bucket", "n"])
+
+        return count
+
+    return _shingled(docs, text_col, size, work, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
+
+
+def common_shingles(docs: DataFrame, buckets: np.ndarray, text_col: str = "text", size: int = SHINGLE) -> DataFrame:
+    """``h, n``: exact document counts of the shingles in the buckets marked."""
+    shared = docs.sparkSession.sparkContext.broadcast(buckets)
+
+    def work():
+        held: list[np.ndarray] = []
+
+        def count(hashes, sizes):
+            if hashes is not None:
+                held.append(hashes[shared.value[_bucket(hashes)]])
+            if held and (hashes is None or sum(map(len, held)) > 1 << 20):
+                keys, n = np.unique(np.concatenate(held), return_counts=True)
+                held.clear()
+                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n)], names=["h", "n"])
+
+        return count
+
+    return _shingled(docs, text_col, size, work, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+
+
+class Idf:
+    """Idf of shingles: 2 but for those in more documents than count as rare."""
+
+    def __init__(self, common: np.ndarray, hashes: np.ndarray, values: np.ndarray):
+        order = np.argsort(hashes)
+        self.common, self.hashes, self.values = common, hashes[order], values[order].astype(np.float32)
+
+    def of(self, hashes: np.ndarray) -> np.ndarray:
+        out = np.full(len(hashes), 2, np.float32)
+        if len(self.hashes):
+            some = np.flatnonzero(self.common[_bucket(hashes)])
+            at = np.searchsorted(self.hashes, hashes[some])
+            at[at == len(self.hashes)] = 0
+            found = self.hashes[at] == hashes[some]
+            out[some[found]] = self.values[at[found]]
+        return out
+
+
+def idf_table(docs: DataFrame, text_col: str = "text", size: int = SHINGLE, rare: float = RARE) -> Idf:
+    """1 + ln(1 / share) / ln(1 / rare), the share of documents taken as ``rare`` at least.
+
+    Buckets that no more than that share have hold no common shingle; in the
+    others shingles are counted one by one. A text has few of them: there are at
+    most 1 / ``rare`` times as many as a text has shingles on average.
+    """
+    kept = staged(document_counts(docs, text_col, size), "shingle-counts")
     total = kept.where("bucket = -1").agg(F.sum("n")).first()[0] or 1
     # As many rows as the table has buckets at most.
-    common = kept.where((F.col("bucket") >= 0) & (F.col("n") > rare * total)).toArrow()
-    table = np.full(1 << BUCKET_BITS, 2.0, np.float32)
-    share = np.minimum(1.0, common.column("n").to_numpy() / total)
-    table[common.column("bucket").to_numpy()] = 1 + np.log(1 / share) / np.log(1 / rare)
-    return table
+    crowded = kept.where((F.col("bucket") >= 0) & (F.col("n") > rare * total)).select("bucket").toArrow()
+    common = np.zeros(1 << BUCKET_BITS, bool)
+    common[crowded.column("bucket").to_numpy()] = True
+    if not common.any():
+        return Idf(common, np.empty(0, np.uint64), np.empty(0))
+    found = common_shingles(docs, common, text_col, size).where(F.col("n") > rare * total).toArrow()
+    share = np.minimum(1.0, found.column("n").to_numpy() / total)
+    return Idf(common, found.column("h").to_numpy().view(np.uint64), 1 + np.log(1 / share) / np.log(1 / rare))
 
 
 # -- samples ---------------------------------------------------------------
@@ -198,7 +268,7 @@ def signatures(docs: DataFrame, idf, id_col: str, text_col: str, size: int) -> D
                 samples: list = [None] * len(split)
                 bands: list = [None] * len(split)
                 if len(has):
-                    drawn = sampler.draw(hashes, counts * table[(hashes >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)], sizes[has])
+                    drawn = sampler.draw(hashes, counts * table.of(hashes), sizes[has])
                     for i, s, b in zip(has.tolist(), drawn.view(np.int32), bands_of(drawn)):
                         samples[i], bands[i] = s, b
                 yield pa.RecordBatch.from_arrays(
@@ -239,34 +309,57 @@ def weighted_jaccard(a: np.ndarray, wa: np.ndarray, b: np.ndarray, wb: np.ndarra
     return float(low / (wa.sum(dtype=np.float64) + wb.sum(dtype=np.float64) - low))
 
 
-def _features(wanted: DataFrame, nodes: DataFrame, docs: DataFrame, idf, id_col: str, text_col: str, size: int) -> DataFrame:
-    """``node, h, w``: sorted shingle hashes of the wanted nodes and their weights, packed."""
+def key_table(keys: DataFrame, name: str) -> np.ndarray:
+    """Bits of a column of hashes, in a table of fixed size: it holds all of them, and few others while it is not crowded."""
+    place = F.shiftrightunsigned(name, 64 - TABLE_BITS)
+    rows = keys.select(F.shiftrightunsigned(place, 6).alias("word"), F.expr(f"shiftleft(1L, cast(shiftrightunsigned({name}, {64 - TABLE_BITS}) & 63 AS int))").alias("bit"))
+    # As many rows as the table has bits over 64 at most.
+    found = rows.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
+    table = np.zeros(1 << (TABLE_BITS - 6), np.int64)
+    table[found.column("word").to_numpy()] = found.column("bits").to_numpy()
+    return table.view(np.uint64)
+
+
+def in_table(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    place = hashes.view(np.uint64) >> np.uint64(64 - TABLE_BITS)
+    return (table[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1) > 0
+
+
+def _features(close: DataFrame, signed: DataFrame, docs: DataFrame, idf, id_col: str, text_col: str, size: int) -> DataFrame:
+    """``node, h, w``: sorted shingle hashes of the nodes and their weights, packed; a few other nodes may be there too.
+
+    Texts are read where they lie and none is shuffled: a table of bits tells
+    the rows of these nodes from nearly all others.
+    """
     doc, text = F.col(quoted(id_col)), F.col(quoted(text_col)).cast("string")
-    rows = nodes.select("node", "row_a", "row_b").join(wanted, "node")
-    texts = docs.select(*row_key(doc, text), text.alias("text")).join(rows, ["row_a", "row_b"]).select("node", "text")
+    first = signed.where("node IS NOT NULL").groupBy("node").agg(F.min("row_a").alias("row_a")).join(close, "node")
+    wanted = docs.sparkSession.sparkContext.broadcast(key_table(first, "row_a"))
 
     def shingle(batches):
-        shingler, table = Shingler(size), idf.value
+        shingler, table, seen = Shingler(size), idf.value, set()
         for batch in batches:
-            for at in range(0, batch.num_rows, SLICE):
-                part = batch.slice(at, SLICE)
-                hashes, counts, sizes = shingler.rows([words_of(t or "") for t in part.column(1).to_pylist()])
-                weights = (counts * table[(hashes >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)]).astype(np.float32)
+            fits = in_table(wanted.value, batch.column(0).to_numpy())
+            rows = batch.column(1).filter(pa.array(fits))
+            for at in range(0, len(rows), SLICE):
+                split = [words_of(t or "") for t in rows.slice(at, SLICE).to_pylist()]
+                named = {xxhash.xxh3_128_digest(" ".join(w)): w for w in split if w}
+                named = {n: w for n, w in named.items() if n not in seen}
+                seen.update(named)
+                hashes, counts, sizes = shingler.rows(list(named.values()))
+                weights = (counts * table.of(hashes)).astype(np.float32)
                 ends = np.cumsum(sizes)
                 cut = list(zip((ends - sizes).tolist(), ends.tolist()))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([hashes[a:b].tobytes() for a, b in cut], pa.binary()),
+                    [pa.array(list(named), pa.binary()), pa.array([hashes[a:b].tobytes() for a, b in cut], pa.binary()),
                      pa.array([weights[a:b].tobytes() for a, b in cut], pa.binary())], names=["node", "h", "w"])
 
-    # Rows of the same id and text were one node row; texts repeated in the table are not.
-    return staged(texts.mapInArrow(shingle, "node binary, h binary, w binary").dropDuplicates(["node"]), "shingles")
+    keyed = docs.select(row_key(doc, text)[0], text.alias("text"))
+    # A task tells a node once; rows of the same id and text in several tasks tell it again.
+    return staged(keyed.mapInArrow(shingle, "node binary, h binary, w binary").dropDuplicates(["node"]), "shingles")
 
 
-def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, idf, id_col: str, text_col: str, size: int,
-              similarity: float) -> DataFrame:
+def _verified(pairs: DataFrame, held: DataFrame, similarity: float) -> DataFrame:
     """Pairs of nodes whose weighted Jaccard similarity reaches the threshold."""
-    wanted = pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node"))).distinct()
-    held = _features(wanted, nodes, docs, idf, id_col, text_col, size)
     met = (pairs.join(held.select(F.col("node").alias("u"), F.col("h").alias("hu"), F.col("w").alias("wu")), "u")
            .join(held.select(F.col("node").alias("v"), F.col("h").alias("hv"), F.col("w").alias("wv")), "v"))
 
@@ -296,53 +389,64 @@ def _apart(pairs: DataFrame, labels: DataFrame | None) -> DataFrame:
     return _labelled(_labelled(pairs, labels, "u"), labels, "v").where("label_u != label_v")
 
 
+class Links:
+    """Classes of nodes as they grow by verified pairs."""
+
+    def __init__(self, near: DataFrame, held: DataFrame, similarity: float):
+        self.near, self.held, self.similarity = near, held, similarity
+        self.labels: DataFrame | None = None
+        self.tried: DataFrame | None = None
+
+    def add(self, pairs: DataFrame, name: str, alike: bool = False) -> bool:
+        """Verify the pairs of nodes that are in different classes and not tried yet; whether classes grew."""
+        apart = _apart(pairs.select("u", "v").distinct(), self.labels)
+        if self.tried is not None:
+            apart = apart.join(self.tried, ["u", "v"], "left_anti")
+        if not alike:
+            apart = _apart(_alike(apart.select("u", "v"), self.near, LEAST_EQUAL), self.labels)
+        fresh = staged(apart.select("u", "v", "label_u", "label_v"), f"pairs-{name}")
+        if fresh.isEmpty():
+            return False
+        own = fresh.select("u", "v")
+        self.tried = own if self.tried is None else self.tried.unionByName(own)
+        found = _verified(own, self.held, self.similarity)
+        edges = staged(found.join(fresh, ["u", "v"]).select(F.col("label_u").alias("u"), F.col("label_v").alias("v"))
+                       .distinct(), f"edges-{name}")
+        if edges.isEmpty():
+            return False
+        joined = connected_components(edges, f"classes-{name}")
+        if self.labels is None:
+            self.labels = joined
+            return True
+        moved = joined.select(F.col("node").alias("label"), F.col("label").alias("to"))
+        lifted = self.labels.join(moved, "label", "left").select("node", F.coalesce("to", "label").alias("label"))
+        new = joined.join(self.labels.select("node"), "node", "left_anti")
+        self.labels = staged(lifted.unionByName(new), f"labels-{name}")
+        return True
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY,
                     size: int = SHINGLE, rare: float = RARE) -> DataFrame:
     """``doc, row_a, row_b, class_id, class_size, kept``: each row's class; one row of each class is kept."""
-    sc = docs.sparkSession.sparkContext
-    idf = sc.broadcast(idf_table(docs, text_col, size, rare))
+    idf = docs.sparkSession.sparkContext.broadcast(idf_table(docs, text_col, size, rare))
     signed = staged(signatures(docs, idf, id_col, text_col, size), "signatures")
-    nodes = staged(signed.where("node IS NOT NULL").groupBy("node").agg(
-        F.min(F.struct("row_a", "row_b")).alias("row"), F.first("samples").alias("samples"), F.first("bands").alias("bands"))
-        .select("node", "row.row_a", "row.row_b", "samples", "bands"), "nodes")
-    buckets = nodes.select("node", F.explode("bands").alias("bucket"))
-
-    stars = staged(_alike(_stars(buckets).distinct(), nodes, LEAST_EQUAL), "stars")
+    nodes = signed.where("node IS NOT NULL").groupBy("node").agg(F.first("samples").alias("samples"), F.first("bands").alias("bands"))
+    nodes = staged(nodes, "nodes")
+    # Most buckets have one node; what follows sees the nodes of the others only.
+    every = nodes.select("node", F.explode("bands").alias("bucket"))
+    several = every.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
+    buckets = staged(every.join(several, "bucket"), "buckets")
+    close = staged(buckets.select("node").distinct(), "close")
+    near = staged(nodes.join(close, "node"), "near")
+    links = Links(near, _features(close, signed, docs, idf, id_col, text_col, size), similarity)
+
+    stars = staged(_alike(_stars(buckets).distinct(), near, LEAST_EQUAL), "stars")
     # First each node with its smallest centre, then the other centres of nodes still apart from them.
-    first = stars.groupBy("v").agg(F.min("u").alias("u")).select("u", "v")
-    labels, tried = None, None
-    for name, pairs in (("first", lambda _: first), ("other", lambda _: stars),
-                        ("second", lambda known: _second_level(nodes, buckets, known)),
-                        ("rarest", lambda known: _rarest_shared(nodes, buckets, known, docs, idf, id_col, text_col,
-                                                                size, similarity))):
-        met = pairs(labels)
-        if met is None:
-            continue
-        apart = _apart(met, labels)
-        if name in ("second", "rarest"):
-            fresh = apart.select("u", "v").distinct()
-            if tried is not None:
-                fresh = fresh.join(tried, ["u", "v"], "left_anti")
-            apart = _apart(_alike(fresh, nodes, LEAST_EQUAL), labels)
-        open_pairs = staged(apart.select("u", "v", "label_u", "label_v"), f"pairs-{name}")
-        if open_pairs.isEmpty():
-            continue
-        own = open_pairs.select("u", "v")
-        tried = own if tried is None else tried.unionByName(own)
-        found = _verified(open_pairs.select("u", "v"), nodes, docs, idf, id_col, text_col, size, similarity)
-        edges = staged(found.join(open_pairs, ["u", "v"]).select(F.col("label_u").alias("u"), F.col("label_v").alias("v"))
-                       .distinct(), f"edges-{name}")
-        if edges.isEmpty():
-            continue
-        joined = connected_components(edges, f"classes-{name}")
-        if labels is None:
-            labels = joined
-        else:
-            moved = joined.select(F.col("node").alias("label"), F.col("label").alias("to"))
-            lifted = labels.join(moved, "label", "left").select("node", F.coalesce("to", "label").alias("label"))
-            new = joined.join(labels.select("node"), "node", "left_anti")
-            labels = staged(lifted.unionByName(new), f"labels-{name}")
-    return _classes(signed, labels)
+    links.add(stars.groupBy("v").agg(F.min("u").alias("u")), "first", alike=True)
+    links.add(stars, "other", alike=True)
+    links.add(_second_level(near, buckets, links.labels), "second")
+    _meet_rarest(links, buckets)
+    return _classes(signed, links.labels)
 
 
 def _mixed(known: DataFrame) -> DataFrame:
@@ -403,15 +507,16 @@ def rarest_keys(h: np.ndarray, w: np.ndarray, counts: np.ndarray, similarity: fl
     return tuple(np.concatenate(c) for c in zip(*parts))
 
 
-def _rarest_shared(nodes: DataFrame, buckets: DataFrame, labels: DataFrame | None, docs: DataFrame, idf, id_col: str,
-                   text_col: str, size: int, similarity: float) -> DataFrame | None:
-    """All pairs of different classes that may reach the threshold, among nodes of buckets that hold several classes."""
-    known = _labelled(buckets, labels, "node")
+def _rarest_rows(links: Links, buckets: DataFrame) -> DataFrame | None:
+    """``key, left, right, node, total, rest, parts`` of the nodes of buckets that hold several classes, where a key
+    is held by several classes."""
+    similarity = links.similarity
+    known = _labelled(buckets, links.labels, "node")
     members = staged(known.join(_mixed(known), "bucket").select("node", F.col("label_node").alias("label")).distinct(), "mixed")
     if members.isEmpty():
         return None
-    held = _features(members.select("node"), nodes, docs, idf, id_col, text_col, size)
-    shared = docs.sparkSession.sparkContext.broadcast(_shingle_counts(held))
+    held = links.held.join(members, "node")
+    shared = members.sparkSession.sparkContext.broadcast(_shingle_counts(held))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = shared.value
@@ -420,7 +525,7 @@ def _rarest_shared(nodes: DataFrame, buckets: DataFrame, labels: DataFrame | Non
             for i in range(batch.num_rows):
                 h, w = (np.frombuffer(batch.column(c)[i].as_buffer(), kind) for c, kind in ((2, np.uint64), (3, np.float32)))
                 key, left, right, rest, shingle = rarest_keys(h, w, counts, similarity)
-                often = counts[(shingle >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)]
+                often = counts[_bucket(shingle)]
                 kept = often > 1
                 n, total = int(kept.sum()), w.sum(dtype=np.float64)
                 same = lambda c: pa.array([batch.column(c)[i].as_py()], pa.binary()).take(pa.array(np.zeros(n, np.int32)))  # noqa: E731, B023
@@ -430,24 +535,72 @@ def _rarest_shared(nodes: DataFrame, buckets: DataFrame, labels: DataFrame | Non
                      pa.array((1 + np.maximum(0, often[kept] - usual) // CROWD).astype(np.int32))],
                     names=["key", "left", "right", "node", "label", "total", "rest", "parts"])
 
-    rows = held.join(members, "node").select("node", "label", "h", "w").mapInArrow(
+    rows = held.select("node", "label", "h", "w").mapInArrow(
         run, "key long, left boolean, right boolean, node binary, label binary, total double, rest double, parts int")
     # Most keys are held by one class only.
     several = rows.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low != high").select("key")
-    rows = staged(rows.join(several, "key", "left_semi"), "rarest")
+    return staged(rows.join(several, "key", "left_semi").drop("label"), "rarest")
+
+
+def _meet_rarest(links: Links, buckets: DataFrame) -> None:
+    """Verify all pairs of different classes that may reach the threshold, among nodes of buckets that hold several classes."""
+    rows = _rarest_rows(links, buckets)
+    if rows is None:
+        return
+    # What a whole family shares is found by one text of it first, the one that has least beside it; so its
+    # classes become one before classes meet each other. Keys that then hold several are few.
+    for turn in range(CENTRES):
+        if not links.add(_with_centres(rows, links), f"centre-{turn}"):
+            break
+    links.add(_all_shared(rows, links), "rarest")
+
+
+def _still_mixed(rows: DataFrame, links: Links) -> DataFrame:
+    known = _labelled(rows, links.labels, "node").withColumnRenamed("label_node", "label")
+    several = known.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low != high").select("key")
+    return known.join(several, "key", "left_semi")
+
+
+def _reach(links: Links) -> float:
+    """Share of two texts' weight that they have in common at the threshold."""
+    return links.similarity / (1 + links.similarity) * (1 - SLACK)
+
+
+def _with_centres(rows: DataFrame, links: Links) -> DataFrame:
+    """``u, v``: the rows of each key with the row of another class that has the largest part of its weight from there on."""
+    known = staged(_still_mixed(rows, links), "still-mixed")
+    best = lambda frame, name: frame.groupBy("key").agg(F.max(F.struct(
+        (F.col("rest") / F.col("total")).alias("share"), "node", "label", "total", "rest", "left", "right")).alias(name))
+    one = best(known, "c")
+    # The best row of another class than that of the key's best row serves the rows of that one.
+    other = best(known.join(one.select("key", F.col("c.label").alias("first")), "key").where("label != first"), "o")
+    met = (known.join(one, "key").join(other, "key")
+           .withColumn("y", F.when(F.col("label") != F.col("c.label"), F.col("c")).otherwise(F.col("o"))))
+    fits = ((F.col("left") & F.col("y.right")) | (F.col("right") & F.col("y.left"))) & (
+        F.least("rest", "y.rest") >= (F.col("total") + F.col("y.total")) * _reach(links))
+    return met.where(fits).select(F.least("node", "y.node").alias("u"), F.greatest("node", "y.node").alias("v"))
+
+
+def _all_shared(rows: DataFrame, links: Links) -> DataFrame:
+    """``u, v``: all pairs of rows of a key and of different classes that share enough from there on."""
+    reach = _reach(links)
     # A class meets another in lists of bounded length; a key of many classes is dealt out over pairs of parts.
-    lists = (rows.groupBy("key", "left", "right", "label", "parts", F.expr("pmod(xxhash64(node), parts)").alias("part"))
-             .agg(F.collect_list(F.struct("node", "total", "rest")).alias("held"))
+    lists = (_still_mixed(rows, links).groupBy("key", "left", "right", "label", "parts", F.expr("pmod(xxhash64(node), parts)").alias("part"))
+             .agg(F.collect_list(F.struct("node", "total", "rest")).alias("held"), F.max("rest").alias("most"), F.min("total").alias("small"))
              .withColumn("cell", F.expr("cast(pmod(xxhash64(label), parts) AS int)")))
     every = F.explode(F.expr("sequence(0, parts - 1)"))
     us = lists.where("left").select("key", F.col("cell").alias("p"), every.alias("q"), F.col("right").alias("both"),
-                                    F.col("label").alias("label_u"), F.col("held").alias("us"))
+                                    F.col("label").alias("label_u"), F.col("held").alias("us"), F.col("most").alias("most_u"), F.col("small").alias("small_u"))
     vs = lists.where("right").select("key", every.alias("p"), F.col("cell").alias("q"), F.col("label").alias("label_v"),
-                                     F.col("held").alias("vs"))
-    met = us.join(vs, ["key", "p", "q"]).where("label_u < label_v OR (NOT both AND label_u != label_v)")
-    met = met.select(F.explode("us").alias("x"), "vs").select("x", F.explode("vs").alias("y"))
-    enough = F.least("x.rest", "y.rest") >= (F.col("x.total") + F.col("y.total")) * (similarity / (1 + similarity) * (1 - SLACK))
-    return met.where(enough).select(F.least("x.node", "y.node").alias("u"), F.greatest("x.node", "y.node").alias("v")).distinct()
+                                     F.col("held").alias("vs"), F.col("most").alias("most_v"), F.col("small").alias("small_v"))
+    # Lists that cannot hold a pair do not meet, and no row is made of a pair that does not reach.
+    apart = (F.col("label_u") < F.col("label_v")) | (~F.col("both") & (F.col("label_u") != F.col("label_v")))
+    reaches = F.least("most_u", "most_v") >= (F.col("small_u") + F.col("small_v")) * reach
+    met = us.join(vs, (us["key"] == vs["key"]) & (us["p"] == vs["p"]) & (us["q"] == vs["q"]) & apart & reaches)
+    met = met.select(F.explode(F.filter("us", lambda x: F.least(x["rest"], "most_v") >= (x["total"] + F.col("small_v")) * reach)).alias("x"), "vs")
+    met = met.select("x", F.filter("vs", lambda y: F.least(F.col("x.rest"), y["rest"]) >= (F.col("x.total") + y["total"]) * reach).alias("ys"))
+    pairs = met.where(F.size("ys") > 0).select("x", F.explode("ys").alias("y"))
+    return pairs.select(F.least("x.node", "y.node").alias("u"), F.greatest("x.node", "y.node").alias("v"))
 
 
 def _classes(signed: DataFrame, labels: DataFrame | None) -> DataFrame:
@@ -466,10 +619,14 @@ def _classes(signed: DataFrame, labels: DataFrame | None) -> DataFrame:
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY,
              size: int = SHINGLE) -> DataFrame:
-    """The rows of ``docs``, all columns, of which one stays for each class."""
+    """The rows of ``docs``, all columns, of which one stays for each class.
+
+    Of rows with the same id and text the one whose other columns come first, written as JSON, stays.
+    """
     doc, text = F.col(quoted(id_col)), F.col(quoted(text_col)).cast("string")
     kept = near_duplicates(docs, id_col, text_col, similarity, size).where("kept").select("row_a", "row_b").distinct()
     columns = [F.col(quoted(c)) for c in docs.columns]
     keyed = docs.select(F.struct(*columns).alias("row"), *row_key(doc, text))
-    one = keyed.join(kept, ["row_a", "row_b"], "left_semi").dropDuplicates(["row_a", "row_b"])
+    own = F.to_json(F.struct(*[F.col("row").getField(c).alias(f"c{i}") for i, c in enumerate(docs.columns)]))
+    one = keyed.join(kept, ["row_a", "row_b"], "left_semi").groupBy("row_a", "row_b").agg(F.min_by("row", own).alias("row"))
     return one.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])

@@ -139,13 +139,34 @@ def copies_corpus(seed=4):
     return order
 
 
+def plain_idf(docs, rare=near_dedup.RARE):
+    """Idf of every shingle from exact document counts."""
+    held, total = collections.Counter(), 0
+    for _, text in docs:
+        h = near_dedup.Shingler().hashes(near_dedup.words_of(text or ""))
+        held.update(set(h.tolist()))
+        total += len(h) > 0
+    return {h: 1 + np.log(total / n) / np.log(1 / rare) if n > rare * total else 2.0 for h, n in held.items()}
+
+
+def test_document_counts_are_exact_for_long_texts_too(spark):
+    rnd = random.Random(8)
+    shared = [f"s{rnd.random()}" for _ in range(300)]
+    docs = [(i, " ".join([*(shared if i % 3 else []), *(f"w{rnd.randint(0, 10**9)}" for _ in range(9000))])) for i in range(120)]
+    idf = near_dedup.idf_table(spark.createDataFrame(docs, "doc_id long, text string").repartition(8))
+    want = plain_idf(docs)
+    h = np.array(sorted(want), np.uint64)
+    assert idf.common.sum() > 100_000 and np.allclose(idf.of(h), [want[x] for x in h.tolist()])
+    assert near_dedup.idf_table(spark.createDataFrame([], "doc_id long, text string")).of(h[:3]).tolist() == [2, 2, 2]
+
+
 def brute_links(spark, docs):
-    table = near_dedup.idf_table(spark.createDataFrame(docs, "doc_id long, text string"))
+    idf = plain_idf(docs)
     shingler, rows = near_dedup.Shingler(), {}
     for i, text in docs:
         h, n, _ = shingler.rows([near_dedup.words_of(text or "")])
         if len(h):
-            rows[i] = (h, (n * table[(h >> np.uint64(64 - near_dedup.BUCKET_BITS)).astype(int)]).astype(np.float32))
+            rows[i] = (h, (n * np.array([idf[x] for x in h.tolist()], np.float32)).astype(np.float32))
     ids = sorted(rows)
     return [(a, b) for k, a in enumerate(ids) for b in ids[k + 1:] if near_dedup.weighted_jaccard(*rows[a], *rows[b]) >= near_dedup.SIMILARITY]
 
