@@ -6,12 +6,14 @@ output adds behind the shorter one is the span of the new turn. If the shorter
 output is not a prefix of the longer one, the template rewrites history; this
 is reported, and the spans of the earlier turns are cut back to what stayed.
 
-Conversations are streamed in turn order, one turn in memory after the other.
-Prefixes grow to ``WINDOW`` turns; a longer conversation goes on with its last
-turn as the beginning of the next window, so work and memory per turn are
-bounded. Within one window a template is a black box; across windows it must
-give a turn the same span after one turn of context, which is checked on that
-turn, else the conversation counts as rewritten.
+Conversations are streamed in turn order. A black-box template is rendered on
+whole prefixes whatever their length, as it may look at any turn before: memory
+is a conversation's output, work grows with the square of its turns, and every
+rewrite is seen. A template declared local to its turns (``turn_local``) gives a
+turn the same span after one turn of context as after all; its prefixes grow to
+``WINDOW`` turns, and a longer conversation goes on with its last turn as the
+beginning of the next window, so work and memory per turn are bounded. The
+declaration is checked on that turn.
 
 Cases: a null text or role is an empty one; turns with the same number are
 ordered by role and text and kept all; rows of a null conversation form one
@@ -34,7 +36,7 @@ from tallywell.llm.rows import quoted
 
 Turn = tuple[str, str]
 Template = Callable[[list[Turn]], str]
-#: Turns rendered as one growing prefix.
+#: Turns of a template local to its turns that are rendered as one growing prefix.
 WINDOW = 128
 
 # The control strings of the template.
@@ -56,6 +58,14 @@ def marked(turns: list[Turn]) -> str:
     return "".join(f"{HEAD}{escape(role).replace(':', chr(92) + ':')}:\n{escape(text)}{TAIL}\n" for role, text in turns)
 
 
+def turn_local(template: Template) -> Template:
+    """Declare that a template gives each turn a span that no turn but the one before it bears on."""
+    template.turn_local = True
+    return template
+
+
+turn_local(marked)
+
 PIECE = re.compile(re.escape(HEAD) + r"((?:[^\\:]|\\.)*):\n(.*)" + re.escape(TAIL) + "\n", re.S)
 
 
@@ -80,7 +90,7 @@ def common_prefix(a: str, b: str) -> int:
 
 @dataclass
 class Rendering:
-    """Output so far in a window, where each of its turns begins, and what was seen."""
+    """Output so far, of a window if the template is local, where each of its turns begins, and what was seen."""
     template: Template
     window: int = WINDOW
     turns: list[Turn] = field(default_factory=list)
@@ -100,7 +110,7 @@ class Rendering:
         self.output = longer
 
     def full(self) -> bool:
-        return len(self.turns) >= self.window
+        return getattr(self.template, "turn_local", False) and len(self.turns) >= self.window
 
     def spans(self) -> list[str]:
         """Spans of this window's own turns."""

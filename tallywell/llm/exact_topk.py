@@ -7,15 +7,17 @@ array of scores, one row per query and one column per candidate of the block.
 Partition selection keeps each query's k best of a task, and one shuffle of at
 most k rows per query and task merges them.
 
-Queries are taken in blocks of at most ``QUERY_BLOCK`` rows; only a block is
-ever broadcast, whatever the number of queries, and the candidates stay where
-they lie.
+Queries are taken in blocks of about ``QUERY_BLOCK`` rows, one after the other: a
+block is broadcast, its best rows are written, and the broadcast is released
+before the next, whatever the number of queries. The candidates stay where they
+lie.
 
 Cases: vectors that are null, empty, or hold null or non-finite components take
 no part, nor do rows without an id; ties go to the smaller id; fewer candidates
 than k give fewer rows; vectors of different lengths share the positions they
 both have; repeated ids: a query's own id is no candidate, further rows of
-another id are candidates each; components and scores beyond a long are cut to its range.
+another id are candidates each, and a query id with several rows gets the best
+k of all their scores, row by row; components and scores beyond a long are cut to its range.
 """
 
 from __future__ import annotations
@@ -28,6 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallywell.llm.rows import quoted
+from tallywell.session import staged
 
 #: Queries in one broadcast, candidates in one block of scores, queries in one block of scores.
 QUERY_BLOCK, CANDIDATE_BLOCK, QUERY_ROWS = 20_000, 4096, 256
@@ -95,10 +98,8 @@ def best(rows, found, value, k):
     return rows[keep], found[keep], value[keep]
 
 
-def _search(df: DataFrame, k: int, query_ids: np.ndarray, queries: np.ndarray) -> DataFrame:
-    """Each task's k best candidates per query."""
-    shared = df.sparkSession.sparkContext.broadcast((query_ids, queries))
-
+def _search(df: DataFrame, k: int, shared) -> DataFrame:
+    """Each task's k best candidates per row of the queries."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own_ids, held = shared.value
         kept = [np.empty(0, np.int64)] * 3
@@ -129,26 +130,25 @@ def exact_topk(df: DataFrame, queries: DataFrame, k: int = 5, scale: float = 256
     ``df`` holds the candidates and ``queries`` the queries, both with an id and
     a vector. The row of a query's own id is no candidate of it.
     """
+    spark = df.sparkSession
     candidates = quantised(df, id_col, vector_col, scale)
-    asked = quantised(queries, id_col, vector_col, scale).dropDuplicates(["id"])
-    found = None
-    for ids, rows in _blocks(asked, query_block):
-        part = _search(candidates, k, ids, rows)
-        found = part if found is None else found.unionByName(part)
-    if found is None:
-        found = df.sparkSession.createDataFrame([], "query_id long, id long, score long")
-    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "id")
-    return (found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-            .select("query_id", F.col("rank").cast("int"), "id", "score"))
+    asked = staged(quantised(queries, id_col, vector_col, scale).withColumn("row", F.monotonically_increasing_id()), "queries")
+    blocks = max(1, -(-asked.count() // query_block))
+    found = spark.createDataFrame([], "query_id long, id long, score long")
+    for b in range(blocks):
+        # About query_block rows.
+        table = asked.where(F.pmod(F.xxhash64("row"), F.lit(blocks)) == b).orderBy("id", "row").toArrow().combine_chunks()
+        if not table.num_rows:
+            continue
+        shared = spark.sparkContext.broadcast((table.column("id").chunk(0).to_numpy(), _matrix(table.column("vector").chunk(0))))
+        part = _search(candidates, k, shared)
+        if blocks > 1:
+            part = staged(_ranked(part, k).drop("rank"), "topk")
+            shared.unpersist()
+        found = part if blocks == 1 else found.unionByName(part)
+    return _ranked(found, k).select("query_id", F.col("rank").cast("int"), "id", "score")
 
 
-def _blocks(asked: DataFrame, size: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """The queries in blocks of about ``size`` rows; one block is held at a time."""
-    total = asked.count()
-    blocks = -(-total // size)
-    for b in range(blocks):
-        own = asked if blocks == 1 else asked.where(F.pmod(F.xxhash64("id"), F.lit(blocks)) == b)
-        table = own.orderBy("id").toArrow()
-        if table.num_rows:
-            table = table.combine_chunks()
-            yield table.column("id").chunk(0).to_numpy(), _matrix(table.column("vector").chunk(0))
+def _ranked(found: DataFrame, k: int) -> DataFrame:
+    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "id")
+    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)

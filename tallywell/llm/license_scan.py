@@ -3,8 +3,9 @@
 The tokens of all templates and phrases go into one automaton. A file's tokens
 are streamed through it; after each token the automaton knows how many of the
 last tokens stand together in some template (matching statistics). Long matches
-are chained in template order, and a chain that covers enough of a template is
-a licence span. Phrases are found by the same walk, at the states they end in.
+are chained in template order, each at whichever of its places continues the
+heaviest chain, and a chain that covers enough of a template is a licence span.
+Of spans that lie half in one another the best covered ones count. Phrases are found by the same walk, at the states they end in.
 
 Words that occur in no template, and neighbours that never stand together in
 one, end a match; such positions are found on whole arrays, and only the runs
@@ -16,6 +17,7 @@ of any length are walked in one pass with memory in proportion to their matches.
 
 from __future__ import annotations
 
+import bisect
 import re
 from dataclasses import dataclass, field
 
@@ -50,12 +52,32 @@ TEMPLATES = {
         notice, this list of conditions and the following disclaimer. Redistributions in binary form must reproduce
         the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or
         other materials provided with the distribution.""",
+    "bsd-3": """Neither the name of the copyright holder nor the names of its contributors may be used to endorse or
+        promote products derived from this software without specific prior written permission.""",
     "isc": """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is
         hereby granted, provided that the above copyright notice and this permission notice appear in all copies.""",
     "gpl": """This program is free software: you can redistribute it and/or modify it under the terms of the GNU
         General Public License as published by the Free Software Foundation, either version 3 of the License, or (at
         your option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT
         ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.""",
+    "gpl-2": """This program is free software; you can redistribute it and/or modify it under the terms of the GNU
+        General Public License as published by the Free Software Foundation; either version 2 of the License, or (at
+        your option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT
+        ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.""",
+    "lgpl": """This library is free software; you can redistribute it and/or modify it under the terms of the GNU
+        Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the
+        License, or (at your option) any later version. This library is distributed in the hope that it will be
+        useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A
+        PARTICULAR PURPOSE. See the GNU Lesser General Public License for more details.""",
+    "agpl": """This program is free software: you can redistribute it and/or modify it under the terms of the GNU
+        Affero General Public License as published by the Free Software Foundation, either version 3 of the License,
+        or (at your option) any later version. This program is distributed in the hope that it will be useful, but
+        WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR
+        PURPOSE. See the GNU Affero General Public License for more details.""",
+    "cc-by-4": """This work is licensed under a Creative Commons Attribution 4.0 International License. To view a copy
+        of this license, visit http://creativecommons.org/licenses/by/4.0/.""",
+    "cc-by-sa-4": """This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.
+        To view a copy of this license, visit http://creativecommons.org/licenses/by-sa/4.0/.""",
     "mpl-2": """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the
         MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.""",
     "unlicense": """This is free and unencumbered software released into the public domain. Anyone is free to copy,
@@ -203,28 +225,46 @@ class LicenseScanner:
             matches.append((row, end - size, at + 1 - size, size))
 
     def _chain(self, matches: list, found: Found) -> None:
-        """Join a template's matches that follow each other in text and template order."""
-        open_: dict[int, list[int]] = {}
-
-        def close(row):
-            first, last, _, covered = open_.pop(row)
-            share = covered / self.sizes[row]
-            if share >= MIN_COVER:
-                found.spans.append(Span(self.labels[row], first, last, min(1.0, share)))
-
-        for row, start, place, size in sorted(matches, key=lambda m: (m[0], m[1], m[2])):
-            if row in open_:
-                first, last, reached, covered = open_[row]
+        """The heaviest chains of matches that follow each other in text and template order, of each template."""
+        rows: dict[int, list] = {}
+        for row, start, place, size in sorted(set(matches)):
+            rows.setdefault(row, []).append((start, place, size))
+        spans = [span for row, own in rows.items() for span in self._heaviest(row, own)]
+        # Licences share wording: of spans that lie half in one another only the best covered ones are notices.
+        kept: dict[int, list[Span]] = {}
+        for span in sorted(spans, key=lambda s: (-s.cover, s.start, s.label)):
+            near = range(span.start // 256, span.end // 256 + 1)
+            if all(k.cover == span.cover or 2 * (min(k.end, span.end) - max(k.start, span.start)) < span.end - span.start
+                   for b in near for k in kept.get(b, ())):
+                found.spans.append(span)
+                for b in near:
+                    kept.setdefault(b, []).append(span)
+
+    def _heaviest(self, row: int, own: list[tuple[int, int, int]]) -> list[Span]:
+        """A match may have several places in a template: each is tried behind every chain that ends shortly before."""
+        ends: list[tuple[int, int, int, int]] = []  # words covered, first word, behind the last word, behind the last place
+        near = 0
+        for k, (start, place, size) in enumerate(own):
+            best = (size, start, start + size, place + size)
+            while near < k and own[near][0] + own[near][2] < start - MAX_GAP:
+                near += 1
+            for covered, first, last, reached in ends[near:k]:
                 overlap = max(0, last - start, reached - place)
                 if start - last <= MAX_GAP and overlap < size and place + size > reached and start + size > last:
-                    open_[row] = [first, start + size, place + size, covered + size - overlap]
-                    continue
-                if place + size <= reached and start + size <= last:
-                    continue
-                close(row)
-            open_[row] = [start, start + size, place + size, size]
-        for row in list(open_):
-            close(row)
+                    best = max(best, (covered + size - overlap, first, start + size, place + size))
+            ends.append(best)
+        spans: list[Span] = []
+        taken: list[tuple[int, int]] = []  # in order
+        for covered, first, last, _ in sorted(ends, key=lambda e: (-e[0], e[1])):
+            share = covered / self.sizes[row]
+            if share < MIN_COVER:
+                break
+            at = bisect.bisect(taken, (first, last))
+            if (at and taken[at - 1][1] > first) or (at < len(taken) and taken[at][0] < last):
+                continue
+            taken.insert(at, (first, last))
+            spans.append(Span(self.labels[row], first, last, min(1.0, share)))
+        return spans
 
 
 def scan_licenses(df: DataFrame, phrases: dict[str, str] | None = None, templates: dict[str, str] | None = None,

@@ -43,7 +43,26 @@ def test_a_template_that_rewrites_history_is_noticed():
     def counts_turns(turns):
         return "".join(f"[{i}]{t}" for i, (_, t) in enumerate(turns))
 
-    assert chat_format.render([("u", "x")] * 5, counts_turns, window=2)[1] > 0
+    spans, rewritten = chat_format.render([("u", "x")] * 200, counts_turns, window=2)
+    assert rewritten == 0 and "".join(spans) == counts_turns([("u", "x")] * 200) and spans[150] == "[150]x"
+
+    def last_ones(turns):
+        return "".join(f"<{t}>" for _, t in turns[-150:])
+
+    told = [("u", str(k)) for k in range(200)]
+    spans, rewritten = chat_format.render(told, last_ones)
+    assert rewritten == 50 and "".join(spans) == last_ones(told)
+    # A wrong declaration is noticed where windows meet.
+    assert chat_format.render([("u", "x")] * 5, chat_format.turn_local(counts_turns), window=2)[1] > 0
+
+
+def test_long_conversations_of_black_box_templates(spark):
+    def numbered(turns):
+        return "".join(f"[{i}]{r}:{t}\n" for i, (r, t) in enumerate(turns))
+
+    df = spark.createDataFrame([(1, k, "user", f"t{k}") for k in range(300)], "conv_id long, turn long, role string, text string")
+    rows = chat_format.format_turns(df.repartition(3), numbered).orderBy("turn").collect()
+    assert "".join(r.formatted for r in rows) == numbered([("user", f"t{k}") for k in range(300)]) and rows[-1].rewritten == 0
 
 
 def test_conversations_equal_plain_digests(spark):
@@ -145,6 +164,19 @@ def test_topk_small_and_large_cases(spark):
     assert sparse.tolist() == [[3, 0, 0], [0, 2, 0]]
 
 
+def test_repeated_query_ids_and_blocks(spark):
+    rnd = np.random.default_rng(11)
+    rows = [(i % 37, [float(x) for x in rnd.integers(-9, 9, 5)]) for i in range(90)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    want = []
+    for q in {i for i, _ in rows if i % 5 == 0}:
+        told = sorted((-sum(int(a) * int(b) for a, b in zip(v, w)), c) for i, v in rows if i == q for c, w in rows if c != q)[:4]
+        want += [(q, n, c, -s) for n, (s, c) in enumerate(told, 1)]
+    for block in (1000, 4):
+        got = exact_topk.exact_topk(df.repartition(3), df.where("vec_id % 5 = 0"), k=4, scale=1.0, query_block=block).collect()
+        assert sorted((r.query_id, r.rank, r.id, r.score) for r in got) == sorted(want)
+
+
 # -- decontamination -------------------------------------------------------
 def make_items(n=40, seed=9):
     rnd = random.Random(seed)

@@ -1,6 +1,7 @@
 """Row-wise text operators against their libraries or brute force."""
 
 import hashlib
+import functools
 import random
 
 import public_tokenizers
@@ -91,6 +92,39 @@ def test_license_phrases_equal_brute_force():
         assert sorted(found.phrases) == sorted(base_places(text))
 
 
+def plain_cover(matches, size):
+    """Most words of a template that matches in order can cover, by trying all chains."""
+    @functools.lru_cache(None)
+    def after(k):
+        start, place, n = matches[k]
+        return max([n] + [n + after(j) - max(0, start + n - s, place + n - p) for j, (s, p, m) in enumerate(matches)
+                          if s > start and p > place and 0 <= max(0, start + n - s, place + n - p) < m and s - start - n <= license_scan.MAX_GAP
+                          and p + m > place + n and s + m > start + n])
+
+    return max(map(after, range(len(matches))), default=0) / size
+
+
+def test_license_chains_equal_all_chains():
+    scanner = license_scan.LicenseScanner({}, {"t": " ".join(f"w{k}" for k in range(60))})
+    rnd = random.Random(7)
+    for _ in range(300):
+        own = sorted({(rnd.randint(0, 90), rnd.randint(0, 40), rnd.randint(5, 20)) for _ in range(rnd.randint(1, 8))})
+        best = plain_cover(tuple(own), 60)
+        spans = scanner._heaviest(0, own)
+        assert bool(spans) == (best >= license_scan.MIN_COVER)
+        assert not spans or max(s.cover for s in spans) == pytest.approx(min(1.0, best))
+        ends = sorted((s.start, s.end) for s in spans)
+        assert all(a[1] <= b[0] for a, b in zip(ends, ends[1:]))
+
+
+def test_a_second_place_does_not_close_a_chain():
+    scanner = license_scan.LicenseScanner(license_scan.PHRASES, license_scan.TEMPLATES)
+    bsd = license_scan.TEMPLATES["bsd"].replace("Redistributions of source", "1. Redistributions of source").replace(
+        "Redistributions in binary", "2. Redistributions in binary").replace("must retain", "should keep")
+    assert [s.label for s in scanner.scan("intro " + bsd + " outro").spans] == ["bsd"]
+    assert [s.label for s in scanner.scan(bsd + " and again " + bsd).spans] == ["bsd", "bsd"]
+
+
 def test_license_templates_are_chained_over_changes():
     scanner = license_scan.LicenseScanner(license_scan.PHRASES, license_scan.TEMPLATES)
     for label, template in license_scan.TEMPLATES.items():
