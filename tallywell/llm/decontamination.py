@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import math
 import re
+import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -268,17 +269,24 @@ def _blocks(items: DataFrame, size: int) -> Iterator[tuple[list, list, dict, int
                total, mean)
 
 
+#: Indexes that a worker has built, the last few; its tasks share them.
+BUILT: dict[str, ItemIndex] = {}
+
+
+def _built(name: str, shared) -> ItemIndex:
+    if name not in BUILT:
+        while len(BUILT) > 1:
+            BUILT.pop(next(iter(BUILT)))
+        BUILT[name] = ItemIndex(*shared.value)
+    return BUILT[name]
+
+
 def _indexes(items: DataFrame, id_col: str, text_col: str, threshold: float, block: int) -> Iterator[tuple[list, Callable]]:
     """Per block of items their ids and a function that gives its index in a task."""
     sc = items.sparkSession.sparkContext
     for ids, words, frequency, total, mean in _blocks(item_words(items, id_col, text_col), block):
-        shared = sc.broadcast((words, frequency, total, mean, threshold))
-
-        def index(shared=shared, built=[]):  # noqa: B006 - one index for each task's function
-            if not built:
-                built.append(ItemIndex(*shared.value))
-            return built[0]
-        yield ids, index
+        shared, name = sc.broadcast((words, frequency, total, mean, threshold)), uuid.uuid4().hex
+        yield ids, lambda shared=shared, name=name: _built(name, shared)
 
 
 def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",

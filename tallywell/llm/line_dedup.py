@@ -50,8 +50,12 @@ def _windows(lines: Column) -> Column:
     return F.filter(F.transform(places, window), lambda w: ~w["blank"])
 
 
-def dedup_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """All columns of ``df``, the text without covered lines, and ``dedup_lines``, ``dedup_removed`` (lines)."""
+def dedup_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                counts: tuple[str, str] = ("dedup_lines", "dedup_removed")) -> DataFrame:
+    """All columns of ``df``, the text without covered lines, and ``counts``: lines, and lines removed.
+
+    The counts take the place of columns of their names.
+    """
     text, doc = F.col(quoted(text_col)), F.col(quoted(id_col))
     places = (df.select(doc.alias("doc"), F.xxhash64(text).alias("version"), _line_hashes(text).alias("lines"))
               .select("doc", "version", F.inline(_windows(F.col("lines")))).drop("blank"))
@@ -72,6 +76,7 @@ def dedup_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     new_text = F.when(F.col("gone").isNull(), row_text).otherwise(
         F.array_join(F.transform(kept, lambda i: F.element_at("lines", i + 1)), "\n"))
     return cut.select(
-        *[(new_text if c == text_col else F.col("row").getField(c)).alias(c) for c in df.columns],
-        F.when(F.col("lines").isNull(), 0).otherwise(F.size("lines")).cast("long").alias("dedup_lines"),
-        F.when(F.col("gone").isNull(), 0).otherwise(F.size("gone")).cast("long").alias("dedup_removed"))
+        *[(new_text if c == text_col else F.col("row").getField(c)).alias(c) for c in df.columns
+          if c.lower() not in [n.lower() for n in counts]],
+        F.when(F.col("lines").isNull(), 0).otherwise(F.size("lines")).cast("long").alias(counts[0]),
+        F.when(F.col("gone").isNull(), 0).otherwise(F.size("gone")).cast("long").alias(counts[1]))

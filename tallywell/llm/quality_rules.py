@@ -27,7 +27,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallywell.llm.rows import quoted
+from tallywell.llm.rows import quoted, unused
 from tallywell.session import staged
 
 #: Bound on the labelled rows the fit reads, trees and their depth, weight of the lasso penalty.
@@ -142,6 +142,8 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", sample_r
     forest = RandomForestClassifier(labelCol="own_label", numTrees=trees, maxDepth=depth, seed=SEED,
                                     featureSubsetStrategy="onethird").fit(rows)
     rules = list(dict.fromkeys(r for tree in forest.trees for r in tree_rules(tree.toDebugString, STATISTICS)))
+    if not rules and any(tree.depth for tree in forest.trees):
+        raise ValueError("the printed trees have no path that can be read")
     if not rules:
         return RuleModel(math.log(mean / (1 - mean)), [])
     names = [f"rule_{k}" for k in range(len(rules))]
@@ -154,7 +156,7 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", sample_r
 
 
 def score_quality(docs: DataFrame, model: RuleModel, text_col: str = "text", score_col: str = "score") -> DataFrame:
-    """``docs`` with the score from 0 to 1 as a further column."""
-    prefix = "quality_statistic_"
+    """``docs`` with the score from 0 to 1 as a further column; it takes the place of a column of its name."""
+    prefix = unused("quality_statistic_", docs.columns)
     known = docs.select("*", *[c.alias(prefix + n) for n, c in statistics(F.col(quoted(text_col)).cast("string")).items()])
-    return known.select(*[F.col(quoted(c)) for c in docs.columns], model.score(prefix).alias(score_col))
+    return known.select(*[F.col(quoted(c)) for c in docs.columns if c.lower() != score_col.lower()], model.score(prefix).alias(score_col))

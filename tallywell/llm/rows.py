@@ -19,6 +19,13 @@ def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def unused(name: str, columns: list[str]) -> str:
+    """The name, with underscores before it until no column begins with it."""
+    while any(c.lower().startswith(name.lower()) for c in columns):
+        name = "_" + name
+    return name
+
+
 def map_texts(df: DataFrame, work: Callable[[list[str]], list[list]], out: list[tuple[str, str]],
               id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
     """``id, *keep`` and the columns ``out`` that ``work`` makes of a list of texts, row by row.

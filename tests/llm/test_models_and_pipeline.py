@@ -325,3 +325,18 @@ def test_every_stage_takes_an_empty_table(spark, corpus):
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, folder).count() == 0
     assert line_dedup.dedup_lines(empty).count() == 0
+
+
+def test_columns_with_the_names_of_results(spark):
+    text = "Good words make a sentence here. Another one follows it."
+    rows = [(i, f"{text}\nline {i}\nlast", "x", "y", 9, 8) for i in range(6)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, quality_score string, quality_statistic_words string, dedup_lines int, dedup_removed int")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(6)], "doc_id long, quality int")
+    scored = quality_rules.score_quality(df, quality_rules.fit(df, labels), score_col="quality_score")
+    assert scored.columns == [c for c in df.columns if c != "quality_score"] + ["quality_score"]
+    assert all(0 <= r.quality_score <= 1 for r in scored.collect())
+    done = line_dedup.dedup_lines(df)
+    assert done.columns == [c for c in df.columns if not c.startswith("dedup")] + ["dedup_lines", "dedup_removed"]
+    assert {r.dedup_lines for r in done.collect()} == {3}
+    kept = corpus_pipeline.drop_repeated_lines(spark, df, "")
+    assert kept.columns == df.columns and {(r.dedup_lines, r.dedup_removed) for r in kept.collect()} == {(9, 8)}
