@@ -6,22 +6,26 @@ import uuid
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tallywell.llm import byte_bpe, decontamination, line_dedup, near_dedup, quality_rules
+from tallywell.llm.rows import quoted, unused
 from tallywell.session import shared_dir
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Quality classifier: documents that score under 0.3 go."""
     model = quality_rules.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    scored = quality_rules.score_quality(docs, model, score_col="quality_score")
-    return scored.where("quality_score >= 0.3").select(*docs.columns)
+    score = unused("quality_score", docs.columns)
+    scored = quality_rules.score_quality(docs, model, score_col=score)
+    return scored.where(F.col(score) >= 0.3).select(*map(quoted, docs.columns))
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Line dedup: later copies of three-line windows go; a document that loses all its lines goes."""
-    done = line_dedup.dedup_lines(docs)
-    return done.where("dedup_removed = 0 OR dedup_removed < dedup_lines").select(*docs.columns)
+    lines, removed = unused("dedup_lines", docs.columns), unused("dedup_removed", docs.columns)
+    done = line_dedup.dedup_lines(docs, counts=(lines, removed))
+    return done.where((F.col(removed) == 0) | (F.col(removed) < F.col(lines))).select(*map(quoted, docs.columns))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
