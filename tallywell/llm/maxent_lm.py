@@ -4,7 +4,7 @@ A token's probability is that of its group of classes in its context, times
 that of its class in the group and the context, times that of the token in its
 class. Both softmaxes are log-linear in hashed features: the one, two and three
 words before (skip features each by itself), the pair of the last two, and the
-classes four and five back. All features of
+class four back. All features of
 all words share ``ROWS`` rows of weights. Inside a class the only feature is the
 token itself, whose maximum-entropy weights are the logarithms of its counts.
 
@@ -55,7 +55,9 @@ GROUPS = CLASSES // WIDTH
 ROWS, BLOCK, STEP = 1 << 13, 64, 4096
 #: Directions of neighbour vectors; sixteenths of the training texts in each round; step size.
 DIRECTIONS, ROUNDS, RATE = 8, (2, 14), 0.08
-BACK = 5
+#: Largest score in size.
+FAR = np.float32(35)
+BACK = 4
 
 
 def tokens_of(text: str) -> list[bytes]:
@@ -119,7 +121,7 @@ def feature_rows(ids: np.ndarray, classes: np.ndarray, at: np.ndarray) -> np.nda
     word = [None, *[ids[at - k].astype(np.uint64) for k in (1, 2, 3)]]
     near = [None, *[classes[ids[at - k]].astype(np.uint64) for k in range(1, BACK + 1)]]
     wide = np.uint64(1 << 24)
-    parts = [word[1], word[2], word[3], word[1] * wide + word[2], near[1] * wide + near[2], near[3] * wide + near[4], near[4], near[5]]
+    parts = [word[1], word[2], word[3], word[1] * wide + word[2], near[1] * wide + near[2], near[3] * wide + near[4], near[4]]
     odd = np.arange(1, len(parts) + 1, dtype=np.uint64)[:, None] * np.uint64(0x9E3779B97F4A7C15)
     return (_mix(np.stack(parts) + odd) % np.uint64(ROWS)).astype(np.int64)
 
@@ -135,28 +137,30 @@ class Weights:
         self.v_slope = np.zeros((ROWS + 1, GROUPS), np.float32)
 
     def shares(self, rows: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Log shares of the groups, and of the classes of the group of each place."""
-        by_group, by_class = self.w[ROWS] + self.w[rows[0]], self.v[ROWS, group]
+        """Shares of the groups, and of the classes of the group of each place."""
+        by_group, by_class = self.w[ROWS] + self.w.take(rows[0], axis=0), self.v[ROWS].take(group, axis=0)
         flat = self.v.reshape(-1, WIDTH)
         for k, row in enumerate(rows):
             if k:
-                by_group += self.w[row]
-            by_class += flat[row * GROUPS + group]
+                by_group += self.w.take(row, axis=0)
+            by_class += flat.take(row * GROUPS + group, axis=0)
         for score in (by_group, by_class):
-            score -= score.max(axis=1, keepdims=True)
-            score -= np.log(np.exp(score).sum(axis=1, keepdims=True))
+            # Far beyond what weights reach, and still a number as an exponential.
+            np.clip(score, -FAR, FAR, out=score)
+            np.exp(score, out=score)
+            score /= (score @ np.ones(score.shape[1], np.float32))[:, None]
         return by_group, by_class
 
     def log_share(self, rows: np.ndarray, target: np.ndarray) -> np.ndarray:
         """Natural logarithm of the probability of each place's class."""
         by_group, by_class = self.shares(rows, target // WIDTH)
         place = np.arange(len(target))
-        return by_group[place, target // WIDTH].astype(float) + by_class[place, target % WIDTH]
+        return np.log(by_group[place, target // WIDTH].astype(float) * by_class[place, target % WIDTH])
 
     def learn(self, rows: np.ndarray, target: np.ndarray, rate: float = RATE) -> None:
         """One gradient step."""
         group, place = target // WIDTH, np.arange(len(target))
-        gaps = [np.exp(s) for s in self.shares(rows, group)]
+        gaps = self.shares(rows, group)
         gaps[0][place, group] -= 1
         gaps[1][place, target % WIDTH] -= 1
         flat = np.concatenate((rows.ravel(), np.full(len(target), ROWS)))
