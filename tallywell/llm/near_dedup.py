@@ -3,7 +3,8 @@
 A text's features are its runs of five words. A shingle weighs its count times
 an idf from 1 (in every document) to 2 (in at most a hundredth of them).
 Documents are counted by hash bucket, over all documents, in a table of fixed
-width; the shingles of buckets that many documents have are counted exactly.
+width; where texts are so long that buckets run full, the shingles of buckets
+that many documents have are counted exactly.
 
 Consistent weighted sampling draws from each text samples that two texts share
 with a probability equal to their weighted Jaccard similarity. Four samples
@@ -58,7 +59,7 @@ BUCKET_BITS, RARE = 18, 0.01
 LEAST_EQUAL = 0.5
 POOL_BITS = 14
 #: Ratio of neighbouring weight steps in the join by rarest shingles, rows of a key that meet in one place, rounding.
-STEP, CROWD, SLACK = 1.04, 256, 1e-5
+STEP, CROWD, SLACK = 1.25, 256, 1e-5
 #: Times that keys are met through one text of theirs first; bits of a table of row hashes.
 CENTRES, TABLE_BITS = 3, 26
 MEMO_WORDS = 200_000
@@ -167,13 +168,17 @@ def common_shingles(docs: DataFrame, buckets: np.ndarray, text_col: str = "text"
 
 
 class Idf:
-    """Idf of shingles: 2 but for those in more documents than count as rare."""
+    """Idf of shingles: by hash bucket, or by shingle where buckets hold too many."""
 
-    def __init__(self, common: np.ndarray, hashes: np.ndarray, values: np.ndarray):
-        order = np.argsort(hashes)
-        self.common, self.hashes, self.values = common, hashes[order], values[order].astype(np.float32)
+    def __init__(self, by_bucket: np.ndarray, common: np.ndarray | None = None, hashes: np.ndarray | None = None, values: np.ndarray | None = None):
+        self.by_bucket, self.common = by_bucket.astype(np.float32), common
+        if common is not None:
+            order = np.argsort(hashes)
+            self.hashes, self.values = hashes[order], values[order].astype(np.float32)
 
     def of(self, hashes: np.ndarray) -> np.ndarray:
+        if self.common is None:
+            return self.by_bucket[_bucket(hashes)]
         out = np.full(len(hashes), 2, np.float32)
         if len(self.hashes):
             some = np.flatnonzero(self.common[_bucket(hashes)])
@@ -187,21 +192,28 @@ class Idf:
 def idf_table(docs: DataFrame, text_col: str = "text", size: int = SHINGLE, rare: float = RARE) -> Idf:
     """1 + ln(1 / share) / ln(1 / rare), the share of documents taken as ``rare`` at least.
 
-    Buckets that no more than that share have hold no common shingle; in the
-    others shingles are counted one by one. A text has few of them: there are at
-    most 1 / ``rare`` times as many as a text has shingles on average.
+    A bucket's share is that of its most common shingle and, besides, about the
+    mean share of all buckets. While that mean is below a quarter of ``rare`` the
+    buckets tell common shingles; above it, as with very long texts, the shingles
+    of buckets with more than that share are counted one by one. Those are at most
+    1 / ``rare`` times as many as a text has shingles on average.
     """
     kept = staged(document_counts(docs, text_col, size), "shingle-counts")
     total = kept.where("bucket = -1").agg(F.sum("n")).first()[0] or 1
+    held = kept.where("bucket >= 0")
+    mean = (held.agg(F.sum("n")).first()[0] or 0) / total / (1 << BUCKET_BITS)
     # As many rows as the table has buckets at most.
-    crowded = kept.where((F.col("bucket") >= 0) & (F.col("n") > rare * total)).select("bucket").toArrow()
+    crowded = held.where(F.col("n") > rare * total).toArrow()
+    idf = lambda n: 1 + np.log(1 / np.minimum(1.0, n.to_numpy() / total)) / np.log(1 / rare)
+    table = np.full(1 << BUCKET_BITS, 2.0)
+    at = crowded.column("bucket").to_numpy()
+    if mean <= rare / 4:
+        table[at] = idf(crowded.column("n"))
+        return Idf(table)
     common = np.zeros(1 << BUCKET_BITS, bool)
-    common[crowded.column("bucket").to_numpy()] = True
-    if not common.any():
-        return Idf(common, np.empty(0, np.uint64), np.empty(0))
+    common[at] = True
     found = common_shingles(docs, common, text_col, size).where(F.col("n") > rare * total).toArrow()
-    share = np.minimum(1.0, found.column("n").to_numpy() / total)
-    return Idf(common, found.column("h").to_numpy().view(np.uint64), 1 + np.log(1 / share) / np.log(1 / rare))
+    return Idf(table, common, found.column("h").to_numpy().view(np.uint64), idf(found.column("n")))
 
 
 # -- samples ---------------------------------------------------------------
@@ -498,7 +510,7 @@ def rarest_keys(h: np.ndarray, w: np.ndarray, counts: np.ndarray, similarity: fl
     step = lambda x: int(np.floor(np.log(x) / np.log(STEP)))
     own, parts = step(rest[0]), []
     for other in range(step(rest[0] * similarity * (1 - SLACK)), step(rest[0] / similarity * (1 + SLACK)) + 1):
-        need = similarity / (1 + similarity) * (rest[0] + STEP ** other) * (1 - SLACK)
+        need = similarity / (1 + similarity) * (rest[0] + max(STEP ** other, similarity * rest[0])) * (1 - SLACK)
         n = int(np.searchsorted(-rest, -need, side="right"))
         low, high = min(own, other), max(own, other)
         with np.errstate(over="ignore"):

@@ -158,15 +158,21 @@ def test_document_counts_are_exact_for_long_texts_too(spark):
     h = np.array(sorted(want), np.uint64)
     assert idf.common.sum() > 100_000 and np.allclose(idf.of(h), [want[x] for x in h.tolist()])
     assert near_dedup.idf_table(spark.createDataFrame([], "doc_id long, text string")).of(h[:3]).tolist() == [2, 2, 2]
+    # In short texts a bucket is as common as its shingles, but for chance.
+    short = [(i, " ".join([*(shared[:9] if i % 2 else []), *(f"w{rnd.randint(0, 10**9)}" for _ in range(30))])) for i in range(400)]
+    idf = near_dedup.idf_table(spark.createDataFrame(short, "doc_id long, text string").repartition(8))
+    want = plain_idf(short)
+    h = np.array(sorted(want), np.uint64)
+    assert idf.common is None and np.mean(np.isclose(idf.of(h), [want[x] for x in h.tolist()])) > 0.9
 
 
 def brute_links(spark, docs):
-    idf = plain_idf(docs)
+    idf = near_dedup.idf_table(spark.createDataFrame(docs, "doc_id long, text string"))
     shingler, rows = near_dedup.Shingler(), {}
     for i, text in docs:
         h, n, _ = shingler.rows([near_dedup.words_of(text or "")])
         if len(h):
-            rows[i] = (h, (n * np.array([idf[x] for x in h.tolist()], np.float32)).astype(np.float32))
+            rows[i] = (h, (n * idf.of(h)).astype(np.float32))
     ids = sorted(rows)
     return [(a, b) for k, a in enumerate(ids) for b in ids[k + 1:] if near_dedup.weighted_jaccard(*rows[a], *rows[b]) >= near_dedup.SIMILARITY]
 
