@@ -4,11 +4,12 @@ import math
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from tallywell.functions import text
-from tallywell.operators import answers, chunking, lexical, vectors
+from tallywell.operators import answers, chunking, impact, lexical, vectors
 from tallywell.operators.blocksearch import block_topk
 from tallywell.sources import corpus
 
@@ -84,13 +85,13 @@ def bm25(question, docs):
     return [(i, -s) for s, i in sorted(out)]
 
 
-@pytest.mark.parametrize("limit", [4_000_000, 1])
+@pytest.mark.parametrize("limit", [128, 1])
 def test_bm25_equals_brute_force_both_ways(spark, limit):
     docs = spark.createDataFrame(CORPUS, "text string, doc_id long")
     asked = spark.createDataFrame(ASKED, "query_id string, question string")
     index = lexical.lexical_index(docs, ["doc_id"])
     got = {}
-    for r in lexical.search_bm25(index, asked, 3, query_limit=limit).orderBy("query_id", "rank").collect():
+    for r in lexical.search_bm25(index, asked, 3, per_cell=limit).orderBy("query_id", "rank").collect():
         got.setdefault(r["query_id"], []).append((r["doc_id"], r["score"]))
     for q, words in ASKED:
         want = bm25(words, CORPUS)[:3]
@@ -112,34 +113,87 @@ def tfidf(question, docs):
     return [(i, -s) for s, i in sorted(scored)]
 
 
-@pytest.mark.parametrize("limit", [4_000_000, 1])
+@pytest.mark.parametrize("limit", [128, 1])
 def test_tfidf_equals_brute_force_both_ways(spark, limit):
     docs = spark.createDataFrame(CORPUS, "text string, doc_id long")
     asked = spark.createDataFrame(ASKED, "query_id string, question string")
     index = lexical.lexical_index(docs, ["doc_id"], text.VECTOR_TOKEN)
-    rows = lexical.search_tfidf(index, asked, 2, query_limit=limit).orderBy("query_id", "rank").collect()
+    rows = lexical.search_tfidf(index, asked, 2, per_cell=limit).orderBy("query_id", "rank").collect()
     for q, words in ASKED:
         assert [(r["doc_id"], pytest.approx(r["score"], abs=1e-6)) for r in rows if r["query_id"] == q] == tfidf(words, CORPUS)[:2]
-    strict = lexical.search_tfidf(index, asked, 2, threshold=0.01, query_limit=limit)
+    strict = lexical.search_tfidf(index, asked, 2, threshold=0.01, per_cell=limit)
     assert strict.filter("query_id = 'q3'").count() == 0
 
 
-@pytest.mark.parametrize("limit", [4_000_000, 10])
-@pytest.mark.parametrize("dense", [0.0, 2.0])
-def test_frequent_terms_either_way(spark, monkeypatch, limit, dense):
-    from tallywell.operators.blocksearch import TermQueries
-    monkeypatch.setattr(TermQueries, "DENSE_SHARE", dense)
+def zipf_docs(rng, count, words=30):
+    names = ["w%d" % i for i in range(words)]
+    docs = [(" ".join(rng.choices(names, [1 / (i + 1) for i in range(words)], k=rng.randint(0, 40))), i) for i in range(count)]
+    return names, docs
+
+
+@pytest.mark.parametrize("limit,rows", [(128, 50), (7, 32_768)])
+def test_several_shards_and_cells(spark, monkeypatch, limit, rows):
+    monkeypatch.setattr(impact, "LEAST_ROWS", rows)
+    monkeypatch.setattr(impact, "SHARD_ROWS", rows)
     rng = random.Random(5)
-    words = ["w%d" % i for i in range(30)]
-    docs = [(" ".join(rng.choices(words, [1 / (i + 1) for i in range(30)], k=rng.randint(0, 40))), i) for i in range(200)]
+    words, docs = zipf_docs(rng, 200)
     asked = [("q%02d" % i, " ".join(rng.choices(words, k=12))) for i in range(40)]
     index = lexical.lexical_index(spark.createDataFrame(docs, "text string, doc_id long").repartition(5), ["doc_id"])
-    rows = lexical.search_bm25(index, spark.createDataFrame(asked, "query_id string, question string"), 5, query_limit=limit)
+    questions = spark.createDataFrame(asked, "query_id string, question string")
     got = {}
-    for r in rows.orderBy("query_id", "rank").collect():
+    for r in lexical.search_bm25(index, questions, 5, per_cell=limit).orderBy("query_id", "rank").collect():
         got.setdefault(r["query_id"], []).append(r["doc_id"])
+    assert index.postings.shards == (1 if rows > 200 else 4)
     for q, question in asked:
         assert got[q] == [i for i, _ in bm25(question, docs)[:5]]
+    floors = lexical.lexical_index(spark.createDataFrame(docs, "text string, doc_id long"), ["doc_id"], text.VECTOR_TOKEN)
+    for floor in (0.0, 0.3, 0.7):
+        rows_ = lexical.search_tfidf(floors, questions, 6, threshold=floor, per_cell=limit).orderBy("query_id", "rank").collect()
+        for q, question in asked:
+            assert [r["doc_id"] for r in rows_ if r["query_id"] == q] == [i for i, s in tfidf(question, docs) if s >= floor][:6]
+
+
+def plain_lists(rng, n, terms, negative=False):
+    lists = []
+    for _ in range(terms):
+        ids = np.sort(rng.choice(n, max(1, int(n / rng.integers(1, 20))), replace=False)).astype(np.int32)
+        w = rng.integers(1, 9, len(ids)) / 4.0
+        starts = np.arange(0, len(ids), impact.BLOCK)
+        ends = ids[np.append(starts[1:], len(ids)) - 1]
+        lists.append((float(rng.integers(-3 if negative else 0, 9)), ids, w, ends, np.maximum.reduceat(w, starts), w.max()))
+    return lists
+
+
+@pytest.mark.parametrize("few,lookup", [(8_192, 4_096), (1, 0), (50, 0)])
+@pytest.mark.parametrize("floor", [None, 0.0, 12.0])
+def test_top_rows_are_exact_and_skip_most(monkeypatch, few, lookup, floor):
+    monkeypatch.setattr(impact, "FEW", few)
+    monkeypatch.setattr(impact, "LOOKUP", lookup)
+    rng = np.random.default_rng(3)
+    for trial in range(150):
+        n, k = int(rng.integers(1, 3000)), int(rng.integers(1, 12))
+        lists = plain_lists(rng, n, int(rng.integers(0, 9)), trial % 3 == 0)
+        ids, scores, _ = impact.top_rows(list(lists), n, k, floor)
+        plain = np.zeros(n)
+        for q, own, w, *_ in lists:
+            plain[own] += q * w
+        order = [i for i in np.lexsort((np.arange(n), -plain)) if floor is None or plain[i] >= floor][:k]
+        assert ids.tolist() == order and scores == pytest.approx(plain[order])
+    monkeypatch.setattr(impact, "LOOKUP", 4_096)
+    rare = np.arange(0, 60_000, 3000, dtype=np.int32)
+    common = np.arange(60_000, dtype=np.int32)
+    blocks = np.append(np.arange(0, 60_000, impact.BLOCK)[1:], 60_000) - 1
+    lists = [(5.0, rare, np.ones(20), rare[-1:], np.ones(1), 1.0), (0.1, common, np.ones(60_000), blocks.astype(np.int32), np.ones(len(blocks)), 1.0)]
+    assert impact.top_rows(lists, 60_000, 5)[2] <= 40
+
+
+def test_effort_is_far_below_the_rows(spark):
+    rng = random.Random(6)
+    _, docs = zipf_docs(rng, 3000, 2000)
+    index = lexical.lexical_index(spark.createDataFrame(docs, "text string, doc_id long"), ["doc_id"])
+    asked = spark.createDataFrame([("a", "w5 w700 w1200"), ("b", "w900"), ("c", "zzz")], "query_id string, question string")
+    cells = {r.query_id: r.cells for r in lexical.bm25_effort(index, asked).collect()}
+    assert cells["c"] == 0 and cells["b"] < 300 and cells["a"] < 1500
 
 
 @pytest.mark.parametrize("limit", [4_000_000, 8])
