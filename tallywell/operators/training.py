@@ -10,7 +10,8 @@ from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import (GBTClassifier, LogisticRegression, RandomForestClassifier)
+from pyspark.ml.classification import (GBTClassificationModel, GBTClassifier, LogisticRegression,
+                                       RandomForestClassifier)
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -143,6 +144,45 @@ def grid(kind: str, grids: Mapping[str, Mapping[str, list]] = GRIDS) -> list[dic
     return [dict(zip(names, values)) for values in itertools.product(*(grids[kind][n] for n in names))]
 
 
+def nested(combos: Sequence[dict]) -> list[tuple[dict, dict[int, int]]]:
+    """Combinations that differ in ``n_estimators`` only, as the largest of them and the place of each number of trees.
+
+    The first trees of an ensemble are a smaller one, so one fit serves them all.
+    """
+    groups: dict[tuple, dict[int, int]] = {}
+    for i, combo in enumerate(combos):
+        rest = tuple(sorted((k, repr(v)) for k, v in combo.items() if k != "n_estimators"))
+        groups.setdefault(rest, {})[combo.get("n_estimators", 0)] = i
+    return [(combos[sizes[max(sizes)]], sizes) for sizes in groups.values()]
+
+
+def first_trees(fitted, trees: int):
+    """The model of the first ``trees`` trees of a fitted ensemble.
+
+    For boosting it is the model that fewer iterations give. For a forest it is
+    one that fewer trees could give: Spark draws other rows and columns for a
+    forest of another size.
+    """
+    if not trees or trees >= fitted.getNumTrees:
+        return fitted
+    whole, sc = fitted._java_obj, SparkSession.active().sparkContext
+    ml = sc._jvm.org.apache.spark.ml
+
+    def first(values, kind):
+        kept = sc._gateway.new_array(kind, trees)
+        for i in range(trees):
+            kept[i] = values[i]
+        return kept
+
+    if isinstance(fitted, GBTClassificationModel):
+        kept = first(whole.trees(), ml.regression.DecisionTreeRegressionModel)
+        return type(fitted)(ml.classification.GBTClassificationModel(
+            whole.uid(), kept, first(whole.treeWeights(), sc._jvm.double)))
+    kept = first(whole.trees(), ml.classification.DecisionTreeClassificationModel)
+    return type(fitted)(ml.classification.RandomForestClassificationModel(
+        whole.uid(), kept, whole.numFeatures(), whole.numClasses()))
+
+
 @dataclass
 class Tuned:
     model: PipelineModel
@@ -153,7 +193,8 @@ class Tuned:
 def grid_search(train: DataFrame, label: str, id_col: str, kind: str, exclude: Iterable[str] = (),
                 folds: int = 5, combos: Sequence[dict] | None = None, parallelism: int = 4) -> Tuned:
     """Best parameters by mean ROC area over stratified folds, refitted on all
-    training rows. The preparation is fitted anew on each fold's training part."""
+    training rows. The preparation is fitted anew on each fold's training part.
+    Combinations that differ in their number of trees share one fit a fold."""
     spark = train.sparkSession
     combos = list(combos if combos is not None else grid(kind))
     exclude = [*exclude, "fold"]
@@ -164,14 +205,18 @@ def grid_search(train: DataFrame, label: str, id_col: str, kind: str, exclude: I
         held = staged(prepared.preparation.transform(folded.filter(F.col("fold") == fold))
                       .select("features", F.col(label).cast("double").alias(label)), "held")
 
-        def run(params, prepared=prepared, held=held):
+        def run(group, prepared=prepared, held=held):
+            params, sizes = group
             fitted = classifier(kind, label, prepared.total_weight, params).fit(prepared.rows)
-            out = fitted.transform(held).select(
-                label, F.col("prediction").cast("int").alias("p"), vector_to_array("probability")[1].alias("s"))
-            return evaluate(out, label, "p", "s")["roc_auc"] or 0.0
+            found = []
+            for trees, i in sizes.items():
+                out = first_trees(fitted, trees).transform(held).select(
+                    label, F.col("prediction").cast("int").alias("p"), vector_to_array("probability")[1].alias("s"))
+                found.append((i, evaluate(out, label, "p", "s")["roc_auc"] or 0.0))
+            return found
 
         with ThreadPoolExecutor(max_workers=parallelism) as pool:
-            for i, area in enumerate(pool.map(run, combos)):
+            for i, area in itertools.chain.from_iterable(pool.map(run, nested(combos))):
                 areas[i].append(area)
     means = [sum(a) / len(a) for a in areas]
     best = max(range(len(combos)), key=lambda i: (means[i], -i))

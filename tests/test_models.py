@@ -1,6 +1,7 @@
 """Models: quality above chance, reload equality, additive explanations."""
 
 import pytest
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from tallywell.operators import explain, training
@@ -81,6 +82,15 @@ def test_grid_search_picks_the_best(compared):
     assert tuned.params == [{"C": 1e-6}, {"C": 1.0}][max(range(2), key=lambda i: (rows[i]["mean_roc_auc"], -i))]
 
 
+def test_grid_search_over_numbers_of_trees(compared):
+    train, _, _ = compared
+    combos = [{"n_estimators": n, "max_depth": d} for n in (1, 4) for d in (1, 3)]
+    rows = training.grid_search(train, LABEL, "customer_id", "GradientBoosting", ["customer_id"], folds=2, combos=combos).results.collect()
+    assert [r["params"] for r in sorted(rows, key=lambda r: r["ordinal"])] == [str(c) for c in combos]
+    by = {r["ordinal"]: r["mean_roc_auc"] for r in rows}
+    assert by[3] > by[0] > 0.5 and sum(r["best"] for r in rows) == 1
+
+
 def test_unknown_model_type():
     with pytest.raises(ValueError):
         training.classifier("Nope", "y", 1.0)
@@ -107,3 +117,41 @@ def test_failing_exploration_is_only_a_warning(spark, data, tmp_path, monkeypatc
     monkeypatch.setattr(pipeline.training, "compare_models", lambda *a, **k: (_ for _ in ()).throw(KeyError("stop")))
     with pytest.raises(KeyError):
         run_risk_pipeline(spark, data, str(tmp_path), LABEL)
+
+
+def test_grids_nest_by_number_of_trees():
+    assert [len(training.nested(training.grid(k))) for k in training.MODEL_TYPES] == [5, 24, 27]
+    for kind in training.MODEL_TYPES:
+        combos = training.grid(kind)
+        for largest, sizes in training.nested(combos):
+            for trees, i in sizes.items():
+                assert combos[i] == ({**largest, "n_estimators": trees} if trees else largest)
+    assert {i for _, sizes in training.nested(training.grid("RandomForest")) for i in sizes.values()} == set(range(72))
+
+
+@pytest.fixture(scope="module")
+def points(spark):
+    rows = [(float((i * 7919) % 101), float((i * 104729) % 89), float(i % 3)) for i in range(240)]
+    made = spark.createDataFrame([(*r, float(r[0] + 20 * r[2] + (i % 17) > 70), 1.0) for i, r in enumerate(rows)],
+                                 "a double, b double, c double, y double, weight double")
+    return VectorAssembler(inputCols=["a", "b", "c"], outputCol="features").transform(made).select("features", "y", "weight")
+
+
+def test_first_boosted_trees_are_the_smaller_model(points):
+    common = {"max_depth": 3, "learning_rate": 0.2, "subsample": 0.8}
+    large = training.classifier("GradientBoosting", "y", 240.0, {**common, "n_estimators": 7}).fit(points)
+    for trees in (2, 5):
+        small = training.classifier("GradientBoosting", "y", 240.0, {**common, "n_estimators": trees}).fit(points)
+        cut = training.first_trees(large, trees)
+        assert cut.getNumTrees == trees
+        a, b = ([r.probability[1] for r in m.transform(points).collect()] for m in (cut, small))
+        assert a == pytest.approx(b, abs=1e-12)
+
+
+def test_first_forest_trees_are_the_mean_of_those_trees(points):
+    large = training.classifier("RandomForest", "y", 240.0, {"n_estimators": 6, "max_depth": 4}).fit(points)
+    cut = training.first_trees(large, 3)
+    trees = [[r.probability[1] for r in t.transform(points).collect()] for t in large.trees[:3]]
+    got = [r.probability[1] for r in cut.transform(points).collect()]
+    assert got == pytest.approx([sum(p) / 3 for p in zip(*trees)], abs=1e-12)
+    assert training.first_trees(large, 6) is large and training.first_trees(large, 0) is large
