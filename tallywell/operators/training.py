@@ -235,12 +235,12 @@ def hold_out(df: DataFrame, label: str, id_col: str, test_size: float = 0.2, see
 # -- store ----------------------------------------------------------------------
 
 def save_model(model: PipelineModel, directory: str, spark: SparkSession, stamp: str | None = None) -> str:
-    """Save as ``churn_model_<time>`` and point ``_LATEST`` at it. A model of
-    that name is not replaced."""
+    """Save as ``churn_model_<time>`` and name it in ``LATEST``, which only
+    grows. A model of that name is not replaced."""
     stamp = stamp or datetime.now().strftime("%Y%m%d_%H%M%S_%f")
     path = f"{directory.rstrip('/')}/churn_model_{stamp}"
     model.write().save(path)
-    spark.range(1).select(F.lit(path).alias("value")).coalesce(1).write.mode("overwrite").text(
+    spark.createDataFrame([(stamp, path)], "stamp string, path string").coalesce(1).write.mode("append").json(
         f"{directory.rstrip('/')}/LATEST")
     return path
 
@@ -248,7 +248,8 @@ def save_model(model: PipelineModel, directory: str, spark: SparkSession, stamp:
 def load_model(directory: str, spark: SparkSession, path: str | None = None) -> PipelineModel:
     """Load ``path``, or the latest model of ``directory``."""
     if path is None:
-        path = spark.read.text(f"{directory.rstrip('/')}/LATEST").first()["value"]
+        path = (spark.read.schema("stamp string, path string").json(f"{directory.rstrip('/')}/LATEST")
+                .orderBy(F.col("stamp").desc()).first()["path"])
     return PipelineModel.load(path)
 
 

@@ -9,8 +9,8 @@ from tallywell.operators.answers import answer_with_sources, retrieve_auto
 from tallywell.operators.lexical import lexical_index
 from tallywell.operators.vectors import embed_chunks
 from tallywell.session import spread, staged
-from tallywell.sources.corpus import (DEFAULT_EXTENSIONS, load_corpus, load_embeddings, read_corpus,
-                                      save_corpus, save_embeddings)
+from tallywell.sources.corpus import (DEFAULT_EXTENSIONS, add_documents, add_embeddings, load_corpus,
+                                      load_embeddings, read_corpus, save_corpus, save_embeddings)
 
 MODEL_NAME = "hashed-words-256"
 
@@ -20,16 +20,30 @@ def index_documents(documents: DataFrame, out: str, with_vectors: bool = True) -
     spark = documents.sparkSession
     save_corpus(spread(documents, "doc_id"), out)
     if with_vectors:
-        _, chunks = load_corpus(spark, out)
-        rows = embed_chunks(chunks).select("chunk_id", "doc_id", "pos", "vector",
-                                           F.create_map().cast("map<string,string>").alias("metadata"))
-        save_embeddings(rows, out, MODEL_NAME)
-    # Written last: it says which of the tables belong to this index.
+        save_embeddings(_vectors(load_corpus(spark, out)[1]), out, MODEL_NAME, "doc_id")
+    # Written last: it says whether the vectors belong to this index.
     spark.createDataFrame([(MODEL_NAME if with_vectors else None,)], "vectors string").coalesce(1) \
         .write.mode("overwrite").json(f"{out}/manifest", ignoreNullFields=False)
     return out
 
 
+def update_documents(documents: DataFrame, store: str) -> str:
+    """Add documents to an index, or replace those of the same ids, with their chunks and vectors."""
+    spark = documents.sparkSession
+    added = staged(documents, "added")
+    add_documents(spread(added, "doc_id"), store)
+    if spark.read.schema("vectors string").json(f"{store}/manifest").first()["vectors"]:
+        ids = added.select("doc_id").distinct()
+        chunks = load_corpus(spark, store)[1].join(ids, "doc_id", "left_semi")
+        add_embeddings(_vectors(chunks), store, MODEL_NAME, "doc_id", ids)
+    return store
+
+
+def _vectors(chunks: DataFrame) -> DataFrame:
+    return embed_chunks(chunks).select("chunk_id", "doc_id", "pos", "vector",
+                                       F.create_map().cast("map<string,string>").alias("metadata"))
+
+
 def index_directory(spark: SparkSession, path: str, out: str, extensions=DEFAULT_EXTENSIONS,
                     with_vectors: bool = True) -> str:
     """Index every text file below ``path``."""

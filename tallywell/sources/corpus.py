@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +11,8 @@ from pyspark.sql import types as T
 
 from tallywell.functions.text import basename, default_title, document_date, extension
 from tallywell.operators.chunking import chunk_documents
+from tallywell.session import staged
+from tallywell.sources.snapshots import publish, read_table, snapshot
 
 TEXT_EXTENSIONS = (".txt", ".md", ".html", ".htm")
 DEFAULT_EXTENSIONS = (".txt", ".md")
@@ -87,35 +90,73 @@ def write_chunks_json(chunks: DataFrame, path: str) -> str:
     return path
 
 
+def _corpus_tables(documents: DataFrame) -> dict[str, DataFrame]:
+    records = staged(document_records(documents), "records")
+    return {"documents": records, "chunks": chunk_documents(records)}
+
+
 def save_corpus(documents: DataFrame, path: str) -> str:
-    """Write document records and their chunks as two Parquet tables."""
-    document_records(documents).write.mode("overwrite").parquet(f"{path}/documents")
-    stored = documents.sparkSession.read.parquet(f"{path}/documents")
-    chunk_documents(stored).write.mode("overwrite").parquet(f"{path}/chunks")
+    """Store document records and their chunks as a new version below ``path``; what was there is no part of it."""
+    publish(documents.sparkSession, f"{path}/corpus", _corpus_tables(documents), "doc_id")
+    return path
+
+
+def add_documents(documents: DataFrame, path: str) -> str:
+    """Add documents and their chunks to a stored corpus; a document of an id that is there takes its place.
+
+    Only the buckets of these ids are rewritten. Of several rows with one id all are kept.
+    """
+    tables = _corpus_tables(documents)
+    publish(documents.sparkSession, f"{path}/corpus", tables, "doc_id", replaced=tables["documents"])
     return path
 
 
-def load_corpus(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    return spark.read.parquet(f"{path}/documents"), spark.read.parquet(f"{path}/chunks")
+def load_corpus(spark: SparkSession, path: str, version: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """Documents and chunks of the latest version, or of one before."""
+    held = _held(spark, f"{path}/corpus", version)
+    return read_table(spark, held, "documents"), read_table(spark, held, "chunks")
+
 
+def _held(spark: SparkSession, path: str, version: int | None):
+    held = snapshot(spark, path, version)
+    if held is None:
+        raise FileNotFoundError(f"{path} holds no version{'' if version is None else f' {version}'}")
+    return held
 
-def save_embeddings(vectors: DataFrame, path: str, model_name: str) -> str:
-    """Write ``(id, vector, metadata)`` rows and one row about the model."""
-    vectors.write.mode("overwrite").parquet(f"{path}/vectors")
-    stored = vectors.sparkSession.read.parquet(f"{path}/vectors")
-    (stored.agg(F.count("*").alias("num_chunks"), F.max(F.size("vector")).alias("embedding_size"))
-     .select(F.lit(model_name).alias("model_name"), "embedding_size", "num_chunks",
-             F.current_timestamp().alias("created_at"))
-     .write.mode("overwrite").parquet(f"{path}/model_info"))
+
+def save_embeddings(vectors: DataFrame, path: str, model_name: str, key: str = "chunk_id") -> str:
+    """Store ``(id, vector, metadata)`` rows and the name of their model as a new version."""
+    publish(vectors.sparkSession, f"{path}/embeddings", {"vectors": vectors}, key, note=_about(model_name))
+    return path
+
+
+def add_embeddings(vectors: DataFrame, path: str, model_name: str, key: str = "chunk_id", replaced: DataFrame | None = None) -> str:
+    """Add rows of the stored model; those of the same keys, or of the keys ``replaced``, give way."""
+    spark = vectors.sparkSession
+    _same_model(_held(spark, f"{path}/embeddings", None).note, model_name)
+    publish(spark, f"{path}/embeddings", {"vectors": vectors}, key, replaced=vectors if replaced is None else replaced,
+            note=_about(model_name))
     return path
 
 
-def load_embeddings(spark: SparkSession, path: str, model_name: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """Stored vectors and model row. A ``model_name`` other than the stored one
-    is an error: its vectors could not be compared."""
-    info = spark.read.parquet(f"{path}/model_info")
+def _about(model_name: str) -> dict[str, str]:
+    return {"model_name": model_name, "created_at": datetime.now(timezone.utc).isoformat()}
+
+
+def _same_model(note: dict[str, str], model_name: str) -> None:
+    if note["model_name"] != model_name:
+        raise ValueError(f"vectors were made by {note['model_name']!r}, not {model_name!r}")
+
+
+def load_embeddings(spark: SparkSession, path: str, model_name: str | None = None,
+                    version: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """Stored vectors and a row about them. A ``model_name`` other than the
+    stored one is an error: its vectors could not be compared."""
+    held = _held(spark, f"{path}/embeddings", version)
     if model_name is not None:
-        stored = info.first()["model_name"]
-        if stored != model_name:
-            raise ValueError(f"vectors were made by {stored!r}, not {model_name!r}")
-    return spark.read.parquet(f"{path}/vectors"), info
+        _same_model(held.note, model_name)
+    vectors = read_table(spark, held, "vectors")
+    info = vectors.agg(F.count("*").alias("num_chunks"), F.max(F.size("vector")).alias("embedding_size")).select(
+        F.lit(held.note["model_name"]).alias("model_name"), "embedding_size", "num_chunks",
+        F.lit(held.note["created_at"]).cast("timestamp").alias("created_at"))
+    return vectors, info
