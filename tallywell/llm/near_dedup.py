@@ -60,8 +60,8 @@ LEAST_EQUAL = 0.5
 POOL_BITS = 14
 #: Ratio of neighbouring weight steps in the join by rarest shingles, rows of a key that meet in one place, rounding.
 STEP, CROWD, SLACK = 1.25, 256, 1e-5
-#: Times that keys are met through one text of theirs first; bits of a table of row hashes.
-CENTRES, TABLE_BITS = 3, 26
+#: Times that keys are met through one text of theirs first; most bits of a table of row hashes.
+CENTRES, MOST_BITS = 3, 26
 MEMO_WORDS = 200_000
 
 WORD = re.compile(r"[^\W_]+")
@@ -322,18 +322,20 @@ def weighted_jaccard(a: np.ndarray, wa: np.ndarray, b: np.ndarray, wb: np.ndarra
 
 
 def key_table(keys: DataFrame, name: str) -> np.ndarray:
-    """Bits of a column of hashes, in a table of fixed size: it holds all of them, and few others while it is not crowded."""
-    place = F.shiftrightunsigned(name, 64 - TABLE_BITS)
-    rows = keys.select(F.shiftrightunsigned(place, 6).alias("word"), F.expr(f"shiftleft(1L, cast(shiftrightunsigned({name}, {64 - TABLE_BITS}) & 63 AS int))").alias("bit"))
+    """Bits of a column of hashes, in a table of bounded size: it holds all of them, and few others while it is not crowded."""
+    bits = min(MOST_BITS, max(16, (16 * keys.count()).bit_length()))
+    place = F.shiftrightunsigned(name, 64 - bits)
+    rows = keys.select(F.shiftrightunsigned(place, 6).alias("word"), F.expr(f"shiftleft(1L, cast(shiftrightunsigned({name}, {64 - bits}) & 63 AS int))").alias("bit"))
     # As many rows as the table has bits over 64 at most.
     found = rows.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
-    table = np.zeros(1 << (TABLE_BITS - 6), np.int64)
+    table = np.zeros(1 << (bits - 6), np.int64)
     table[found.column("word").to_numpy()] = found.column("bits").to_numpy()
     return table.view(np.uint64)
 
 
 def in_table(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    place = hashes.view(np.uint64) >> np.uint64(64 - TABLE_BITS)
+    bits = len(table).bit_length() + 5
+    place = hashes.view(np.uint64) >> np.uint64(64 - bits)
     return (table[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1) > 0
 
 
@@ -345,7 +347,7 @@ def _features(close: DataFrame, signed: DataFrame, docs: DataFrame, idf, id_col:
     """
     doc, text = F.col(quoted(id_col)), F.col(quoted(text_col)).cast("string")
     first = signed.where("node IS NOT NULL").groupBy("node").agg(F.min("row_a").alias("row_a")).join(close, "node")
-    wanted = docs.sparkSession.sparkContext.broadcast(key_table(first, "row_a"))
+    wanted = docs.sparkSession.sparkContext.broadcast(key_table(staged(first.select("row_a"), "wanted"), "row_a"))
 
     def shingle(batches):
         shingler, table, seen = Shingler(size), idf.value, set()
