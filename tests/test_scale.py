@@ -6,12 +6,14 @@ import sys
 import uuid
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark import cloudpickle
 
 from test_text import bm25, plain_lists, zipf_docs
 
-from tallywell.operators import impact, lexical
+from tallywell.operators import blocksearch, impact, lexical
+from tallywell.plans import registry
 
 
 def test_begun_scores_join_the_lists():
@@ -53,3 +55,27 @@ def test_postings_reach_a_shard_once_for_thousands_of_questions(spark, tmp_path)
     for q, question in asked[::50]:
         assert got[q] == [i for i, _ in bm25(question, docs)[:5]]
     assert len(list(tmp_path.iterdir())) == index.postings.shards == 1
+
+
+def test_few_rows_are_recomputed_once_a_bar_is_reached():
+    rng = np.random.default_rng(2)
+    corpus, asked = rng.normal(size=(6_000, 8)), rng.normal(size=(40, 8))
+    looked = []
+
+    class Counted(blocksearch.DenseQueries):
+        def ranks(self, batch):
+            out = super().ranks(batch)
+            looked.append(np.isfinite(out).sum())
+            return out
+
+    def table(name, x):
+        return pa.table({name: pa.array(range(len(x)), pa.int64()), "vector": pa.array(x.tolist())})
+
+    scorer = Counted(table("query_id", asked), "l2", 5)
+    parts = [table("id", corpus).slice(a, 100) for a in range(0, 6_000, 100)]
+    frame = blocksearch._task_topk(parts, scorer, ["id"], 5, None).sort_values(["q", "rank"], ascending=[True, False])
+    apart = ((asked[:, None, :] - corpus[None]) ** 2).sum(axis=2)
+    for q in range(40):
+        assert frame[frame["q"] == q]["id"].tolist() == np.argsort(apart[q], kind="stable")[:5].tolist()
+    # Without the bar every slice of 100 rows gave 5 rows of each question or more.
+    assert sum(looked) < 60 * 40 * 5 / 3
