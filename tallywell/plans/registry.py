@@ -15,7 +15,7 @@ from tallywell.plans.customer_view import (CATEGORICAL, NUMERIC, customer_featur
                                            scored_customers)
 from tallywell.plans.document_run import answer_batch, index_documents
 from tallywell.plans.pipeline import run_risk_pipeline
-from tallywell.session import scratch_path, spread, staged
+from tallywell.session import scratch_path, staged
 from tallywell.plans.questions import (chunk_table, documents, questions, spread_documents,
                                        stored_vectors)
 from tallywell.sources import corpus, tables
@@ -205,12 +205,18 @@ def _chunk_id():
     return F.concat_ws(":", F.col("doc_id").cast("string"), F.col("pos").cast("string")).alias("chunk_id")
 
 
+#: Files that one task writes, about.
+FILES_PER_TASK = 1_000
+
+
 def _scan_texts(name, key, column):
     def run(spark, base):
         # One file for each row, below a folder named by its key.
         path = scratch_path(spark, f"{name}-files")
         rows = tables.table(spark, base, name).select(F.col(key).alias("file"), F.col(column).alias("value"))
-        spread(rows, "file").write.partitionBy("file").text(path)
+        cores = spark.sparkContext.defaultParallelism
+        tasks = max(cores, -(-rows.count() // FILES_PER_TASK))
+        rows.repartition(tasks, "file").write.partitionBy("file").text(path)
         # The writer ends each file with a line break of its own.
         own = F.col("text").substr(F.lit(1), F.length("text") - 1)
         return (corpus.read_corpus(spark, path).withColumn("text", own).filter("text != ''")

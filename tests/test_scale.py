@@ -79,3 +79,16 @@ def test_few_rows_are_recomputed_once_a_bar_is_reached():
         assert frame[frame["q"] == q]["id"].tolist() == np.argsort(apart[q], kind="stable")[:5].tolist()
     # Without the bar every slice of 100 rows gave 5 rows of each question or more.
     assert sum(looked) < 60 * 40 * 5 / 3
+
+
+def test_files_of_a_scan_are_dealt_by_their_number(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(registry, "FILES_PER_TASK", 10)
+    pages = spark.createDataFrame([(i, f"<p>{i}</p>") for i in range(200)], "page_id long, html string")
+    pages.write.parquet(f"{tmp_path}/pages.parquet")
+    seen = []
+    frame = type(pages)
+    plain = frame.repartition
+    monkeypatch.setattr(frame, "repartition", lambda self, n, *c: seen.append(n) or plain(self, n, *c))
+    got = {r["page_id"]: r["text_length"] for r in registry.queries()["scan_pages_raw"](spark, str(tmp_path)).collect()}
+    assert got == {i: len(f"<p>{i}</p>") for i in range(200)}
+    assert 20 in seen
