@@ -92,3 +92,16 @@ def test_files_of_a_scan_are_dealt_by_their_number(spark, tmp_path, monkeypatch)
     got = {r["page_id"]: r["text_length"] for r in registry.queries()["scan_pages_raw"](spark, str(tmp_path)).collect()}
     assert got == {i: len(f"<p>{i}</p>") for i in range(200)}
     assert 20 in seen
+
+
+def test_chunk_vectors_are_stored_before_they_are_searched(spark, tmp_path, monkeypatch):
+    docs = spark.createDataFrame([(i, f"word{i} and more words.", "en", f"a/{i}.txt") for i in range(20)],
+                                 "doc_id long, text string, lang string, source string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    turns = spark.createDataFrame([(1, 0, "user", "word3 and")], "conv_id long, turn int, role string, text string")
+    turns.write.parquet(f"{tmp_path}/conversations.parquet")
+    given = []
+    plain = registry.answers.retrieve_auto
+    monkeypatch.setattr(registry.answers, "retrieve_auto", lambda q, **k: given.append(k["vectors"]) or plain(q, **k))
+    assert registry.queries()["retrieve_auto"](spark, str(tmp_path)).count() == 5
+    assert all("/vectors-" in f for f in given[0].inputFiles())
