@@ -35,6 +35,15 @@ def test_prepared_rows_lie_evenly(spark):
     assert prepared.rows.agg(F.sum("weight")).first()[0] == pytest.approx(n, abs=1e-3)
 
 
+def test_split_rows_lie_evenly(spark):
+    n = 40_000
+    df = spark.range(0, n, 1, 1).select("id", (F.col("id") % 3 == 0).cast("int").alias("y"))
+    train, test = training.hold_out(df, "y", "id")
+    for part, rows in ((train, 32_000), (test, 8_000)):
+        sizes = _sizes(part)
+        assert len(sizes) == 4 and sum(sizes) == rows and sizes[-1] < 1.2 * sizes[0]
+
+
 def test_forest_is_the_same_with_remembered_nodes(spark):
     rows = [(float((i * 7919) % 101), float((i * 104729) % 89), float((i * 31) % 7 + (i % 17) > 9), 1.0) for i in range(600)]
     made = spark.createDataFrame(rows, "a double, b double, y double, weight double")
