@@ -31,13 +31,13 @@ without training texts all tokens are unknown and all classes equally likely.
 from __future__ import annotations
 
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import repeat
+from functools import cache, cached_property
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -51,24 +51,59 @@ SINGLE, GROUPED, ENDINGS = 31, 64, 16
 #: Classes, the end's among them, in groups of so many.
 CLASSES, WIDTH = SINGLE + GROUPED + ENDINGS + 1, 8
 GROUPS = CLASSES // WIDTH
-#: Rows of hashed features, rows sent together, tokens in a gradient step.
+#: Rows of hashed features (a power of two), rows sent together, tokens in a gradient step.
 ROWS, BLOCK, STEP = 1 << 13, 64, 4096
 #: Directions of neighbour vectors; sixteenths of the training texts in each round; step size.
 DIRECTIONS, ROUNDS, RATE = 8, (2, 14), 0.08
 #: Largest score in size.
 FAR = np.float32(35)
 BACK = 4
+#: Bytes of text whose tokens are looked up together.
+CHUNK = 8 << 20
 
 
-def tokens_of(text: str) -> list[bytes]:
-    """Words between spaces, tabs, line and page breaks; A-Z in lower case."""
-    return text.encode("utf-8", "surrogatepass").lower().split()
+def chunks(batch: pa.RecordBatch, text: int) -> Iterator[pa.RecordBatch]:
+    """Whole slices of the batch, together of about ``CHUNK`` bytes in column ``text``."""
+    size = pc.binary_length(batch.column(text)).to_numpy().astype(np.int64)
+    first, held = 0, 0
+    for at in range(0, batch.num_rows, SLICE):
+        held += int(size[at:at + SLICE].sum())
+        if held >= CHUNK or at + SLICE >= batch.num_rows:
+            yield batch.slice(first, at + SLICE - first)
+            first, held = at + SLICE, 0
+
+
+def cut(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Words of all texts in a row, between spaces, tabs, line and page breaks, A-Z in lower case; how many each text has."""
+    bare = pc.ascii_trim_whitespace(pc.ascii_lower(texts))
+    lists = pc.ascii_split_whitespace(bare)
+    words, many = lists.flatten().cast(pa.binary()), pc.list_value_length(lists).to_numpy().astype(np.int64)
+    blank = pc.binary_length(bare).to_numpy() == 0
+    if blank.any():  # cut into one empty word
+        words, many = words.filter(pc.greater(pc.binary_length(words), 0)), np.where(blank, 0, many)
+    return words, many
 
 
 def ending(word: bytes) -> int:
     return zlib.crc32(word[-2:]) % ENDINGS
 
 
+@cache
+def _ending_tables() -> tuple[np.ndarray, np.ndarray]:
+    return tuple(np.array([ending(k.to_bytes(n, "big")) for k in range(256 ** n)], np.int64) for n in (1, 2))
+
+
+def endings(words: pa.Array) -> np.ndarray:
+    """:func:`ending` of every word."""
+    if not len(words):
+        return np.zeros(0, np.int64)
+    _, offsets, data = words.buffers()
+    bounds, data = np.frombuffer(offsets, np.int32)[words.offset:words.offset + len(words) + 1], np.frombuffer(data, np.uint8)
+    of_one, of_two = _ending_tables()
+    last, before = data[bounds[1:] - 1], data[bounds[1:] - 2].astype(np.int64)
+    return np.where(np.diff(bounds) > 1, of_two[before * 256 + last], of_one[last])
+
+
 # -- model -----------------------------------------------------------------
 @dataclass
 class Vocabulary:
@@ -84,7 +119,7 @@ class Vocabulary:
     mass: np.ndarray | None = None  # of every class, unknown ones included
 
     def __post_init__(self):
-        self.place = {w: i for i, w in enumerate(self.words)}
+        self.table = pa.array(self.words, pa.binary())
         self.first_ending = len(self.words)
         self.end = self.first_ending + ENDINGS
         self.start = self.end + 1
@@ -97,33 +132,92 @@ class Vocabulary:
     def divisor(self) -> float:
         return float(np.log10(self.tokens + 0.5 * (self.distinct + 1)))
 
+    @cached_property
+    def place(self) -> dict[bytes, int]:
+        return {w: i for i, w in enumerate(self.words)}
+
     def ids(self, text: str) -> tuple[np.ndarray, list[bytes]]:
         """Entries of the text's tokens with starts before and the end behind, and its words that have no entry."""
-        words = tokens_of(text)
-        out = np.full(len(words) + BACK + 1, self.start, np.int64)
-        out[-1] = self.end
-        own = np.fromiter(map(self.place.get, words, repeat(-1)), np.int64, len(words))
-        at = np.flatnonzero(own < 0).tolist()
-        rare = [words[i] for i in at]
-        own[at] = [self.first_ending + ending(w) for w in rare]
-        out[BACK:-1] = own
-        return out, rare
+        found = self.entries(pa.array([text], pa.string()))
+        return found.ids, found.rare.to_pylist()
+
+    def entries(self, texts: pa.Array) -> Entries:
+        words, many = cut(texts)
+        own = pc.fill_null(pc.index_in(words, value_set=self.table), -1).to_numpy().astype(np.int64)
+        at = np.flatnonzero(own < 0)
+        rare = words.take(pa.array(at))
+        own[at] = self.first_ending + endings(rare)
+        last = np.cumsum(many + BACK + 1) - 1
+        ids, words_at = np.full(len(own) + len(many) * (BACK + 1), self.start, np.int64), np.ones(len(own) + len(many) * (BACK + 1), bool)
+        words_at[last] = False
+        words_at[((last - many - BACK)[:, None] + np.arange(BACK)).ravel()] = False
+        ids[words_at], ids[last] = own, self.end
+        words_at[last] = True
+        return Entries(ids, np.flatnonzero(words_at), many + 1, rare, np.repeat(np.arange(len(many)), many)[at])
 
 
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
-    x = (x ^ (x >> np.uint64(33))) * np.uint64(0xC4CEB9FE1A85EC53)
-    return x ^ (x >> np.uint64(33))
+@dataclass
+class Entries:
+    """Entries of texts in a row, starts before and the end behind each."""
+
+    ids: np.ndarray
+    at: np.ndarray  # places of the tokens
+    sizes: np.ndarray  # tokens of each text
+    rare: pa.Array  # words without entry
+    rare_in: np.ndarray  # the text of each of them
+
+    def rare_counts(self) -> tuple[pa.ListArray, pa.ListArray]:
+        """Per text the distinct words without entry, and how often it holds each."""
+        found = self.rare.dictionary_encode()
+        key, times = np.unique(self.rare_in * len(found.dictionary) + found.indices.to_numpy(), return_counts=True)
+        text, word = np.divmod(key, max(len(found.dictionary), 1))
+        bounds = pa.array(np.searchsorted(text, np.arange(len(self.sizes) + 1)).astype(np.int32))
+        return (pa.ListArray.from_arrays(bounds, found.dictionary.take(pa.array(word))),
+                pa.ListArray.from_arrays(bounds, pa.array(times.astype(np.int32))))
+
+    def steps(self) -> Iterator[np.ndarray]:
+        """Places of up to ``STEP`` tokens, none of two slices of texts."""
+        ends = np.cumsum(self.sizes)
+        first = 0
+        for stop in [*ends[SLICE - 1:-1:SLICE].tolist(), len(self.at)]:
+            for a in range(first, stop, STEP):
+                yield self.at[a:min(a + STEP, stop)]
+            first = stop
+
+
+def _row(feature: int, key: np.ndarray) -> np.ndarray:
+    """The feature's row of weights for each key."""
+    x = key.astype(np.uint64)
+    x += np.uint64((feature + 1) * 0x9E3779B97F4A7C15 % (1 << 64))
+    for odd in (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53):
+        x ^= x >> np.uint64(33)
+        x *= np.uint64(odd)
+    x ^= x >> np.uint64(33)
+    x &= np.uint64(ROWS - 1)
+    return x.view(np.int64)
+
+
+class Features:
+    """Rows of weights; those of features with few keys are worked out once."""
+
+    def __init__(self, classes: np.ndarray):
+        every, near = np.arange(len(classes)), np.arange(CLASSES)
+        pair = (near[:, None] * (1 << 24) + near).ravel()
+        self.classes = classes
+        self.word = [_row(k, every).astype(np.min_scalar_type(ROWS)) for k in range(3)]
+        self.near, self.far, self.last = _row(4, pair), _row(5, pair), _row(6, near)
+
+    def rows(self, ids: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """For each feature the row of weights of every place."""
+        word = [ids.take(at - k) for k in range(1, BACK + 1)]
+        near = [self.classes.take(w) for w in word]
+        return np.stack([*[own.take(w) for own, w in zip(self.word, word)], _row(3, word[0] * (1 << 24) + word[1]),
+                         self.near.take(near[0] * CLASSES + near[1]), self.far.take(near[2] * CLASSES + near[3]), self.last.take(near[3])])
 
 
 def feature_rows(ids: np.ndarray, classes: np.ndarray, at: np.ndarray) -> np.ndarray:
     """For each feature the row of weights of every place."""
-    word = [None, *[ids[at - k].astype(np.uint64) for k in (1, 2, 3)]]
-    near = [None, *[classes[ids[at - k]].astype(np.uint64) for k in range(1, BACK + 1)]]
-    wide = np.uint64(1 << 24)
-    parts = [word[1], word[2], word[3], word[1] * wide + word[2], near[1] * wide + near[2], near[3] * wide + near[4], near[4]]
-    odd = np.arange(1, len(parts) + 1, dtype=np.uint64)[:, None] * np.uint64(0x9E3779B97F4A7C15)
-    return (_mix(np.stack(parts) + odd) % np.uint64(ROWS)).astype(np.int64)
+    return Features(classes).rows(ids, at)
 
 
 class Weights:
@@ -140,10 +234,11 @@ class Weights:
         """Shares of the groups, and of the classes of the group of each place."""
         by_group, by_class = self.w[ROWS] + self.w.take(rows[0], axis=0), self.v[ROWS].take(group, axis=0)
         flat = self.v.reshape(-1, WIDTH)
+        more_group, more_class = np.empty_like(by_group), np.empty_like(by_class)
         for k, row in enumerate(rows):
             if k:
-                by_group += self.w.take(row, axis=0)
-            by_class += flat.take(row * GROUPS + group, axis=0)
+                by_group += self.w.take(row, axis=0, out=more_group, mode="clip")
+            by_class += flat.take(row * GROUPS + group, axis=0, out=more_class, mode="clip")
         for score in (by_group, by_class):
             # Far beyond what weights reach, and still a number as an exponential.
             np.clip(score, -FAR, FAR, out=score)
@@ -161,8 +256,8 @@ class Weights:
         """One gradient step."""
         group, place = target // WIDTH, np.arange(len(target))
         gaps = self.shares(rows, group)
-        gaps[0][place, group] -= 1
-        gaps[1][place, target % WIDTH] -= 1
+        gaps[0].reshape(-1)[place * GROUPS + group] -= 1
+        gaps[1].reshape(-1)[place * WIDTH + target % WIDTH] -= 1
         flat = np.concatenate((rows.ravel(), np.full(len(target), ROWS)))
         _step(self.w, self.w_slope, flat, gaps[0], rate)
         _step(self.v.reshape(-1, WIDTH), self.v_slope.reshape(-1), flat * GROUPS + np.tile(group, len(rows) + 1), gaps[1], rate)
@@ -170,18 +265,28 @@ class Weights:
 
 def _step(weights: np.ndarray, slopes: np.ndarray, rows: np.ndarray, gap: np.ndarray, rate: float) -> None:
     """Take a step in the rows named; each place's gap counts for all of its rows, which follow feature by feature."""
-    times = len(rows) // len(gap)
+    times, each = len(rows) // len(gap), gap.T.astype(float, order="C")
     if len(weights) < len(rows):
         used, at, many = slice(None), rows, len(weights)
     else:
-        used, at = np.unique(rows, return_inverse=True)
+        met, place = np.zeros(len(weights), bool), np.empty(len(weights), np.int64)
+        met[rows] = True
+        used = np.flatnonzero(met)
         many = len(used)
-    slope = np.empty((many, gap.shape[1]), np.float32)
-    for c in range(gap.shape[1]):
-        slope[:, c] = np.bincount(at, np.tile(gap[:, c], times), many)
-    slopes[used] += np.einsum("ij,ij->i", slope, slope) / np.float32(gap.shape[1])
+        place[used] = np.arange(many)
+        at = place.take(rows)
+    slope, held = np.empty((many, len(each)), np.float32), np.empty((times, len(gap)))
+    for c, own in enumerate(each):
+        held[:] = own
+        slope[:, c] = np.bincount(at, held.ravel(), many)
+    slopes[used] += np.einsum("ij,ij->i", slope, slope) / np.float32(len(each))
     slope *= (np.float32(rate) / np.sqrt(slopes[used] + np.float32(1e-6)))[:, None]
-    weights[used] -= slope
+    if len(weights) < len(rows):
+        weights -= slope
+    else:
+        # Rows as one value each, which is put faster than as many.
+        fresh, whole = weights.take(used, axis=0) - slope, np.dtype((np.void, 4 * len(each)))
+        np.put(weights.view(whole), used, fresh.view(whole))
 
 
 # -- counts ----------------------------------------------------------------
@@ -191,30 +296,45 @@ def trained_on(doc):
     return F.coalesce(left != 1, F.lit(False)), F.coalesce(left == 1, F.lit(False))
 
 
-def word_counts(texts: DataFrame) -> DataFrame:
-    """``word, ending, c, t`` over ``learn, text``: counts in training and in all texts; the word null counts ends."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = {True: Counter(), False: Counter()}
+def _summed(tables: list[pa.Table]) -> pa.Table:
+    if len(tables) == 1:
+        return tables[0]
+    out = pa.concat_tables(tables).group_by("word", use_threads=False).aggregate([("c", "sum"), ("t", "sum")])
+    return out.select(["word", "c_sum", "t_sum"]).rename_columns(["word", "c", "t"])
+
+
+def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``word, ending, c, t`` of the ``learn, text`` of one task; a word may come again."""
+    held, learnt, ends = [], 0, 0
+
+    def told(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        for part in table.combine_chunks().to_batches():
+            word, c, t = part.columns
+            yield pa.RecordBatch.from_arrays([word, pa.array(endings(word).astype(np.int32)), c, t], names=["word", "ending", "c", "t"])
+
+    for batch in batches:
+        for part in chunks(batch, 1):
+            learn = part.column(0).to_numpy(zero_copy_only=False)
+            words, many = cut(part.column(1))
+            learnt, ends = learnt + int(learn.sum()), ends + len(learn)
+            found = words.dictionary_encode()
+            at, size = found.indices.to_numpy(), len(found.dictionary)
+            held.append(pa.table([found.dictionary, pa.array(np.bincount(at[np.repeat(learn, many)], minlength=size)),
+                                  pa.array(np.bincount(at, minlength=size))], names=["word", "c", "t"]))
+            if sum(map(len, held)) > HELD_WORDS:
+                held = [_summed(held)]
+                if len(held[0]) > HELD_WORDS // 2:
+                    yield from told(held.pop())
+    if held:
+        yield from told(_summed(held))
+    if ends:
+        yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.binary()), pa.array([-1], pa.int32()), pa.array([learnt]), pa.array([ends])],
+                                         names=["word", "ending", "c", "t"])
 
-        def told():
-            words = list(counts[True].keys() | counts[False].keys())
-            c = np.array([counts[True][w] for w in words], np.int64)
-            t = c + np.array([counts[False][w] for w in words], np.int64)
-            return pa.RecordBatch.from_arrays(
-                [pa.array(words, pa.binary()), pa.array([-1 if w is None else ending(w) for w in words], pa.int32()),
-                 pa.array(c), pa.array(t)], names=["word", "ending", "c", "t"])
 
-        for batch in batches:
-            for learn, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                own = counts[learn]
-                own.update(tokens_of(text))
-                own[None] += 1
-                if len(own) > HELD_WORDS:
-                    yield told()
-                    counts = {True: Counter(), False: Counter()}
-        yield told()
-
-    return (texts.select("learn", "text").mapInArrow(run, "word binary, ending int, c long, t long")
+def word_counts(texts: DataFrame) -> DataFrame:
+    """``word, ending, c, t`` over ``learn, text``: counts in training and in all texts; the word null counts ends."""
+    return (texts.select("learn", "text").mapInArrow(counted, "word binary, ending int, c long, t long")
             .groupBy("word", "ending").agg(F.sum("c").alias("c"), F.sum("t").alias("t")))
 
 
@@ -239,16 +359,16 @@ def neighbour_vectors(texts: DataFrame, vocab) -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = vocab.value
-        signs = np.zeros((own.start + 1, DIRECTIONS), np.int64)
+        signs = np.zeros((own.start + 1, DIRECTIONS), np.int8)
         signs[:size] = np.random.default_rng(3).integers(0, 2, (size, DIRECTIONS)) * 2 - 1
         sums = np.zeros((DIRECTIONS, size), np.int64)
         for batch in batches:
-            for at in range(0, batch.num_rows, SLICE):
-                ids = np.concatenate([own.ids(t)[0] for t in batch.column(0).slice(at, SLICE).to_pylist()])
+            for part in chunks(batch, 0):
+                ids = own.entries(part.column(0)).ids
                 place = np.flatnonzero(ids[1:-1] < size) + 1
-                near = signs[ids[place - 1]] + signs[ids[place + 1]]
+                near, at = signs[ids[place - 1]] + signs[ids[place + 1]], ids[place]
                 for d in range(DIRECTIONS):
-                    sums[d] += np.bincount(ids[place], near[:, d], size).astype(np.int64)
+                    sums[d] += np.bincount(at, near[:, d], size).astype(np.int64)
         held = np.flatnonzero(sums.any(axis=0))
         yield pa.RecordBatch.from_arrays([pa.array(held), *[pa.array(s[held]) for s in sums]], names=["id", *names])
 
@@ -299,13 +419,6 @@ def with_classes(vocab: Vocabulary, vectors: np.ndarray, ending_mass: np.ndarray
 
 
 # -- training --------------------------------------------------------------
-def _flat(vocab: Vocabulary, texts: list[str]):
-    """Entries of the texts in a row, the places of their tokens, the sizes of the texts and their words without entry."""
-    held = [vocab.ids(t) for t in texts]
-    ids = np.concatenate([i for i, _ in held])
-    return ids, np.flatnonzero(ids != vocab.start), np.array([len(i) - BACK for i, _ in held]), [r for _, r in held]
-
-
 def _packed(weights: Weights) -> np.ndarray:
     """Per row all weights and slopes."""
     return np.concatenate((weights.w, weights.v.reshape(ROWS + 1, -1), weights.w_slope[:, None], weights.v_slope), axis=1)
@@ -325,16 +438,15 @@ def train_round(texts: DataFrame, vocab, weights: Weights) -> Weights:
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, words = _unpacked(_packed(shared.value)), vocab.value
-        used = np.zeros(blocks * BLOCK, np.int64)
+        features, used = Features(words.classes), np.zeros(blocks * BLOCK, np.int64)
         for batch in batches:
-            for start in range(0, batch.num_rows, SLICE):
-                ids, at, _, _ = _flat(words, batch.column(0).slice(start, SLICE).to_pylist())
-                for a in range(0, len(at), STEP):
-                    part = at[a:a + STEP]
-                    rows = feature_rows(ids, words.classes, part)
-                    own.learn(rows, words.classes[ids[part]])
+            for part in chunks(batch, 0):
+                found = words.entries(part.column(0))
+                for at in found.steps():
+                    rows = features.rows(found.ids, at)
+                    own.learn(rows, words.classes[found.ids[at]])
                     used += np.bincount(rows.ravel(), minlength=len(used))
-                    used[ROWS] += len(part)
+                    used[ROWS] += len(at)
         table = _packed(own) * used[:ROWS + 1, None]
         told = np.zeros((len(used), table.shape[1] + 1), np.float32)
         told[:, 0], told[:ROWS + 1, 1:] = used, table
@@ -408,24 +520,21 @@ def score_texts(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab, weights = shared_vocab.value, shared_weights.value
-        log_mass = np.log10(vocab.mass)
+        features, log_mass = Features(vocab.classes), np.log10(vocab.mass)
         for batch in batches:
-            for start in range(0, batch.num_rows, SLICE):
-                part = batch.slice(start, SLICE)
-                ids, at, sizes, rare = _flat(vocab, part.column(3).to_pylist())
-                told = np.empty(len(at))
-                for a in range(0, len(at), STEP):
-                    own = at[a:a + STEP]
-                    target = vocab.classes[ids[own]]
-                    share = weights.log_share(feature_rows(ids, vocab.classes, own), target)
-                    told[a:a + STEP] = share / np.log(10) - log_mass[target]
+            for part in chunks(batch, 3):
+                found = vocab.entries(part.column(3))
+                told = [np.empty(0)]
+                for at in found.steps():
+                    target = vocab.classes[found.ids[at]]
+                    told.append(weights.log_share(features.rows(found.ids, at), target) / np.log(10) - log_mass[target])
+                sizes, own = found.sizes, found.ids[found.at]
                 first = np.cumsum(sizes) - sizes
-                log_count = vocab.log_count[ids[at]]
-                counted = [Counter(r) for r in rare]
+                log_count = vocab.log_count[own]
                 yield pa.RecordBatch.from_arrays(
-                    [*[part.column(i) for i in range(3)], pa.array(sizes), pa.array(np.add.reduceat(vocab.known[ids[at]].astype(np.int64), first)),
-                     pa.array(np.add.reduceat(log_count, first) - sizes * vocab.divisor), pa.array(np.add.reduceat(told + log_count, first)),
-                     pa.array([list(c) for c in counted], pa.list_(pa.binary())), pa.array([list(c.values()) for c in counted], pa.list_(pa.int32()))],
+                    [*[part.column(i) for i in range(3)], pa.array(sizes), pa.array(np.add.reduceat(vocab.known[own].astype(np.int64), first)),
+                     pa.array(np.add.reduceat(log_count, first) - sizes * vocab.divisor),
+                     pa.array(np.add.reduceat(np.concatenate(told) + log_count, first)), *found.rare_counts()],
                     names=names)
 
     scored = staged(source.mapInArrow(run, f"row long, id {kind}, held_out boolean, n_tokens long, n_known long, base double, "

@@ -5,9 +5,11 @@ import hashlib
 import math
 import random
 import re
+import sys
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -244,3 +246,80 @@ def test_no_training_text(spark):
     got = maxent_lm.score_texts(df, maxent_lm.fit(df)).collect()
     assert sorted((r.n_tokens, r.n_known, r.train_tokens, r.base_score) for r in got) == [(1, 0, 0, 0.0), (3, 0, 0, 0.0)]
     assert maxent_lm.score_texts(df.limit(0), maxent_lm.fit(df.limit(0))).count() == 0
+
+
+def odd_texts(n=600):
+    rnd = random.Random(3)
+    signs = [chr(i) for i in range(300)] + ["\u3000", "\u2028", "😀", "É", "İ"] + list(" \t\n\x0b\x0c\r") * 12
+    return ["", " ", "\n\r", "a", " a", "a "] + ["".join(rnd.choice(signs) for _ in range(rnd.randint(0, 50))) for _ in range(n)]
+
+
+def test_texts_are_cut_and_looked_up_as_python_would():
+    texts = odd_texts()
+    plain = [t.encode().lower().split() for t in texts]
+    flat = [w for p in plain for w in p]
+    for column in (pa.array(texts), pa.array(["x y", *texts]).slice(1)):
+        words, many = maxent_lm.cut(column)
+        assert words.to_pylist() == flat and many.tolist() == list(map(len, plain))
+        assert maxent_lm.endings(words.slice(3)).tolist() == [zlib.crc32(w[-2:]) % maxent_lm.ENDINGS for w in flat[3:]]
+    held = sorted(set(flat))[::2]
+    vocab = maxent_lm.Vocabulary(held, np.ones(len(held), np.int64), len(held), 1, 1, 1)
+    got = vocab.entries(pa.array(texts))
+    place = {w: i for i, w in enumerate(held)}
+    want = [[*[vocab.start] * maxent_lm.BACK, *[place.get(w, vocab.first_ending + maxent_lm.ending(w)) for w in p], vocab.end] for p in plain]
+    assert got.ids.tolist() == [i for w in want for i in w]
+    assert got.sizes.tolist() == [len(p) + 1 for p in plain]
+    at = np.concatenate(list(got.steps()))
+    assert at.tolist() == np.flatnonzero(got.ids != vocab.start).tolist()
+    words, times = (c.to_pylist() for c in got.rare_counts())
+    assert [dict(zip(w, n)) for w, n in zip(words, times)] == [collections.Counter(w for w in p if w not in place) for p in plain]
+
+
+@pytest.mark.parametrize("held,chunk", [(400_000, 8 << 20), (50, 1), (1, 1)])
+def test_words_of_a_task_are_counted_in_any_number_of_parts(monkeypatch, held, chunk):
+    monkeypatch.setattr(maxent_lm, "HELD_WORDS", held)
+    monkeypatch.setattr(maxent_lm, "CHUNK", chunk)
+    texts = odd_texts(900)
+    learn = [i % 3 > 0 for i in range(len(texts))]
+    batch = pa.RecordBatch.from_arrays([pa.array(learn), pa.array(texts)], names=["learn", "text"])
+    got = {True: collections.Counter(), False: collections.Counter()}
+    for part in maxent_lm.counted(iter([batch.slice(0, 300), batch.slice(300), batch.slice(0, 0)])):
+        for r in part.to_pylist():
+            assert r["ending"] == (-1 if r["word"] is None else maxent_lm.ending(r["word"]))
+            got[True][r["word"]] += r["c"]
+            got[False][r["word"]] += r["t"]
+    for only in (True, False):
+        want = collections.Counter(w for t, on in zip(texts, learn) if on or not only for w in [*t.encode().lower().split(), None])
+        assert +got[only] == want
+    assert not list(maxent_lm.counted(iter([])))
+
+
+def test_work_on_words_is_in_arrays():
+    """No call of Python for each word, which was most of the query's time."""
+    vocab = maxent_lm.Vocabulary([b"a", b"b"], np.ones(2, np.int64), 2, 4, 2, 1)
+
+    def calls(words):
+        seen = []
+        texts = pa.array([" ".join(["a", "B", f"rare{k}"][k % 3] for k in range(words))] * 2)
+        sys.setprofile(lambda frame, event, arg: seen.append(event) if event.endswith("call") else None)
+        vocab.entries(texts).rare_counts()
+        list(maxent_lm.counted(iter([pa.RecordBatch.from_arrays([pa.array([True, False]), texts], names=["learn", "text"])])))
+        sys.setprofile(None)
+        return len(seen)
+
+    calls(9)
+    assert calls(3000) == calls(30)
+
+
+@pytest.mark.parametrize("places", [40, 3000])
+def test_a_step_sums_gaps_by_row_without_sorting(monkeypatch, places):
+    rnd = np.random.default_rng(5)
+    rows = rnd.integers(0, 5000, places * 3)
+    gap, weights, slopes = rnd.normal(size=(places, 4)).astype(np.float32), np.ones((5000, 4), np.float32), np.zeros(5000, np.float32)
+    monkeypatch.setattr(np, "unique", None)
+    maxent_lm._step(weights, slopes, rows, gap, 0.1)
+    slope = np.zeros((5000, 4))
+    np.add.at(slope, rows, np.tile(gap, (3, 1)))
+    squares = (slope ** 2).sum(axis=1) / 4
+    assert slopes == pytest.approx(squares, rel=1e-5)
+    assert weights == pytest.approx(1 - 0.1 * slope / np.sqrt(squares + 1e-6)[:, None], abs=1e-5)
