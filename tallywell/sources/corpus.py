@@ -11,9 +11,12 @@ from pyspark.sql import types as T
 
 from tallywell.functions.text import basename, default_title, document_date, extension
 from tallywell.operators.chunking import chunk_documents
-from tallywell.session import staged
+from tallywell.session import scratch_path, staged
 from tallywell.sources.snapshots import publish, read_table, snapshot
 
+# Files listed at once, as Spark's driver holds what it lists; files and bytes of one task.
+LISTED_FILES, TASK_FILES, TASK_BYTES = 50_000, 500, 67_108_864
+
 TEXT_EXTENSIONS = (".txt", ".md", ".html", ".htm")
 DEFAULT_EXTENSIONS = (".txt", ".md")
 
@@ -29,17 +32,79 @@ def read_corpus(spark: SparkSession, path: str, extensions: Sequence[str] = DEFA
 
     The extension is matched in any case; markup is kept as it is; empty files
     are dropped. ``doc_id`` is the full path.
+
+    Spark's driver holds the list of the files it reads. Of more than
+    ``LISTED_FILES`` files the texts are therefore read by groups of folders and
+    written to the shared folder now; only the files directly in one folder are
+    always listed together.
     """
     wanted = [e.lower() for e in extensions if e.lower() in TEXT_EXTENSIONS]
+    groups = _folder_groups(spark, path)
+    if groups is None:
+        return _read_texts(spark, path, wanted)
+    if len(groups) == 1:
+        return _read_texts(spark, path, wanted, *groups[0][1:])
+    out = scratch_path(spark, "texts")
+    texts = None
+    for paths, files, size in groups:
+        texts = _read_texts(spark, paths, wanted, files, size)
+        # One group's list is let go before the next is made.
+        texts.write.mode("append").parquet(out)
+    return spark.read.schema(texts.schema).parquet(out)
+
+
+def _read_texts(spark: SparkSession, paths: str | list[str], wanted: list[str], files: int = 0, size: int = 0) -> DataFrame:
     either = ["*." + "".join(f"[{ch}{ch.upper()}]" for ch in e[1:]) for e in wanted]
     # The glob keeps other files from being listed and read at all.
-    files = (spark.read.option("recursiveFileLookup", "true")
-             .option("pathGlobFilter", "{" + ",".join(either) + "}").text(path, wholetext=True)
-             .select(F.col("_metadata.file_path").alias("source"), F.col("value").alias("text")))
-    return (files.filter(extension(F.col("source")).isin(wanted) & (F.col("text") != ""))
+    reader = (spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "{" + ",".join(either) + "}"))
+    if not isinstance(paths, str):
+        # Names of folders that were listed are no patterns.
+        reader = reader.option("__globPaths__", "false")
+    found = reader.text(paths, wholetext=True)
+    if files:
+        # Spark gives a task few small files; most of its time would be the task's own.
+        found = found.coalesce(max(4 * spark.sparkContext.defaultParallelism, -(-files // TASK_FILES), -(-size // TASK_BYTES)))
+    return (found.select(F.col("_metadata.file_path").alias("source"), F.col("value").alias("text"))
+            .filter(extension(F.col("source")).isin(wanted) & (F.col("text") != ""))
             .select(F.col("source").alias("doc_id"), "text", "source"))
 
 
+def _folder_groups(spark: SparkSession, path: str) -> list[tuple[list[str], int, int]] | None:
+    """Paths that together hold all files below ``path``, in groups of few files, with the number and bytes of these;
+    None for a pattern of paths."""
+    top = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = top.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    if not files.exists(top):
+        return None
+    groups: list[tuple[list[str], int, int]] = []
+
+    def add(paths: list[str], n: int, size: int) -> None:
+        if groups and groups[-1][1] + n <= LISTED_FILES:
+            held, m, bytes_ = groups.pop()
+            paths, n, size = held + paths, m + n, bytes_ + size
+        groups.append((paths, n, size))
+
+    def walk(folder, held) -> None:
+        below = [s for s in files.listStatus(folder) if _is_read(s.getPath().getName())]             if held.getFileCount() > LISTED_FILES and held.getDirectoryCount() > 1 else []
+        if not any(s.isDirectory() for s in below):
+            if held.getFileCount():
+                add([folder.toString()], held.getFileCount(), held.getLength())
+            return
+        for s in below:
+            if s.isDirectory():
+                walk(s.getPath(), files.getContentSummary(s.getPath()))
+            else:
+                add([s.getPath().toString()], 1, s.getLen())
+
+    walk(top, files.getContentSummary(top))
+    return groups or None
+
+
+def _is_read(name: str) -> bool:
+    """Spark passes over names such as ``_temporary`` and ``.hidden``."""
+    return not (name.startswith("_") and "=" not in name or name.startswith(".") or name.endswith("._COPYING_"))
+
+
 def file_document(spark: SparkSession, path: str, doc_id: str | None = None) -> DataFrame:
     """One file as a document; its id is the file name unless given."""
     name = F.lit(doc_id) if doc_id is not None else basename(F.col("source"))
